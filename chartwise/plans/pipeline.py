@@ -1,0 +1,88 @@
+"""End-to-end run: raw CSV -> split CSV -> clean Parquet -> catalog table ->
+three answers -> result files -> gates. Each stage writes to the shared
+folder and the next stage reads that output, so lineage is cut at every
+stage (a lost executor re-runs one stage, not the whole chain), and a stage
+whose output already holds ``_SUCCESS`` is skipped on a re-run.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from chartwise.operators.clean import clean, observe_rows
+from chartwise.operators.ingest import ingest
+from chartwise.operators.quality import GateError, assert_report, quality_report
+from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader
+from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, IngestConfig
+from chartwise.session import done_marker
+from chartwise.sources.catalog import register_table, write_charts
+from chartwise.sources.csv import read_raw_csv, read_split_csv, write_split_csv
+from chartwise.sources.results import read_result_tsv, write_result_tsv
+
+
+@dataclass
+class RunResult:
+    charts: DataFrame
+    answers: dict[str, DataFrame]
+    reloaded: dict[str, DataFrame]
+    metrics: dict[str, int] = field(default_factory=dict)
+    skipped: list[str] = field(default_factory=list)
+
+
+def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
+                 db: str = "charts_db", table: str = "charts", min_markets: int = 3,
+                 k_hits: int = 30, k_longevity: int = 5) -> RunResult:
+    """``raw`` is a CSV path (file or folder) or a DataFrame of raw text rows.
+    Stops at the first failed gate."""
+    base = workdir.rstrip("/")
+    split_dir, clean_dir = f"{base}/split", f"{base}/clean"
+    result_dirs = {"q1": f"{base}/results/q1", "q2": f"{base}/results/q2", "q3": f"{base}/results/q3"}
+    metrics: dict[str, int] = {}
+    skipped: list[str] = []
+
+    # 1. ingest + split write
+    if done_marker(spark, split_dir):
+        skipped.append("ingest")
+    else:
+        raw_df = read_raw_csv(spark, raw) if isinstance(raw, str) else raw
+        kept, obs = observe_rows(ingest(raw_df, cfg), "ingest")
+        write_split_csv(kept, split_dir)
+        metrics["ingested_rows"] = int(obs.get["rows"])
+        if metrics["ingested_rows"] == 0:
+            raise GateError("ingest: no rows matched chart kind, years and markets")
+
+    # 2. clean -> Parquet
+    if done_marker(spark, clean_dir):
+        skipped.append("clean")
+    else:
+        split = read_split_csv(spark, split_dir).drop("country_code", "month_str")
+        cleaned, obs = observe_rows(clean(split, cfg.markets, cfg.max_rank), "clean")
+        write_charts(cleaned, clean_dir)
+        metrics["clean_rows"] = int(obs.get["rows"])
+
+    # 3. table (fails when empty)
+    charts = register_table(spark, clean_dir, db, table)
+
+    # 4. answers -> result files (each answer is bounded: top-k or per year)
+    answers = {
+        "q1": cross_market_hits(charts, min_markets, k_hits),
+        "q2": chart_longevity(charts, k_longevity),
+        "q3": yearly_leader(charts, cfg.leader_region),
+    }
+    for name, df in answers.items():
+        if done_marker(spark, result_dirs[name]):
+            skipped.append(name)
+            continue
+        out, obs = observe_rows(df, name)
+        write_result_tsv(out, result_dirs[name])
+        metrics[f"{name}_rows"] = int(obs.get["rows"])
+        if metrics[f"{name}_rows"] == 0:
+            raise GateError(f"{name}: query returned 0 rows")
+
+    # 5. read back and gate the result files
+    schemas = {"q1": Q1_SCHEMA, "q2": Q2_SCHEMA, "q3": Q3_SCHEMA}
+    reloaded = {n: read_result_tsv(spark, result_dirs[n], schemas[n]) for n in answers}
+    assert_report(quality_report({f"result_{n}": df for n, df in reloaded.items()}))
+    return RunResult(charts=charts, answers=answers, reloaded=reloaded, metrics=metrics, skipped=skipped)
