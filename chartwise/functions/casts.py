@@ -13,16 +13,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Integers below 2**53 are exact in a double.
+_EXACT_DOUBLE = float(2 ** 53)
+
+
 def to_long_lenient(c) -> Column:
     """Integer text exactly; decimal text such as ``100.0`` (written by tools
-    that hold the column as float) truncated toward zero; anything else NULL."""
+    that hold the column as float) truncated toward zero; anything else NULL.
+
+    The text is parsed as a double first: that parse does not fail on decimal
+    text, whereas a direct integer try-cast of ``100.0`` pays for a caught
+    exception on every row. Only magnitudes beyond 2**53 are re-parsed as
+    exact integers."""
     c = _col(c)
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+    d = c.try_cast("double")
+    return F.when(F.abs(d) < F.lit(_EXACT_DOUBLE), d.try_cast("bigint")) \
+        .otherwise(F.coalesce(c.try_cast("bigint"), d.try_cast("bigint")))
 
 
 def to_int_lenient(c) -> Column:
-    c = _col(c)
-    return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+    """As ``to_long_lenient`` for INT; every INT is exact in a double."""
+    return _col(c).try_cast("double").try_cast("int")
 
 
 def to_chart_date(c, fmt: str = DATE_FORMAT) -> Column:

@@ -10,21 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chartwise.functions.text import strip_ws
 from chartwise.schema import MAX_MARKETS, Market
 
-MARKETS_SCHEMA = T.StructType(
-    [
-        T.StructField("market_key", T.StringType(), False),
-        T.StructField("code", T.StringType(), False),
-        T.StructField("display", T.StringType(), False),
-        T.StructField("ordinal", T.IntegerType(), False),
-    ]
-)
-
-
 def _check(markets: Sequence[Market]) -> None:
     if len(markets) > MAX_MARKETS:
         raise ValueError(f"market dimension too large to broadcast: {len(markets)}")
@@ -36,9 +25,13 @@ def market_key(c="region") -> Column:
 
 
 def markets_frame(spark: SparkSession, markets: Sequence[Market]) -> DataFrame:
+    """The dimension as a literal relation built in the JVM (no Python
+    workers are started to serve it)."""
     _check(markets)
-    rows = [(m.key, m.code, m.display, m.ordinal) for m in markets]
-    return spark.createDataFrame(rows, MARKETS_SCHEMA)
+    rows = [F.struct(F.lit(m.key).alias("market_key"), F.lit(m.code).alias("code"),
+                     F.lit(m.display).alias("display"), F.lit(m.ordinal).cast("int").alias("ordinal"))
+            for m in markets]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _literal_map(pairs) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from chartwise.operators.clean import clean, observe_rows
 from chartwise.operators.ingest import ingest
@@ -47,8 +47,8 @@ def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
         skipped.append("ingest")
     else:
         raw_df = read_raw_csv(spark, raw) if isinstance(raw, str) else raw
-        kept, obs = observe_rows(ingest(raw_df, cfg), "ingest")
-        write_split_csv(kept, split_dir)
+        obs = Observation("ingest")
+        write_split_csv(ingest(raw_df, cfg), split_dir, observation=obs)
         metrics["ingested_rows"] = int(obs.get["rows"])
         if metrics["ingested_rows"] == 0:
             raise GateError("ingest: no rows matched chart kind, years and markets")
@@ -58,8 +58,8 @@ def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
         skipped.append("clean")
     else:
         split = read_split_csv(spark, split_dir).drop("country_code", "month_str")
-        cleaned, obs = observe_rows(clean(split, cfg.markets, cfg.max_rank), "clean")
-        write_charts(cleaned, clean_dir)
+        obs = Observation("clean")
+        write_charts(clean(split, cfg.markets, cfg.max_rank), clean_dir, observation=obs)
         metrics["clean_rows"] = int(obs.get["rows"])
 
     # 3. table (fails when empty)

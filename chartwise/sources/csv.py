@@ -4,7 +4,8 @@ month. Quotes inside fields are doubled (``""``), so the reader escapes with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartwise.schema import RAW_SCHEMA
@@ -14,7 +15,6 @@ CSV_READ_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",  # a quoted field may hold a newline
     "enforceSchema": "false",  # check header names against the schema
     "mode": "PERMISSIVE",
     "ignoreLeadingWhiteSpace": "false",
@@ -31,28 +31,37 @@ CSV_WRITE_OPTIONS = {
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: bool = False,
-                 **options) -> DataFrame:
+                 multi_line: bool = False, **options) -> DataFrame:
     """A file or a directory of raw chart CSVs (partition folders included).
 
     No schema inference: that would be an extra full pass over the input and
-    would guess types differently file by file.
+    would guess types differently file by file. Files are split into
+    ``spark.sql.files.maxPartitionBytes`` chunks and parsed in parallel;
+    ``multi_line=True`` allows newlines inside quoted fields but makes every
+    file a single task, so it is opt-in for inputs known to need it.
     """
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(schema).options(**CSV_READ_OPTIONS).options(**options).csv(path)
+    return (reader.schema(schema).options(**CSV_READ_OPTIONS)
+            .option("multiLine", "true" if multi_line else "false").options(**options).csv(path))
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
-def write_split_csv(df: DataFrame, path: str, keys=("country_code", "month_str"), mode: str = "overwrite") -> None:
+def write_split_csv(df: DataFrame, path: str, keys=("country_code", "month_str"), mode: str = "overwrite",
+                    observation: Observation | None = None) -> None:
     """One folder per (market, month), like the per-country-month split files.
 
     Range-partitioning on the split keys plus ``date`` and ``rank`` keeps each
     task on one or two folders (few files), while a hot market or month still
     spreads over many tasks because range bounds are sampled from the data.
+    ``observation`` counts the written rows; it sits above the range
+    exchange so the bound-sampling job does not count them a second time.
     """
     out = df.repartitionByRange(*keys, "date", "rank")
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     out.write.mode(mode).partitionBy(*keys).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
