@@ -18,6 +18,7 @@ from chartwise.functions.markets import display_name, market_code
 from chartwise.functions.text import ascii_safe, label
 from chartwise.operators import clean as C
 from chartwise.operators import ingest as I
+from chartwise.operators import summaries as U
 from chartwise.operators.quality import quality_report
 from chartwise.plans import questions as Q
 from chartwise.plans import series as S
@@ -145,8 +146,7 @@ def normalize_columns(spark, sf):
 
 
 def preview(spark, sf):
-    cols = ["date", "region", "rank", "title", "artist", "streams"]
-    return _charts(spark, sf).select(*cols).orderBy(*cols).limit(5)
+    return U.preview(_charts(spark, sf), ["date", "region", "rank", "title", "artist", "streams"], 5)
 
 
 def region_normalize(spark, sf):
@@ -227,8 +227,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_charts": _ingested,
         "clean_charts": _charts,
         "clean_funnel": lambda s, sf: C.funnel(_raw(s, sf), CFG),
-        "count_by_region": lambda s, sf: catalog.rows_by_region(_charts(s, sf)),
-        "distinct_markets": lambda s, sf: _charts(s, sf).select("region").distinct().orderBy("region"),
+        "count_by_region": lambda s, sf: U.count_by(_charts(s, sf), "region"),
+        "distinct_markets": lambda s, sf: U.distinct_values(_charts(s, sf), "region"),
         "song_year_totals": lambda s, sf: Q.song_year_totals(_charts(s, sf), CFG.leader_region),
         "yearly_totals": lambda s, sf: Q.yearly_totals(_charts(s, sf), CFG.leader_region),
         "q1_cross_market": _q1,

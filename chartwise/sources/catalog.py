@@ -17,20 +17,19 @@ def write_charts(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
                  observation: Observation | None = None) -> None:
     """Write clean charts as Parquet, partitioned by market and year.
 
-    Partition folders let a one-market question read one market only. Before
-    the write, rows are range-partitioned on (partition keys, date, rank):
-    each task then covers a contiguous slice and writes to one or two folders,
-    and a market holding most rows is still cut into many tasks, since range
-    bounds come from a sample. Files come out sorted by date, which tightens
-    Parquet min/max statistics for date predicates (the local sort also
-    satisfies the writer's own sort on the partition keys, so it adds none).
-    ``observation`` counts written rows once: it sits above the range
-    exchange, out of reach of the job that samples the range bounds.
+    Partition folders let a one-market question read one market only.
+    ``rebalance`` on the partition keys gives each (market, year) one task
+    and so few, large files; AQE splits any partition above the advisory
+    size (a market holding most rows) into several tasks at run time and
+    merges small ones - without the extra sampling read a range repartition
+    would cost. Each task sorts by (keys, date, rank): files come out
+    ordered by date, which tightens Parquet min/max statistics for date
+    predicates, and the sort already satisfies the writer's own ordering on
+    the partition keys. ``observation`` counts written rows once.
     """
     out = df
     if partition_by:
-        keys = (*partition_by, "date", "rank")
-        out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, "date", "rank")
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode(mode).option("compression", compression)
@@ -81,7 +80,3 @@ def register_table(spark: SparkSession, path: str, db: str, name: str,
 
 def use_database(spark: SparkSession, db: str) -> None:
     spark.catalog.setCurrentDatabase(db)
-
-
-def rows_by_region(charts: DataFrame) -> DataFrame:
-    return charts.groupBy("region").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "region")

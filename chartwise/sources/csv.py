@@ -53,13 +53,14 @@ def write_split_csv(df: DataFrame, path: str, keys=("country_code", "month_str")
                     observation: Observation | None = None) -> None:
     """One folder per (market, month), like the per-country-month split files.
 
-    Range-partitioning on the split keys plus ``date`` and ``rank`` keeps each
-    task on one or two folders (few files), while a hot market or month still
-    spreads over many tasks because range bounds are sampled from the data.
-    ``observation`` counts the written rows; it sits above the range
-    exchange so the bound-sampling job does not count them a second time.
+    ``rebalance`` on the split keys sends each (market, month) to one task,
+    so each folder normally gets one file; at run time AQE splits a
+    partition that outgrows the advisory size (a hot market or month) into
+    several and merges small ones. Unlike a range repartition this needs no
+    sampling job, i.e. no second read of the input. ``observation`` counts
+    the written rows (it sits above the exchange).
     """
-    out = df.repartitionByRange(*keys, "date", "rank")
+    out = df.hint("rebalance", *keys).sortWithinPartitions(*keys, "date", "rank")
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     out.write.mode(mode).partitionBy(*keys).options(**CSV_WRITE_OPTIONS).csv(path)
