@@ -33,33 +33,55 @@ class RunResult:
 
 def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
                  db: str = "charts_db", table: str = "charts", min_markets: int = 3,
-                 k_hits: int = 30, k_longevity: int = 5) -> RunResult:
+                 k_hits: int = 30, k_longevity: int = 5, split_files: bool = True) -> RunResult:
     """``raw`` is a CSV path (file or folder) or a DataFrame of raw text rows.
-    Stops at the first failed gate."""
+    Stops at the first failed gate.
+
+    ``split_files=True`` keeps the per-(market, month) CSV hand-off between
+    ingest and clean (useful when other tools consume those files). With
+    ``False`` ingest and clean run as one job straight to Parquet: the kept
+    rows are not written and re-read as CSV, and both row counts come from
+    the same write."""
     base = workdir.rstrip("/")
     split_dir, clean_dir = f"{base}/split", f"{base}/clean"
     result_dirs = {"q1": f"{base}/results/q1", "q2": f"{base}/results/q2", "q3": f"{base}/results/q3"}
     metrics: dict[str, int] = {}
     skipped: list[str] = []
 
-    # 1. ingest + split write
-    if done_marker(spark, split_dir):
-        skipped.append("ingest")
-    else:
-        raw_df = read_raw_csv(spark, raw) if isinstance(raw, str) else raw
-        obs = Observation("ingest")
-        write_split_csv(ingest(raw_df, cfg), split_dir, observation=obs)
-        metrics["ingested_rows"] = int(obs.get["rows"])
-        if metrics["ingested_rows"] == 0:
+    def raw_rows():
+        return read_raw_csv(spark, raw) if isinstance(raw, str) else raw
+
+    def check_ingest(n: int) -> None:
+        metrics["ingested_rows"] = n
+        if n == 0:
             raise GateError("ingest: no rows matched chart kind, years and markets")
 
-    # 2. clean -> Parquet
+    # 1. ingest (-> split CSV files, when kept)
+    obs_in = None
+    if split_files:
+        if done_marker(spark, split_dir):
+            skipped.append("ingest")
+        else:
+            obs_split = Observation("ingest")
+            write_split_csv(ingest(raw_rows(), cfg), split_dir, observation=obs_split)
+            check_ingest(int(obs_split.get["rows"]))
+
+    # 2. clean -> Parquet (fused with ingest when no split files are kept;
+    #    the rebalance exchange samples nothing, so the ingest count is exact)
     if done_marker(spark, clean_dir):
         skipped.append("clean")
+        if not split_files:
+            skipped.append("ingest")
     else:
-        split = read_split_csv(spark, split_dir).drop("country_code", "month_str")
+        if split_files:
+            kept = read_split_csv(spark, split_dir)
+        else:
+            kept, obs_in = observe_rows(ingest(raw_rows(), cfg), "ingest")
         obs = Observation("clean")
-        write_charts(clean(split, cfg.markets, cfg.max_rank), clean_dir, observation=obs)
+        write_charts(clean(kept.drop("country_code", "month_str"), cfg.markets, cfg.max_rank), clean_dir,
+                     observation=obs)
+        if obs_in is not None:
+            check_ingest(int(obs_in.get["rows"]))
         metrics["clean_rows"] = int(obs.get["rows"])
 
     # 3. table (fails when empty)
