@@ -21,6 +21,8 @@ def build_session(master: str | None = None, app: str = "chartwise", shuffle_par
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split oversized partitions of the rebalance exchanges used before writes
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
     if shuffle_partitions:
