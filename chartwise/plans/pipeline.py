@@ -18,7 +18,7 @@ from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly
 from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, IngestConfig
 from chartwise.session import done_marker
 from chartwise.sources.catalog import register_table, write_charts
-from chartwise.sources.csv import read_raw_csv, read_split_csv, write_split_csv
+from chartwise.sources.csv import drop_helpers, read_raw_csv, read_split_csv, write_split_csv
 from chartwise.sources.results import read_result_tsv, write_result_tsv
 
 
@@ -78,7 +78,7 @@ def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
         else:
             kept, obs_in = observe_rows(ingest(raw_rows(), cfg), "ingest")
         obs = Observation("clean")
-        write_charts(clean(kept.drop("country_code", "month_str"), cfg.markets, cfg.max_rank), clean_dir,
+        write_charts(clean(drop_helpers(kept, "country_code", "month_str"), cfg.markets, cfg.max_rank), clean_dir,
                      observation=obs)
         if obs_in is not None:
             check_ingest(int(obs_in.get["rows"]))

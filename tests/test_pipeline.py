@@ -66,3 +66,25 @@ def test_stream_processes_only_new_files(spark):
     got = read_charts(spark, out)
     assert 0 < n1 < got.count()
     assert _sorted(got.collect()) == _sorted(expected.collect())
+
+
+def test_split_counts_sum_to_ingest_count(spark):
+    from __spark_entry__ import queries
+    counts = queries()["split_counts"](spark, SF)
+    assert counts.agg({"rows": "sum"}).first()[0] == ingest(raw_charts(spark, SF), CFG).count() == 561
+
+
+def test_table_by_name_after_use(spark):
+    from chartwise.sources.catalog import register_table, use_database, write_charts
+    path = scratch_path(spark, "tbl")
+    write_charts(clean(ingest(raw_charts(spark, SF), CFG).drop("country_code", "month_str"), CFG.markets), path)
+    register_table(spark, path, "t_use", "charts")
+    before = spark.catalog.currentDatabase()
+    try:
+        use_database(spark, "t_use")
+        assert spark.sql("SELECT COUNT(*) AS n FROM charts").first().n == 372
+        # dropping the external table leaves its files
+        spark.sql("DROP TABLE charts")
+        assert read_charts(spark, path).count() == 372
+    finally:
+        use_database(spark, before)
