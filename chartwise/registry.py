@@ -28,7 +28,7 @@ from chartwise.session import scratch_path
 from chartwise.sources import catalog, csv, results
 from chartwise.sources.fixtures import FIXTURE_CONFIG as CFG
 from chartwise.sources.fixtures import raw_charts, table
-from chartwise.streaming.incremental import run_clean_stream
+from chartwise.streaming.incremental import run_clean_stream, run_ingest_clean_streams
 
 # Series parameters sized for fixture totals (thousands of streams per year)
 # so that both sides of the bar-height rule are exercised.
@@ -140,6 +140,16 @@ def pipeline_run(spark, sf):
     return res.reloaded["q2"]
 
 
+def stream_ingest_clean(spark, sf):
+    """Raw CSV landing folder -> ingest stream (split CSV sink) -> clean
+    stream (Parquet sink); returns the Parquet output read back."""
+    landing = scratch_path(spark, "stream-raw")
+    csv.write_raw_csv(_raw(spark, sf), landing)
+    split, out = scratch_path(spark, "stream-split"), scratch_path(spark, "stream-charts")
+    run_ingest_clean_streams(spark, landing, split, out, scratch_path(spark, "stream-ckpts"), CFG)
+    return catalog.read_charts(spark, out)
+
+
 def quality_gates(spark, sf):
     """Gates over one materialised run: the ingest output and the clean table
     are written once to the shared folder; the three answers are computed
@@ -226,6 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "result_roundtrip": result_roundtrip,
         "noise_lines": noise_lines,
         "stream_clean": stream_clean,
+        "stream_ingest_clean": stream_ingest_clean,
         # projections and scalar functions
         "normalize_columns": normalize_columns,
         "preview": preview,

@@ -1,6 +1,11 @@
-"""Incremental cleaning: raw chart CSVs that land in a folder (for example one
-new file per market and month) are cleaned into the partitioned Parquet
-table. The file source remembers processed files in its checkpoint and the
+"""Incremental ingest and cleaning with Structured Streaming.
+
+* ``start_ingest_stream``: raw chart CSVs landing in a folder are filtered
+  (chart kind, years, markets) and appended as split CSV files, one folder
+  per (market, month).
+* ``start_clean_stream``: split files (from the ingest stream or any other
+  producer) are cleaned into the partitioned Parquet table.
+ The file source remembers processed files in its checkpoint and the
 file sink commits each micro-batch exactly once, so a re-run (or a restart
 after a lost executor or driver) processes only files it has not seen.
 
@@ -15,8 +20,19 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from chartwise.operators.clean import clean
+from chartwise.operators.ingest import ingest
 from chartwise.schema import IngestConfig
-from chartwise.sources.csv import read_split_csv
+from chartwise.sources.csv import CSV_WRITE_OPTIONS, read_raw_csv, read_split_csv
+
+
+def start_ingest_stream(spark: SparkSession, raw_dir: str, split_dir: str, checkpoint: str, cfg: IngestConfig,
+                        keys=("country_code", "month_str"), max_files_per_batch: int = 1000,
+                        available_now: bool = True) -> StreamingQuery:
+    raw = read_raw_csv(spark, raw_dir, streaming=True, maxFilesPerTrigger=str(max_files_per_batch))
+    w = (ingest(raw, cfg).writeStream.format("csv").options(**CSV_WRITE_OPTIONS)
+         .option("checkpointLocation", checkpoint).partitionBy(*keys).outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start(split_dir)
 
 
 def start_clean_stream(spark: SparkSession, split_dir: str, out_dir: str, checkpoint: str,
@@ -31,9 +47,22 @@ def start_clean_stream(spark: SparkSession, split_dir: str, out_dir: str, checkp
     return w.start(out_dir)
 
 
-def run_clean_stream(spark: SparkSession, split_dir: str, out_dir: str, checkpoint: str, cfg: IngestConfig,
-                     timeout_s: float | None = None) -> None:
-    q = start_clean_stream(spark, split_dir, out_dir, checkpoint, cfg)
+def _drain(q: StreamingQuery, timeout_s: float | None) -> None:
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
+
+
+def run_clean_stream(spark: SparkSession, split_dir: str, out_dir: str, checkpoint: str, cfg: IngestConfig,
+                     timeout_s: float | None = None) -> None:
+    _drain(start_clean_stream(spark, split_dir, out_dir, checkpoint, cfg), timeout_s)
+
+
+def run_ingest_clean_streams(spark: SparkSession, raw_dir: str, split_dir: str, out_dir: str, checkpoint_dir: str,
+                             cfg: IngestConfig, timeout_s: float | None = None) -> None:
+    """Drain the ingest stream, then the clean stream over its output. Each
+    keeps its own checkpoint under ``checkpoint_dir``; re-running picks up
+    only raw files that arrived since."""
+    base = checkpoint_dir.rstrip("/")
+    _drain(start_ingest_stream(spark, raw_dir, split_dir, f"{base}/ingest", cfg), timeout_s)
+    _drain(start_clean_stream(spark, split_dir, out_dir, f"{base}/clean", cfg), timeout_s)
