@@ -23,7 +23,7 @@ from chartwise.operators.quality import quality_report
 from chartwise.plans import questions as Q
 from chartwise.plans import series as S
 from chartwise.plans.pipeline import run_pipeline
-from chartwise.schema import CHART_COLUMNS, Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, RAW_COLUMNS
+from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, RAW_COLUMNS
 from chartwise.session import scratch_path
 from chartwise.sources import catalog, csv, results
 from chartwise.sources.fixtures import FIXTURE_CONFIG as CFG
@@ -274,4 +274,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-__all__ = ["queries", "CHART_COLUMNS"]
+__all__ = ["queries"]
