@@ -3,7 +3,8 @@
 Input: raw chart CSV derived once from the test tables (the pipeline's real
 input format; its preparation is timed separately and not counted in the
 headline). Stages: ingest + split write, clean + Parquet + table, the three
-answers, the chart series, the one-pass funnel, then the whole run again
+answers (each computed and written as a result file), the chart series
+(built from the result files read back), the one-pass funnel, then the whole run again
 end to end through ``run_pipeline``, with and without the split-file hand-off.
 The headline ``value`` is the sum of the individual stages.
 
@@ -30,6 +31,8 @@ from chartwise.sources.catalog import register_table, write_charts  # noqa: E402
 from chartwise.sources.csv import read_raw_csv, read_split_csv, write_raw_csv, write_split_csv  # noqa: E402
 from chartwise.sources.fixtures import FIXTURE_CONFIG as CFG  # noqa: E402
 from chartwise.sources.fixtures import raw_charts  # noqa: E402
+from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA  # noqa: E402
+from chartwise.sources.results import read_result_tsv, write_result_tsv  # noqa: E402
 
 
 def main():
@@ -85,14 +88,19 @@ def stages(spark, raw_csv: str, times: dict) -> None:
         clean(read_split_csv(spark, split_dir).drop("country_code", "month_str"), CFG.markets), clean_dir))
     db = "bench_" + work.rsplit("-", 1)[-1]
     charts = timed("register_table", lambda: register_table(spark, clean_dir, db, "charts"))
-    q1 = cross_market_hits(charts)
-    q2 = chart_longevity(charts)
-    q3 = yearly_leader(charts, CFG.leader_region)
-    timed("q1_cross_market", q1.collect)
-    timed("q2_longevity", q2.collect)
-    timed("q3_yearly_leader", q3.collect)
-    timed("series", lambda: [series_cross_market(q1).collect(), series_longevity(q2, CFG.markets).collect(),
-                             series_yearly(q3).collect()])
+    answers = {"q1_cross_market": (cross_market_hits(charts), Q1_SCHEMA),
+               "q2_longevity": (chart_longevity(charts), Q2_SCHEMA),
+               "q3_yearly_leader": (yearly_leader(charts, CFG.leader_region), Q3_SCHEMA)}
+    result_dirs = {}
+    for name, (df, _) in answers.items():  # compute each answer and write its result file
+        result_dirs[name] = f"{work}/results/{name}"
+        timed(name, lambda df=df, name=name: write_result_tsv(df, result_dirs[name]))
+
+    def series_from_files():
+        q1, q2, q3 = (read_result_tsv(spark, result_dirs[n], schema) for n, (_, schema) in answers.items())
+        return [series_cross_market(q1).collect(), series_longevity(q2, CFG.markets).collect(),
+                series_yearly(q3).collect()]
+    timed("series", series_from_files)
     timed("pipeline_end_to_end", lambda: run_pipeline(spark, raw_csv, scratch_path(spark, "bench-e2e"), CFG,
                                                       db=db + "_e2e"))
     timed("pipeline_fused_end_to_end", lambda: run_pipeline(spark, raw_csv, scratch_path(spark, "bench-fused"), CFG,

@@ -1,6 +1,7 @@
 """End-to-end run: raw CSV -> split CSV -> clean Parquet -> catalog table ->
-three answers -> result files -> gates. Each stage writes to the shared
-folder and the next stage reads that output, so lineage is cut at every
+three answers -> result files -> gates -> chart series (from the files).
+Each stage writes to the shared folder and the next stage reads that
+output, so lineage is cut at every
 stage (a lost executor re-runs one stage, not the whole chain), and a stage
 whose output already holds ``_SUCCESS`` is skipped on a re-run.
 """
@@ -15,6 +16,7 @@ from chartwise.operators.clean import clean, observe_rows
 from chartwise.operators.ingest import ingest
 from chartwise.operators.quality import GateError, assert_report, quality_report
 from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader
+from chartwise.plans.series import series_cross_market, series_longevity, series_yearly
 from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, IngestConfig
 from chartwise.session import done_marker
 from chartwise.sources.catalog import register_table, write_charts
@@ -27,6 +29,7 @@ class RunResult:
     charts: DataFrame
     answers: dict[str, DataFrame]
     reloaded: dict[str, DataFrame]
+    series: dict[str, DataFrame]
     metrics: dict[str, int] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
 
@@ -107,4 +110,12 @@ def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
     schemas = {"q1": Q1_SCHEMA, "q2": Q2_SCHEMA, "q3": Q3_SCHEMA}
     reloaded = {n: read_result_tsv(spark, result_dirs[n], schemas[n]) for n in answers}
     assert_report(quality_report({f"result_{n}": df for n, df in reloaded.items()}))
-    return RunResult(charts=charts, answers=answers, reloaded=reloaded, metrics=metrics, skipped=skipped)
+
+    # 6. chart series from the result files (lazy; each is a few rows)
+    series = {
+        "cross_market": series_cross_market(reloaded["q1"]),
+        "longevity": series_longevity(reloaded["q2"], cfg.markets, k_longevity),
+        "yearly": series_yearly(reloaded["q3"]),
+    }
+    return RunResult(charts=charts, answers=answers, reloaded=reloaded, series=series, metrics=metrics,
+                     skipped=skipped)

@@ -31,6 +31,7 @@ def test_pipeline_matches_direct_answers_and_skips_on_rerun(spark):
     assert _sorted(res.reloaded["q1"].collect()) == _sorted(cross_market_hits(direct).collect())
     assert _sorted(res.reloaded["q2"].collect()) == _sorted(chart_longevity(direct).collect())
     assert _sorted(res.reloaded["q3"].collect()) == _sorted(yearly_leader(direct, "JP").collect())
+    assert len(res.series["cross_market"].collect()) == 30 and len(res.series["yearly"].collect()) == 5
     again = run_pipeline(spark, raw_csv, work, CFG, db="t_pipe")
     assert set(again.skipped) == {"ingest", "clean", "q1", "q2", "q3"}
 
