@@ -84,6 +84,11 @@ def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows as a side effect of whatever action runs next on ``df``
-    (a write, typically); read ``obs.get`` afterwards."""
+    (a write, typically); read ``obs.get`` afterwards.
+
+    The count is exact when the observed node runs in the final (result)
+    stage. Below a shuffle it runs in a map stage, and a map stage that is
+    re-executed after a lost executor adds its rows again - so such counts
+    feed only zero-row gates, never results."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
