@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
+from chartwise.functions.text import normalize_name
 from chartwise.schema import RAW_SCHEMA
 
 CSV_READ_OPTIONS = {
@@ -30,19 +32,47 @@ CSV_WRITE_OPTIONS = {
 }
 
 
+def raw_header(spark: SparkSession, path: str) -> list[str] | None:
+    """Column names from the header of the first file (one line is read, no
+    inference), partition folder keys included; None when there are no files."""
+    try:
+        return spark.read.options(header="true", sep=",", quote='"', escape='"').csv(path).columns
+    except AnalysisException:
+        return None
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: bool = False,
-                 multi_line: bool = False, **options) -> DataFrame:
+                 multi_line: bool = False, by_name: bool = True, **options) -> DataFrame:
     """A file or a directory of raw chart CSVs (partition folders included).
 
-    No schema inference: that would be an extra full pass over the input and
+    Columns are matched by header name (after the column-name rule: strip,
+    lower-case, blanks to underscores), so files listing the same columns in
+    another order read correctly; all values are read as text. Every file's
+    header is still checked against the first one (``enforceSchema=false``),
+    so files that disagree on order fail instead of silently swapping values.
+    ``by_name=False`` imposes ``schema`` positionally (header names must then
+    match it exactly).
+
+    No type inference: that would be an extra full pass over the input and
     would guess types differently file by file. Files are split into
     ``spark.sql.files.maxPartitionBytes`` chunks and parsed in parallel;
     ``multi_line=True`` allows newlines inside quoted fields but makes every
     file a single task, so it is opt-in for inputs known to need it.
     """
     reader = spark.readStream if streaming else spark.read
-    return (reader.schema(schema).options(**CSV_READ_OPTIONS)
-            .option("multiLine", "true" if multi_line else "false").options(**options).csv(path))
+    reader = reader.options(**CSV_READ_OPTIONS).option("multiLine", "true" if multi_line else "false") \
+        .options(**options)
+    header = raw_header(spark, path) if by_name else None
+    if not header:
+        return reader.schema(schema).csv(path)
+    by_norm = {normalize_name(h): h for h in header}
+    wanted = [f.name for f in schema.fields]
+    missing = [c for c in wanted if c not in by_norm]
+    if missing:
+        raise ValueError(f"raw CSV at {path} lacks columns {missing}; its header is {header}")
+    file_schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
+    df = reader.schema(file_schema).csv(path)
+    return df.select(*[F.col("`" + by_norm[c].replace("`", "``") + "`").alias(c) for c in wanted])
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -58,11 +58,33 @@ def test_casts_and_rejects(spark, tmp_dir):
     assert "t5" not in kept and "t4" in kept and "t3" not in kept
 
 
-def test_reordered_header_is_an_error(spark, tmp_dir):
+def test_columns_are_matched_by_header_name(spark, tmp_dir):
+    p = write(tmp_dir, "c.csv", "Title,Rank,Date,Artist,URL,Region,Chart,Trend,Streams\n"
+              "t,1,2017-01-01,a,u,Japan,top200,NEW_ENTRY,5\n")
+    r = read_raw_csv(spark, p).first()
+    assert (r.date, r.region, r.rank, r.title, r.artist, r.streams, r.url) == \
+        ("2017-01-01", "Japan", "1", "t", "a", "5", "u")
+
+
+def test_reordered_header_is_an_error_with_positional_schema(spark, tmp_dir):
     p = write(tmp_dir, "c.csv", "region,date,chart,trend,rank,title,artist,streams,url\n"
               "Japan,2017-01-01,top200,NEW_ENTRY,1,t,a,1,u\n")
     with pytest.raises(Exception):
-        read_raw_csv(spark, p).collect()
+        read_raw_csv(spark, p, by_name=False).collect()
+
+
+def test_files_disagreeing_on_order_are_an_error(spark, tmp_dir):
+    write(tmp_dir, "a.csv", HEADER + "2017-01-01,Japan,top200,NEW_ENTRY,1,t,a,1,u\n")
+    write(tmp_dir, "b.csv", "region,date,chart,trend,rank,title,artist,streams,url\n"
+          "Japan,2017-01-02,top200,NEW_ENTRY,1,t,a,1,u\n")
+    with pytest.raises(Exception):
+        read_raw_csv(spark, tmp_dir).collect()
+
+
+def test_missing_column_is_reported(spark, tmp_dir):
+    p = write(tmp_dir, "d.csv", "date,region,chart\n2017-01-01,Japan,top200\n")
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_raw_csv(spark, p)
 
 
 def test_funnel_counts_never_increase(spark):
