@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from chartwise.functions.text import normalize_name
 from chartwise.schema import RAW_SCHEMA
@@ -32,13 +31,29 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def raw_header(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names from the header of the first file (one line is read, no
-    inference), partition folder keys included; None when there are no files."""
-    try:
-        return spark.read.options(header="true", sep=",", quote='"', escape='"').csv(path).columns
-    except AnalysisException:
+def first_data_file(spark: SparkSession, path: str) -> str | None:
+    """The first data file under ``path`` (hidden and ``_``-prefixed entries
+    skipped), found with a lazy Hadoop listing that stops at the first hit
+    instead of listing the whole tree."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
         return None
+    if fs.getFileStatus(root).isFile():
+        return path
+    it = fs.listFiles(root, True)
+    while it.hasNext():
+        p = it.next().getPath()
+        rel = p.toString()[len(root.toString()):]
+        if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
+            return p.toString()
+    return None
+
+
+def raw_header(spark: SparkSession, data_file: str) -> list[str]:
+    """Column names from the header line of one file (no type inference)."""
+    return spark.read.options(header="true", sep=",", quote='"', escape='"').csv(data_file).columns
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: bool = False,
@@ -62,15 +77,19 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: b
     reader = spark.readStream if streaming else spark.read
     reader = reader.options(**CSV_READ_OPTIONS).option("multiLine", "true" if multi_line else "false") \
         .options(**options)
-    header = raw_header(spark, path) if by_name else None
-    if not header:
+    first = first_data_file(spark, path) if by_name else None
+    if first is None:  # positional schema, or no files yet (a stream waiting for input)
         return reader.schema(schema).csv(path)
+    header = raw_header(spark, first)
     by_norm = {normalize_name(h): h for h in header}
     wanted = [f.name for f in schema.fields]
-    missing = [c for c in wanted if c not in by_norm]
+    # folder keys (``key=value`` directories) are not in the file header
+    folder_keys = [c for c in wanted if c not in by_norm and f"/{c}=" in first]
+    missing = [c for c in wanted if c not in by_norm and c not in folder_keys]
     if missing:
         raise ValueError(f"raw CSV at {path} lacks columns {missing}; its header is {header}")
-    file_schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
+    by_norm.update({c: c for c in folder_keys})
+    file_schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header + folder_keys])
     df = reader.schema(file_schema).csv(path)
     return df.select(*[F.col("`" + by_norm[c].replace("`", "``") + "`").alias(c) for c in wanted])
 
