@@ -25,6 +25,11 @@ def build_session(master: str | None = None, app: str = "chartwise", shuffle_par
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+    if master and master.startswith("local"):
+        # One JVM: a distributed file-listing job only adds scheduling cost,
+        # so list partition folders on the driver. Clusters keep Spark's
+        # default (parallel listing beyond 32 folders per level).
+        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
