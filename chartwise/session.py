@@ -54,8 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="chartwise-")
-        spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(d)  # later calls find it via getCheckpointDir
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
