@@ -58,8 +58,10 @@ def main():
     prepare_s = round(time.perf_counter() - prep, 3)
 
     times: dict[str, float] = {}
-    stages(spark, raw_csv, times)
+    raw_rows = stages(spark, raw_csv, times)
     stage_total = sum(v for k, v in times.items() if not k.endswith("end_to_end"))
+    throughput = {f"{k}_raw_rows_per_s": round(raw_rows / v) for k, v in times.items()
+                  if k.endswith("end_to_end") and v > 0}
     print(json.dumps({
         "metric": "chart_pipeline_seconds",
         "value": round(stage_total, 3),
@@ -69,11 +71,14 @@ def main():
         "cpus": cpus,
         "prepare_raw_csv_s": prepare_s,
         "warmup": bool(warm and os.path.isdir(warm)),
+        "raw_rows": raw_rows,
+        **throughput,
     }))
     spark.stop()
 
 
-def stages(spark, raw_csv: str, times: dict) -> None:
+def stages(spark, raw_csv: str, times: dict) -> int:
+    """Run and time every stage; returns the number of raw rows."""
     def timed(name, fn):
         t0 = time.perf_counter()
         out = fn()
@@ -83,7 +88,7 @@ def stages(spark, raw_csv: str, times: dict) -> None:
     work = scratch_path(spark, "bench-run")
     split_dir, clean_dir = f"{work}/split", f"{work}/clean"
     timed("ingest_split", lambda: write_split_csv(ingest(read_raw_csv(spark, raw_csv), CFG), split_dir))
-    timed("funnel", lambda: funnel(read_raw_csv(spark, raw_csv), CFG).collect())
+    counts = timed("funnel", lambda: funnel(read_raw_csv(spark, raw_csv), CFG).first())
     timed("clean_write", lambda: write_charts(
         clean(read_split_csv(spark, split_dir).drop("country_code", "month_str"), CFG.markets), clean_dir))
     db = "bench_" + work.rsplit("-", 1)[-1]
@@ -105,6 +110,7 @@ def stages(spark, raw_csv: str, times: dict) -> None:
                                                       db=db + "_e2e"))
     timed("pipeline_fused_end_to_end", lambda: run_pipeline(spark, raw_csv, scratch_path(spark, "bench-fused"), CFG,
                                                             db=db + "_fused", split_files=False))
+    return int(counts.raw_rows)
 
 
 if __name__ == "__main__":
