@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartwise.session import path_exists
+
 # Line prefixes treated as console noise, not data.
 NOISE_PREFIXES = ("Note ", "WARN ", "INFO ", "SLF4J", "OK", "Time taken",
                   "Logging", "deprecated", "hive>", "WARNING")
@@ -46,9 +48,13 @@ def write_result_tsv(df: DataFrame, path: str, single_file: bool = True, mode: s
     out.write.mode(mode).options(**TSV_OPTIONS).csv(path)
 
 
-def read_result_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_result_tsv(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False) -> DataFrame:
     """Exact reader: names and types are imposed, not inferred; malformed
-    records are dropped; repeated header rows are removed."""
+    records are dropped; repeated header rows are removed. With
+    ``missing_ok`` a missing result gives an empty frame instead of an error
+    (the caller's gate then reports it)."""
+    if missing_ok and not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     df = (spark.read.schema(schema).options(**TSV_OPTIONS)
           .option("multiLine", "true").option("mode", "DROPMALFORMED").csv(path))
     first = schema.fields[0].name

@@ -34,3 +34,11 @@ def test_noise_filter(spark, tmp_dir):
                 "Song C\t7\n")
     rows = read_noisy_lines(spark, path, ["title", "n"], numeric=["n"]).collect()
     assert sorted((r.title, r.n) for r in rows) == [("Song A", 3.0), ("Song C", 7.0)]
+
+
+def test_missing_result_is_empty_when_allowed(spark, tmp_dir):
+    import pytest
+    missing = os.path.join(tmp_dir, "nothing-here")
+    assert read_result_tsv(spark, missing, SCHEMA, missing_ok=True).count() == 0
+    with pytest.raises(Exception):
+        read_result_tsv(spark, missing, SCHEMA).collect()
