@@ -1,6 +1,7 @@
-"""Raw chart CSV: explicit all-text schema on read, split write by market and
-month. Quotes inside fields are doubled (``""``), so the reader escapes with
-``"`` as well; a reordered header is an error, not a silent column swap."""
+"""Raw chart CSV: all-text read with columns matched by header name, and the
+split write by market and month. Quotes inside fields are doubled (``""``),
+so the reader escapes with ``"`` as well; files whose headers disagree are
+an error, not a silent column swap."""
 
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ CSV_READ_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "enforceSchema": "false",  # check header names against the schema
+    "enforceSchema": "false",  # check every file's header against the schema
     "mode": "PERMISSIVE",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
