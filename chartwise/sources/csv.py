@@ -35,8 +35,13 @@ CSV_WRITE_OPTIONS = {
 def first_data_file(spark: SparkSession, path: str) -> str | None:
     """The first data file under ``path`` (hidden and ``_``-prefixed entries
     skipped), found with a lazy Hadoop listing that stops at the first hit
-    instead of listing the whole tree."""
-    jvm = spark.sparkContext._jvm
+    instead of listing the whole tree. Without JVM access (Spark Connect)
+    the folder itself is returned and Spark reads the header from its
+    first file."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # noqa: BLE001 - no driver JVM handle in this client
+        return path
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
