@@ -30,6 +30,11 @@ def build_session(master: str | None = None, app: str = "chartwise", shuffle_par
         # so list partition folders on the driver. Clusters keep Spark's
         # default (parallel listing beyond 32 folders per level).
         conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
+        # Small inputs: let AQE keep more, smaller partitions so that work
+        # per output file (a partitioned write creates one per folder and
+        # task) spreads over all cores. Rebalance keeps one key in one task,
+        # so this adds tasks, not files.
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "128k"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
