@@ -69,17 +69,29 @@ def _stage_flags(raw: DataFrame, cfg: IngestConfig):
     return chart_ok, ingested, complete, valid
 
 
-def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
-    """One row of stage counts in a single pass over the raw rows:
+def funnel_columns(raw: DataFrame, cfg: IngestConfig) -> list:
+    """Aggregates counting the rows that survive each stage:
     raw -> chart kind -> chart+years+markets -> complete -> valid."""
     chart_ok, ingested, complete, valid = _stage_flags(raw, cfg)
-    return raw.agg(
-        F.count("*").alias("raw_rows"),
+    return [
+        F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(chart_ok).alias("chart_rows"),
         F.count_if(ingested).alias("ingested_rows"),
         F.count_if(complete).alias("complete_rows"),
         F.count_if(valid).alias("clean_rows"),
-    )
+    ]
+
+
+def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """One row of stage counts in a single pass over the raw rows."""
+    return raw.agg(*funnel_columns(raw, cfg))
+
+
+def observe_funnel(raw: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, Observation]:
+    """The same counts as a side effect of the next action that reads
+    ``raw`` (the ingest write), so no separate pass is needed."""
+    obs = Observation("funnel")
+    return raw.observe(obs, *funnel_columns(raw, cfg)), obs
 
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

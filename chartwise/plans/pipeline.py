@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from chartwise.operators.clean import clean, observe_rows
+from chartwise.operators.clean import clean, observe_funnel, observe_rows
 from chartwise.operators.ingest import ingest
 from chartwise.operators.quality import GateError, assert_report, quality_report
 from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader
@@ -51,8 +51,13 @@ def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
     metrics: dict[str, int] = {}
     skipped: list[str] = []
 
+    funnel_obs = []
+
     def raw_rows():
-        return read_raw_csv(spark, raw) if isinstance(raw, str) else raw
+        df = read_raw_csv(spark, raw) if isinstance(raw, str) else raw
+        df, obs = observe_funnel(df, cfg)  # stage counts from the same read
+        funnel_obs.append(obs)
+        return df
 
     def check_ingest(n: int) -> None:
         metrics["ingested_rows"] = n
@@ -86,6 +91,8 @@ def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
         if obs_in is not None:
             check_ingest(int(obs_in.get["rows"]))
         metrics["clean_rows"] = int(obs.get["rows"])
+    for obs in funnel_obs:
+        metrics.update({f"funnel_{k}": int(v) for k, v in obs.get.items()})
 
     # 3. table (fails when empty)
     charts = register_table(spark, clean_dir, db, table)
