@@ -92,3 +92,20 @@ def test_table_by_name_after_use(spark):
         assert read_charts(spark, path).count() == 372
     finally:
         use_database(spark, before)
+
+
+def test_command_line_run(spark, tmp_dir):
+    """The CLI with the reference defaults on a handmade raw file."""
+    from chartwise.__main__ import main
+    raw = os.path.join(tmp_dir, "charts.csv")
+    with open(raw, "w") as f:
+        f.write("title,rank,date,artist,url,region,chart,trend,streams\n")  # columns in another order
+        for day in range(1, 4):
+            for region in ("Japan", "Taiwan", "Hong Kong", "Brazil"):
+                f.write(f"Song A,1,2018-01-0{day},Artist,u,{region},top200,SAME_POSITION,1000\n")
+                f.write(f"Song B,2,2018-01-0{day},Other,u,{region},top200,SAME_POSITION,500\n")
+        f.write("Song C,1,2016-12-31,X,u,Japan,top200,NEW_ENTRY,10\n")  # outside the years
+        f.write("Song D,1,2018-01-01,X,u,Japan,viral50,NEW_ENTRY,10\n")  # other chart kind
+    metrics = main(["run", "--raw", raw, "--workdir", scratch_path(spark, "cli"), "--db", "t_cli", "--fused"],
+                   spark=spark)
+    assert metrics["ingested_rows"] == 18 and metrics["clean_rows"] == 18 and metrics["q1_rows"] == 2
