@@ -2,7 +2,8 @@
 
     python -m chartwise run --raw <csv file or folder> --workdir <shared folder>
         [--fused] [--chart top200] [--years 2017 2021] [--leader JP]
-        [--db charts_db] [--table charts] [--master local[*]]
+        [--markets "japan:JP:Japan,taiwan:TW:Taiwan"] [--db charts_db] [--table charts]
+        [--master local[*]]
 
 Defaults are the reference job's parameters (five markets, top200,
 2017-2021, yearly leader for JP). Prints the run metrics as one JSON line,
@@ -17,7 +18,8 @@ import json
 import sys
 
 from chartwise.plans.pipeline import run_pipeline
-from chartwise.schema import REFERENCE_CHART, REFERENCE_MAX_RANK, REFERENCE_YEARS, IngestConfig
+from chartwise.schema import (REFERENCE_CHART, REFERENCE_MARKETS, REFERENCE_MAX_RANK, REFERENCE_YEARS,
+                              IngestConfig, Market)
 from chartwise.session import build_session
 
 
@@ -32,6 +34,8 @@ def main(argv=None, spark=None) -> dict:
     run.add_argument("--years", nargs=2, type=int, default=list(REFERENCE_YEARS))
     run.add_argument("--max-rank", type=int, default=REFERENCE_MAX_RANK)
     run.add_argument("--leader", default="JP")
+    run.add_argument("--markets", default=None,
+                     help="comma-separated name:CODE:Display entries, in display order")
     run.add_argument("--db", default="charts_db")
     run.add_argument("--table", default="charts")
     run.add_argument("--min-markets", type=int, default=3)
@@ -41,7 +45,11 @@ def main(argv=None, spark=None) -> dict:
     args = ap.parse_args(argv)
 
     spark = spark or build_session(args.master, "chartwise")
-    cfg = IngestConfig(chart=args.chart, year_from=args.years[0], year_to=args.years[1],
+    markets = REFERENCE_MARKETS
+    if args.markets:
+        entries = [e.split(":") for e in args.markets.split(",") if e.strip()]
+        markets = tuple(Market(k.strip().lower(), c.strip(), d.strip(), i + 1) for i, (k, c, d) in enumerate(entries))
+    cfg = IngestConfig(chart=args.chart, year_from=args.years[0], year_to=args.years[1], markets=markets,
                        max_rank=args.max_rank, leader_region=args.leader)
     res = run_pipeline(spark, args.raw, args.workdir, cfg, db=args.db, table=args.table,
                        min_markets=args.min_markets, k_hits=args.hits, k_longevity=args.longevity,
