@@ -17,6 +17,7 @@ is the same stateless ``clean`` used in batch, so no state store is kept.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chartwise.operators.clean import clean
@@ -26,10 +27,18 @@ from chartwise.sources.csv import CSV_WRITE_OPTIONS, read_raw_csv, read_split_cs
 
 
 def start_ingest_stream(spark: SparkSession, raw_dir: str, split_dir: str, checkpoint: str, cfg: IngestConfig,
-                        keys=("country_code", "month_str"), max_files_per_batch: int = 1000,
-                        available_now: bool = True) -> StreamingQuery:
+                        keys=("country_code", "month_str"), max_files_per_batch: int = 100,
+                        salt_buckets: int = 8, available_now: bool = True) -> StreamingQuery:
+    """Each micro-batch is hash-partitioned on the split keys plus a salt of
+    ``salt_buckets`` values before the partitioned file sink: a batch then
+    writes at most keys x buckets files (instead of one per task and key),
+    and a key holding most of a batch is spread over ``salt_buckets``
+    tasks. (AQE, which balances the batch writes, does not run inside
+    micro-batches, so the bound is explicit here.)"""
     raw = read_raw_csv(spark, raw_dir, streaming=True, maxFilesPerTrigger=str(max_files_per_batch))
-    w = (ingest(raw, cfg).writeStream.format("csv").options(**CSV_WRITE_OPTIONS)
+    salt = F.pmod(F.xxhash64("date", "rank", "title", "artist"), F.lit(salt_buckets))
+    kept = ingest(raw, cfg).repartition(*[F.col(k) for k in keys], salt)
+    w = (kept.writeStream.format("csv").options(**CSV_WRITE_OPTIONS)
          .option("checkpointLocation", checkpoint).partitionBy(*keys).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(split_dir)
