@@ -109,3 +109,26 @@ def test_command_line_run(spark, tmp_dir):
     metrics = main(["run", "--raw", raw, "--workdir", scratch_path(spark, "cli"), "--db", "t_cli", "--fused"],
                    spark=spark)
     assert metrics["ingested_rows"] == 18 and metrics["clean_rows"] == 18 and metrics["q1_rows"] == 2
+
+
+def test_ingest_stream_picks_up_new_raw_files(spark):
+    from pyspark.sql import functions as F
+
+    from chartwise.streaming.incremental import run_ingest_clean_streams
+    raw = raw_charts(spark, SF)
+    early = F.coalesce(F.col("date") < F.lit("1998"), F.lit(False))
+    parts = [raw.filter(early), raw.filter(~early)]
+    landing, split, out, ckpt = (scratch_path(spark, n) for n in ("land", "split", "out", "ckpt"))
+    os.makedirs(landing)
+    counts = []
+    for i, part in enumerate(parts):
+        staged = scratch_path(spark, f"stage{i}")
+        write_raw_csv(part, staged)
+        for f in os.listdir(staged):
+            if f.endswith(".csv"):
+                shutil.copy(os.path.join(staged, f), os.path.join(landing, f"{i}-{f}"))
+        run_ingest_clean_streams(spark, landing, split, out, ckpt, CFG)
+        counts.append(read_charts(spark, out).count())
+    expected = clean(ingest(raw, CFG).drop("country_code", "month_str"), CFG.markets)
+    assert 0 < counts[0] < counts[1] == 372
+    assert _sorted(read_charts(spark, out).collect()) == _sorted(expected.collect())
