@@ -5,7 +5,7 @@ input format; its preparation is timed separately and not counted in the
 headline). Stages: ingest + split write, clean + Parquet + table, the three
 answers (each computed and written as a result file), the chart series
 (built from the result files read back), the one-pass funnel, then the whole run again
-end to end through ``run_pipeline``, with and without the split-file hand-off.
+end to end through ``run_job``, with and without the split-file hand-off.
 The headline ``value`` is the sum of the individual stages.
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chartwise.operators.clean import clean, funnel  # noqa: E402
 from chartwise.operators.ingest import ingest  # noqa: E402
-from chartwise.plans.pipeline import run_pipeline  # noqa: E402
+from chartwise.plans.runner import run_job  # noqa: E402
 from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader  # noqa: E402
 from chartwise.plans.series import series_cross_market, series_longevity, series_yearly  # noqa: E402
 from chartwise.session import build_session, scratch_path  # noqa: E402
@@ -63,7 +63,7 @@ def main():
     throughput = {f"{k}_raw_rows_per_s": round(raw_rows / v) for k, v in times.items()
                   if k.endswith("end_to_end") and v > 0}
     print(json.dumps({
-        "metric": "chart_pipeline_seconds",
+        "metric": "chart_job_seconds",
         "value": round(stage_total, 3),
         "unit": "sec",
         "queries": times,
@@ -106,9 +106,9 @@ def stages(spark, raw_csv: str, times: dict) -> int:
         return [series_cross_market(q1).collect(), series_longevity(q2, CFG.markets).collect(),
                 series_yearly(q3).collect()]
     timed("series", series_from_files)
-    timed("pipeline_end_to_end", lambda: run_pipeline(spark, raw_csv, scratch_path(spark, "bench-e2e"), CFG,
+    timed("run_end_to_end", lambda: run_job(spark, raw_csv, scratch_path(spark, "bench-e2e"), CFG,
                                                       db=db + "_e2e"))
-    timed("pipeline_fused_end_to_end", lambda: run_pipeline(spark, raw_csv, scratch_path(spark, "bench-fused"), CFG,
+    timed("run_fused_end_to_end", lambda: run_job(spark, raw_csv, scratch_path(spark, "bench-fused"), CFG,
                                                             db=db + "_fused", split_files=False))
     return int(counts.raw_rows)
 

@@ -17,7 +17,7 @@ import argparse
 import json
 import sys
 
-from chartwise.plans.pipeline import run_pipeline
+from chartwise.plans.runner import run_job
 from chartwise.schema import (REFERENCE_CHART, REFERENCE_MARKETS, REFERENCE_MAX_RANK, REFERENCE_YEARS,
                               IngestConfig, Market)
 from chartwise.session import build_session
@@ -51,7 +51,7 @@ def main(argv=None, spark=None) -> dict:
         markets = tuple(Market(k.strip().lower(), c.strip(), d.strip(), i + 1) for i, (k, c, d) in enumerate(entries))
     cfg = IngestConfig(chart=args.chart, year_from=args.years[0], year_to=args.years[1], markets=markets,
                        max_rank=args.max_rank, leader_region=args.leader)
-    res = run_pipeline(spark, args.raw, args.workdir, cfg, db=args.db, table=args.table,
+    res = run_job(spark, args.raw, args.workdir, cfg, db=args.db, table=args.table,
                        min_markets=args.min_markets, k_hits=args.hits, k_longevity=args.longevity,
                        split_files=not args.fused)
     print(json.dumps({"metrics": res.metrics, "skipped": res.skipped}))

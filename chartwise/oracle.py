@@ -220,7 +220,7 @@ FROM q2 q JOIN markets m ON m.code = q.region""",
   CASE WHEN streams_b > {FIXTURE_MIN_BAR} THEN {label_sql('title', 22)} || chr(10) || {label_sql('artist', 18)}
   END AS song_text
 FROM (SELECT *, CAST(total_streams AS DOUBLE) / {FIXTURE_SCALE} AS streams_b FROM q3) t ORDER BY year""",
-        "pipeline_run": with_(*CH, Q2) + "SELECT * FROM q2",
+        "end_to_end_run": with_(*CH, Q2) + "SELECT * FROM q2",
         "quality_report": with_(*CH, Q1, Q2, SONG_YEAR, YEAR_TOTALS, Q3)
         + f"SELECT gate, rows, rows >= 1 AS passed FROM ({gate_q}) g",
     }

@@ -34,7 +34,7 @@ class RunResult:
     skipped: list[str] = field(default_factory=list)
 
 
-def run_pipeline(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
+def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
                  db: str = "charts_db", table: str = "charts", min_markets: int = 3,
                  k_hits: int = 30, k_longevity: int = 5, split_files: bool = True) -> RunResult:
     """``raw`` is a CSV path (file or folder) or a DataFrame of raw text rows.

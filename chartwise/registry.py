@@ -22,7 +22,7 @@ from chartwise.operators import summaries as U
 from chartwise.operators.quality import quality_report
 from chartwise.plans import questions as Q
 from chartwise.plans import series as S
-from chartwise.plans.pipeline import run_pipeline
+from chartwise.plans.runner import run_job
 from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, RAW_COLUMNS
 from chartwise.session import scratch_path
 from chartwise.sources import catalog, csv, results
@@ -129,14 +129,14 @@ def stream_clean(spark, sf):
     return catalog.read_charts(spark, out)
 
 
-def pipeline_run(spark, sf):
+def end_to_end_run(spark, sf):
     """The whole run from raw CSV (ingest, split write, clean, Parquet, table,
     answers, result files, gates); returns the longevity answer as read back
     from its result file."""
-    raw_csv = scratch_path(spark, "pipeline-raw")
+    raw_csv = scratch_path(spark, "run-raw")
     csv.write_raw_csv(_raw(spark, sf), raw_csv)
-    work = scratch_path(spark, "pipeline")
-    res = run_pipeline(spark, raw_csv, work, CFG, db="chartwise_run_" + work.rsplit("-", 1)[-1])
+    work = scratch_path(spark, "run")
+    res = run_job(spark, raw_csv, work, CFG, db="chartwise_run_" + work.rsplit("-", 1)[-1])
     return res.reloaded["q2"]
 
 
@@ -270,7 +270,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "series_longevity": lambda s, sf: S.series_longevity(_q2(s, sf), CFG.markets),
         "series_yearly": lambda s, sf: S.series_yearly(_q3(s, sf), FIXTURE_SCALE, FIXTURE_MIN_BAR),
         "quality_report": quality_gates,
-        "pipeline_run": pipeline_run,
+        "end_to_end_run": end_to_end_run,
     }
 
 

@@ -5,7 +5,7 @@ import shutil
 
 from chartwise.operators.clean import clean
 from chartwise.operators.ingest import ingest
-from chartwise.plans.pipeline import run_pipeline
+from chartwise.plans.runner import run_job
 from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader
 from chartwise.session import scratch_path
 from chartwise.sources.catalog import read_charts
@@ -21,11 +21,11 @@ def _sorted(rows):
     return sorted(tuple(r) for r in rows)
 
 
-def test_pipeline_matches_direct_answers_and_skips_on_rerun(spark):
+def test_run_matches_direct_answers_and_skips_on_rerun(spark):
     raw_csv = scratch_path(spark, "raw")
     write_raw_csv(raw_charts(spark, SF), raw_csv)
     work = scratch_path(spark, "run")
-    res = run_pipeline(spark, raw_csv, work, CFG, db="t_pipe")
+    res = run_job(spark, raw_csv, work, CFG, db="t_pipe")
     direct = clean(ingest(raw_charts(spark, SF), CFG).drop("country_code", "month_str"), CFG.markets)
     assert res.metrics["ingested_rows"] == 561 and res.metrics["clean_rows"] == 372
     funnel = [res.metrics[f"funnel_{k}"] for k in ("raw_rows", "chart_rows", "ingested_rows", "complete_rows",
@@ -35,15 +35,15 @@ def test_pipeline_matches_direct_answers_and_skips_on_rerun(spark):
     assert _sorted(res.reloaded["q2"].collect()) == _sorted(chart_longevity(direct).collect())
     assert _sorted(res.reloaded["q3"].collect()) == _sorted(yearly_leader(direct, "JP").collect())
     assert len(res.series["cross_market"].collect()) == 30 and len(res.series["yearly"].collect()) == 5
-    again = run_pipeline(spark, raw_csv, work, CFG, db="t_pipe")
+    again = run_job(spark, raw_csv, work, CFG, db="t_pipe")
     assert set(again.skipped) == {"ingest", "clean", "q1", "q2", "q3"}
 
 
 def test_fused_run_equals_split_run(spark):
     raw_csv = scratch_path(spark, "raw")
     write_raw_csv(raw_charts(spark, SF), raw_csv)
-    split = run_pipeline(spark, raw_csv, scratch_path(spark, "a"), CFG, db="t_a")
-    fused = run_pipeline(spark, raw_csv, scratch_path(spark, "b"), CFG, db="t_b", split_files=False)
+    split = run_job(spark, raw_csv, scratch_path(spark, "a"), CFG, db="t_a")
+    fused = run_job(spark, raw_csv, scratch_path(spark, "b"), CFG, db="t_b", split_files=False)
     assert fused.metrics["ingested_rows"] == split.metrics["ingested_rows"] == 561
     assert fused.metrics["clean_rows"] == 372 and fused.metrics["funnel_raw_rows"] == 6000
     for q in ("q1", "q2", "q3"):

@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from chartwise.operators.clean import funnel  # noqa: E402
-from chartwise.plans.pipeline import run_pipeline  # noqa: E402
+from chartwise.plans.runner import run_job  # noqa: E402
 from chartwise.session import build_session, scratch_path  # noqa: E402
 from chartwise.sources.csv import read_raw_csv, write_raw_csv  # noqa: E402
 from chartwise.sources.fixtures import FIXTURE_CONFIG as CFG  # noqa: E402
@@ -49,9 +49,9 @@ def main():
     out["raw_rows"] = f.raw_rows
     for name, split in (("fused", False), ("split_files", True)):
         t0 = time.perf_counter()
-        res = run_pipeline(spark, raw_csv, scratch_path(spark, name), CFG, db=f"scale_{name}", split_files=split)
-        out[f"pipeline_{name}_s"] = round(time.perf_counter() - t0, 1)
-        out[f"pipeline_{name}_metrics"] = res.metrics
+        res = run_job(spark, raw_csv, scratch_path(spark, name), CFG, db=f"scale_{name}", split_files=split)
+        out[f"run_{name}_s"] = round(time.perf_counter() - t0, 1)
+        out[f"run_{name}_metrics"] = res.metrics
     print(json.dumps(out))
     spark.stop()
 
