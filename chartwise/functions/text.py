@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # ASCII whitespace removed by a full strip (F.trim removes blanks only).
 WHITESPACE = " \t\n\r\x0b\x0c"
 
+# Fixed value: default chart-label width in characters.
+DEFAULT_LABEL_WIDTH = 28
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,7 +30,7 @@ def ascii_safe(c) -> Column:
     return F.regexp_replace(_col(c), r"[^\x00-\x7F]", "?")
 
 
-def label(c, max_chars: int, ascii_only: bool = True) -> Column:
+def label(c, max_chars: int = DEFAULT_LABEL_WIDTH, ascii_only: bool = True) -> Column:
     """Chart label: the first ``max_chars`` code points, ASCII-safe when the
     renderer has no CJK font. NULL renders as an empty label."""
     s = F.substring(F.coalesce(_col(c).cast("string"), F.lit("")), 1, max_chars)

@@ -8,6 +8,8 @@ ranks to INT, so both engines report the same types.
 
 from __future__ import annotations
 
+from chartwise.functions.text import DEFAULT_LABEL_WIDTH
+from chartwise.plans import series as S
 from chartwise.registry import FIXTURE_MIN_BAR, FIXTURE_SCALE
 from chartwise.sources.fixtures import FIXTURE_CONFIG as CFG
 
@@ -134,8 +136,7 @@ def _noise_lines() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    colors = " ".join(f"WHEN {k} THEN '{v}'" for k, v in
-                      {3: "#A5D8FF", 4: "#339AF0", 5: "#1864AB", 6: "#003A8C", 7: "#001D4A"}.items())
+    colors = " ".join(f"WHEN {k} THEN '{v}'" for k, v in S.MARKET_COUNT_COLORS.items())
     gate_q = " UNION ALL ".join(
         f"SELECT '{g}' AS gate, CAST(COUNT(*) AS BIGINT) AS rows FROM {src}"
         for g, src in (("ingest", "ingested"), ("table", "charts"), ("result_q1", "q1"), ("result_q2", "q2"),
@@ -167,7 +168,7 @@ FROM raw_charts""",
         "coerce_numeric": with_(*BASE) + """SELECT title, artist, TRY_CAST(rank AS DOUBLE) AS rank,
   TRY_CAST(streams AS DOUBLE) AS streams FROM raw_charts
 WHERE TRY_CAST(rank AS DOUBLE) IS NOT NULL OR TRY_CAST(streams AS DOUBLE) IS NOT NULL""",
-        "label_text": f"SELECT doc_id, {label_sql('text', 28)} AS label, "
+        "label_text": f"SELECT doc_id, {label_sql('text', DEFAULT_LABEL_WIDTH)} AS label, "
                       "regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g') AS ascii_text FROM documents",
         "filter_chart": with_(*BASE) + f"SELECT {RAW_COLS} FROM raw_charts WHERE chart = '{CFG.chart}'",
         "filter_years": with_(*BASE) + f"SELECT {RAW_COLS} FROM raw_charts "
@@ -204,20 +205,23 @@ FROM raw_charts""",
     AS position,
   title, artist, CAST(num_countries AS INTEGER) AS num_countries,
   CAST(total_appearances AS INTEGER) AS total_appearances,
-  {label_sql('artist', 20, False)} || '  -  ' || {label_sql('title', 28, False)} AS label,
-  CASE CAST(num_countries AS INTEGER) {colors} ELSE '#A5D8FF' END AS color,
-  printf('Charted in %d markets', CAST(num_countries AS INTEGER)) AS legend
+  {label_sql('artist', S.CROSS_MARKET_ARTIST_WIDTH, False)} || '{S.CROSS_MARKET_SEPARATOR}'
+    || {label_sql('title', S.CROSS_MARKET_TITLE_WIDTH, False)} AS label,
+  CASE CAST(num_countries AS INTEGER) {colors} ELSE '{S.DEFAULT_COLOR}' END AS color,
+  printf('{S.LEGEND_FORMAT}', CAST(num_countries AS INTEGER)) AS legend
 FROM q1""",
         "series_longevity": with_(*CH, Q2) + f"""SELECT m.ordinal, m.display AS country, q.region,
   CAST(ROW_NUMBER() OVER (PARTITION BY m.display ORDER BY q.days_on_chart DESC, q.title, q.artist) AS INTEGER)
     AS position,
   q.title, q.artist, CAST(q.days_on_chart AS INTEGER) AS days_on_chart, q.best_rank,
-  {label_sql('q.title', 18)} || chr(10) || {label_sql('q.artist', 16)} AS label,
-  CASE WHEN q.best_rank > 0 THEN printf('#%d', q.best_rank) END AS badge
+  {label_sql('q.title', S.LONGEVITY_TITLE_WIDTH)} || chr(10) || {label_sql('q.artist', S.LONGEVITY_ARTIST_WIDTH)}
+    AS label,
+  CASE WHEN q.best_rank > 0 THEN printf('{S.BADGE_FORMAT}', q.best_rank) END AS badge
 FROM q2 q JOIN markets m ON m.code = q.region""",
         "series_yearly": with_(*CH, SONG_YEAR, YEAR_TOTALS, Q3) + f"""SELECT year, total_streams, streams_b,
-  printf('%.2f', streams_b) || 'B' AS bar_text,
-  CASE WHEN streams_b > {FIXTURE_MIN_BAR} THEN {label_sql('title', 22)} || chr(10) || {label_sql('artist', 18)}
+  printf('%.2f', streams_b) || '{S.BAR_TEXT_SUFFIX}' AS bar_text,
+  CASE WHEN streams_b > {FIXTURE_MIN_BAR}
+       THEN {label_sql('title', S.YEARLY_TITLE_WIDTH)} || chr(10) || {label_sql('artist', S.YEARLY_ARTIST_WIDTH)}
   END AS song_text
 FROM (SELECT *, CAST(total_streams AS DOUBLE) / {FIXTURE_SCALE} AS streams_b FROM q3) t ORDER BY year""",
         "end_to_end_run": with_(*CH, Q2) + "SELECT * FROM q2",

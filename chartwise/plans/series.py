@@ -22,6 +22,20 @@ from chartwise.schema import Market
 MARKET_COUNT_COLORS = {3: "#A5D8FF", 4: "#339AF0", 5: "#1864AB", 6: "#003A8C", 7: "#001D4A"}
 DEFAULT_COLOR = "#A5D8FF"
 
+# Label widths (characters) and text formats of the three charts.
+CROSS_MARKET_ARTIST_WIDTH = 20
+CROSS_MARKET_TITLE_WIDTH = 28
+CROSS_MARKET_SEPARATOR = "  -  "
+LEGEND_FORMAT = "Charted in %d markets"
+LONGEVITY_TITLE_WIDTH = 18
+LONGEVITY_ARTIST_WIDTH = 16
+BADGE_FORMAT = "#%d"
+YEARLY_TITLE_WIDTH = 22
+YEARLY_ARTIST_WIDTH = 18
+YEARLY_SCALE = 1e9  # streams per bar unit (billions)
+YEARLY_MIN_BAR = 0.3  # bars at or below this height carry no song text
+BAR_TEXT_SUFFIX = "B"  # after the two-decimal value
+
 
 def _color_map():
     flat = []
@@ -41,10 +55,10 @@ def series_cross_market(q1: DataFrame) -> DataFrame:
     return df.select(
         F.row_number().over(order).alias("position"),
         "title", "artist", "num_countries", "total_appearances",
-        F.concat(label("artist", 20, ascii_only=False), F.lit("  -  "), label("title", 28, ascii_only=False))
-        .alias("label"),
+        F.concat(label("artist", CROSS_MARKET_ARTIST_WIDTH, ascii_only=False), F.lit(CROSS_MARKET_SEPARATOR),
+                 label("title", CROSS_MARKET_TITLE_WIDTH, ascii_only=False)).alias("label"),
         F.coalesce(F.try_element_at(_color_map(), F.col("num_countries")), F.lit(DEFAULT_COLOR)).alias("color"),
-        F.format_string("Charted in %d markets", F.col("num_countries")).alias("legend"),
+        F.format_string(LEGEND_FORMAT, F.col("num_countries")).alias("legend"),
     )
 
 
@@ -61,12 +75,14 @@ def series_longevity(q2: DataFrame, markets: Sequence[Market], k: int = 5, ascii
     top = top_k_per_group(panels, ["country"], [F.desc("days_on_chart"), "title", "artist"], k, position="position")
     return top.select(
         "ordinal", "country", "region", "position", "title", "artist", "days_on_chart", "best_rank",
-        F.concat(label("title", 18, ascii_only), F.lit("\n"), label("artist", 16, ascii_only)).alias("label"),
-        F.when(F.col("best_rank") > 0, F.format_string("#%d", F.col("best_rank"))).alias("badge"),
+        F.concat(label("title", LONGEVITY_TITLE_WIDTH, ascii_only), F.lit("\n"),
+                 label("artist", LONGEVITY_ARTIST_WIDTH, ascii_only)).alias("label"),
+        F.when(F.col("best_rank") > 0, F.format_string(BADGE_FORMAT, F.col("best_rank"))).alias("badge"),
     ).orderBy("ordinal", "position")
 
 
-def series_yearly(q3: DataFrame, scale: float = 1e9, min_bar: float = 0.3, ascii_only: bool = True) -> DataFrame:
+def series_yearly(q3: DataFrame, scale: float = YEARLY_SCALE, min_bar: float = YEARLY_MIN_BAR,
+                  ascii_only: bool = True) -> DataFrame:
     """Bars of the yearly chart: total streams in units of ``scale`` with a
     two-decimal caption; the leading song is named only inside bars taller
     than ``min_bar``."""
@@ -76,8 +92,9 @@ def series_yearly(q3: DataFrame, scale: float = 1e9, min_bar: float = 0.3, ascii
     })
     return df.select(
         "year", "total_streams", "streams_b",
-        F.concat(F.expr("format_number(streams_b, '0.00')"), F.lit("B")).alias("bar_text"),
+        F.concat(F.expr("format_number(streams_b, '0.00')"), F.lit(BAR_TEXT_SUFFIX)).alias("bar_text"),
         F.when(F.col("streams_b") > F.lit(float(min_bar)),
-               F.concat(label("title", 22, ascii_only), F.lit("\n"), label("artist", 18, ascii_only)))
+               F.concat(label("title", YEARLY_TITLE_WIDTH, ascii_only), F.lit("\n"),
+                        label("artist", YEARLY_ARTIST_WIDTH, ascii_only)))
         .alias("song_text"),
     ).orderBy("year")

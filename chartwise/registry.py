@@ -223,7 +223,7 @@ def coerce_numeric_q(spark, sf):
 
 def label_text(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
-    return d.select("doc_id", label("text", 28).alias("label"), ascii_safe("text").alias("ascii_text"))
+    return d.select("doc_id", label("text").alias("label"), ascii_safe("text").alias("ascii_text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
