@@ -53,15 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
     machine-local path, so it is refused instead.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a client session without a driver context
+        sc = None
+    if sc is None:
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return d.rstrip("/")
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="chartwise-")
-        spark.sparkContext.setCheckpointDir(d)  # later calls find it via getCheckpointDir
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(d)  # later calls find it via getCheckpointDir
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
@@ -71,8 +79,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem, so it works on any URI."""
-    jvm = spark.sparkContext._jvm
+    """Existence check through Hadoop's FileSystem, so it works on any URI;
+    without a JVM handle (Spark Connect) it asks the file reader instead."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # noqa: BLE001
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except AnalysisException:
+            return False
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
