@@ -42,6 +42,14 @@ def build_session(master: str | None = None, app: str = "chartwise", shuffle_par
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") and not shuffle_partitions and \
+            spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
+        # AQE can merge shuffle partitions but not add them: start every
+        # shuffle wide (about four per core) so that even the largest one
+        # yields partitions near the advisory size, and let AQE coalesce.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                       str(max(2048, 4 * sc.defaultParallelism)))
     return spark
 
 
