@@ -45,13 +45,17 @@ def filter_valid(df: DataFrame, max_rank: int = 200) -> DataFrame:
     return df.filter((F.col("streams") > 0) & F.col("rank").between(1, max_rank))
 
 
-def clean(raw: DataFrame, markets: Sequence[Market], max_rank: int = 200) -> DataFrame:
+def clean(raw: DataFrame, markets: Sequence[Market], max_rank: int = 200,
+          complete_observation: Observation | None = None) -> DataFrame:
     """Raw text rows -> typed chart rows (``CHART_COLUMNS``). Permissive on
     markets: an unknown region stays as it is (market filtering is ingest's
-    job)."""
+    job). ``complete_observation`` counts the rows left after the NULL drop
+    (the "before" count of the range filters) as the data flows."""
     df = normalize_columns(raw)
-    df = cast_types(normalize_region(df, markets))
-    return filter_valid(drop_incomplete(df), max_rank).select(*CHART_COLUMNS)
+    df = drop_incomplete(cast_types(normalize_region(df, markets)))
+    if complete_observation is not None:
+        df = df.observe(complete_observation, F.count(F.lit(1)).alias("rows"))
+    return filter_valid(df, max_rank).select(*CHART_COLUMNS)
 
 
 def _stage_flags(raw: DataFrame, cfg: IngestConfig):
@@ -87,11 +91,14 @@ def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
     return raw.agg(*funnel_columns(raw, cfg))
 
 
-def observe_funnel(raw: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, Observation]:
-    """The same counts as a side effect of the next action that reads
-    ``raw`` (the ingest write), so no separate pass is needed."""
-    obs = Observation("funnel")
-    return raw.observe(obs, *funnel_columns(raw, cfg)), obs
+def observe_raw_counts(raw: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, Observation]:
+    """Raw and chart-kind row counts as a side effect of the next action
+    that reads ``raw``; only the chart column is inspected (no parsing). The
+    later funnel stages are counted where their rows already flow (ingest
+    output, ``clean``'s NULL drop, the write)."""
+    obs = Observation("raw")
+    chart_ok = F.coalesce(F.col("chart") == F.lit(cfg.chart), F.lit(False))
+    return raw.observe(obs, F.count(F.lit(1)).alias("raw_rows"), F.count_if(chart_ok).alias("chart_rows")), obs
 
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

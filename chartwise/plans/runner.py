@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from chartwise.operators.clean import clean, observe_funnel, observe_rows
+from chartwise.operators.clean import clean, observe_raw_counts, observe_rows
 from chartwise.operators.ingest import ingest
 from chartwise.operators.quality import GateError, assert_report, quality_report
 from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader
@@ -51,12 +51,12 @@ def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
     metrics: dict[str, int] = {}
     skipped: list[str] = []
 
-    funnel_obs = []
+    raw_obs = []
 
     def raw_rows():
         df = read_raw_csv(spark, raw) if isinstance(raw, str) else raw
-        df, obs = observe_funnel(df, cfg)  # stage counts from the same read
-        funnel_obs.append(obs)
+        df, obs = observe_raw_counts(df, cfg)  # counted on the same read
+        raw_obs.append(obs)
         return df
 
     def check_ingest(n: int) -> None:
@@ -85,14 +85,16 @@ def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
             kept = read_split_csv(spark, split_dir)
         else:
             kept, obs_in = observe_rows(ingest(raw_rows(), cfg), "ingest")
-        obs = Observation("clean")
-        write_charts(clean(drop_helpers(kept, "country_code", "month_str"), cfg.markets, cfg.max_rank), clean_dir,
-                     observation=obs)
+        obs, obs_complete = Observation("clean"), Observation("complete")
+        cleaned = clean(drop_helpers(kept, "country_code", "month_str"), cfg.markets, cfg.max_rank,
+                        complete_observation=obs_complete)
+        write_charts(cleaned, clean_dir, observation=obs)
         if obs_in is not None:
             check_ingest(int(obs_in.get["rows"]))
+        metrics["complete_rows"] = int(obs_complete.get["rows"])
         metrics["clean_rows"] = int(obs.get["rows"])
-    for obs in funnel_obs:
-        metrics.update({f"funnel_{k}": int(v) for k, v in obs.get.items()})
+    for obs in raw_obs:
+        metrics.update({k: int(v) for k, v in obs.get.items()})
 
     # 3. table (fails when empty)
     charts = register_table(spark, clean_dir, db, table)

@@ -28,8 +28,7 @@ def test_run_matches_direct_answers_and_skips_on_rerun(spark):
     res = run_job(spark, raw_csv, work, CFG, db="t_pipe")
     direct = clean(ingest(raw_charts(spark, SF), CFG).drop("country_code", "month_str"), CFG.markets)
     assert res.metrics["ingested_rows"] == 561 and res.metrics["clean_rows"] == 372
-    funnel = [res.metrics[f"funnel_{k}"] for k in ("raw_rows", "chart_rows", "ingested_rows", "complete_rows",
-                                                    "clean_rows")]
+    funnel = [res.metrics[k] for k in ("raw_rows", "chart_rows", "ingested_rows", "complete_rows", "clean_rows")]
     assert funnel == [6000, 4067, 561, 458, 372]
     assert _sorted(res.reloaded["q1"].collect()) == _sorted(cross_market_hits(direct).collect())
     assert _sorted(res.reloaded["q2"].collect()) == _sorted(chart_longevity(direct).collect())
@@ -45,7 +44,7 @@ def test_fused_run_equals_split_run(spark):
     split = run_job(spark, raw_csv, scratch_path(spark, "a"), CFG, db="t_a")
     fused = run_job(spark, raw_csv, scratch_path(spark, "b"), CFG, db="t_b", split_files=False)
     assert fused.metrics["ingested_rows"] == split.metrics["ingested_rows"] == 561
-    assert fused.metrics["clean_rows"] == 372 and fused.metrics["funnel_raw_rows"] == 6000
+    assert fused.metrics["clean_rows"] == 372 and fused.metrics["raw_rows"] == 6000 and fused.metrics["complete_rows"] == 458
     for q in ("q1", "q2", "q3"):
         assert _sorted(fused.reloaded[q].collect()) == _sorted(split.reloaded[q].collect())
 
