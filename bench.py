@@ -39,7 +39,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     sf = sf_dir.rsplit("sf", 1)[-1]
-    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")}
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="bench-wh-", dir="/tmp")}
     if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bench-ckpt-", dir="/tmp")
     spark = build_session(f"local[{cpus}]", "chartwise-bench", shuffle_partitions=2 * cpus, extra=extra)

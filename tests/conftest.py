@@ -16,7 +16,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     ckpt = tempfile.mkdtemp(prefix="chartwise-test-ckpt-")  # tests set their own shared folder
     s = build_session("local[*]", "chartwise-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt,
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="chartwise-test-wh-")})
     yield s
     s.stop()
 

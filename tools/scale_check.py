@@ -34,6 +34,7 @@ def main():
     cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
     spark = build_session(f"local[{cpus}]", "chartwise-scale", shuffle_partitions=4 * cpus,
                           extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="scale-", dir="/tmp"),
+                                 "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wh-", dir="/tmp"),
                                  "spark.driver.memory": "12g"})
     raw_csv = scratch_path(spark, "raw")
     t0 = time.perf_counter()
