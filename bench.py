@@ -108,9 +108,9 @@ def stages(spark, raw_csv: str, times: dict) -> int:
                 series_yearly(q3).collect()]
     timed("series", series_from_files)
     timed("run_end_to_end", lambda: run_job(spark, raw_csv, scratch_path(spark, "bench-e2e"), CFG,
-                                                      db=db + "_e2e"))
+                                            db=db + "_e2e"))
     timed("run_fused_end_to_end", lambda: run_job(spark, raw_csv, scratch_path(spark, "bench-fused"), CFG,
-                                                            db=db + "_fused", split_files=False))
+                                                  db=db + "_fused", split_files=False))
     return int(counts.raw_rows)
 
 
