@@ -1,4 +1,5 @@
-"""The three questions over clean charts. A song is (title, artist).
+"""The three questions over clean charts. A song is (title, artist) unless
+other entity keys are passed as ``song``.
 
 Every ranking ends with ``title, artist`` ascending so that equal counts are
 ordered the same way on every run (the original SQL had no tie-breaker).
@@ -16,6 +17,8 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,35 +28,36 @@ SONG = ("title", "artist")
 
 
 def cross_market_hits(charts: DataFrame, min_markets: int = 3, k: int = 30,
-                      market: str = "region") -> DataFrame:
+                      market: str = "region", song: Sequence[str] = SONG) -> DataFrame:
     """Songs charting in at least ``min_markets`` markets, most markets first,
     then most appearances; ``k`` rows."""
-    per_market = charts.groupBy(*SONG, market).agg(F.count(F.lit(1)).alias("n"))
-    songs = per_market.groupBy(*SONG).agg(
+    per_market = charts.groupBy(*song, market).agg(F.count(F.lit(1)).alias("n"))
+    songs = per_market.groupBy(*song).agg(
         F.count(market).alias("num_countries"),  # non-NULL markets = COUNT(DISTINCT market)
         F.sum("n").alias("total_appearances"),
     )
     hits = songs.filter(F.col("num_countries") >= min_markets)
-    return top_k(hits, [F.desc("num_countries"), F.desc("total_appearances"), F.asc("title"), F.asc("artist")], k)
+    return top_k(hits, [F.desc("num_countries"), F.desc("total_appearances"), *[F.asc(c) for c in song]], k)
 
 
-def chart_longevity(charts: DataFrame, k: int = 5, market: str = "region") -> DataFrame:
+def chart_longevity(charts: DataFrame, k: int = 5, market: str = "region",
+                    song: Sequence[str] = SONG) -> DataFrame:
     """Per market, the ``k`` songs with the most distinct chart days, with
     their best (lowest) rank."""
-    per_day = charts.groupBy(market, *SONG, "date").agg(F.min("rank").alias("day_best"))
-    songs = per_day.groupBy(market, *SONG).agg(
+    per_day = charts.groupBy(market, *song, "date").agg(F.min("rank").alias("day_best"))
+    songs = per_day.groupBy(market, *song).agg(
         F.count("date").alias("days_on_chart"),  # non-NULL dates = COUNT(DISTINCT date)
         F.min("day_best").alias("best_rank"),
     )
-    top = top_k_per_group(songs, [market], [F.desc("days_on_chart"), F.asc("title"), F.asc("artist")], k)
-    return top.orderBy(market, F.desc("days_on_chart"), "title", "artist")
+    top = top_k_per_group(songs, [market], [F.desc("days_on_chart"), *[F.asc(c) for c in song]], k)
+    return top.orderBy(market, F.desc("days_on_chart"), *song)
 
 
-def song_year_totals(charts: DataFrame, region: str) -> DataFrame:
+def song_year_totals(charts: DataFrame, region: str, song: Sequence[str] = SONG) -> DataFrame:
     """Yearly stream sum per song in one market (named ``peak_streams``: it
     is the song's best yearly total, the value that picks the leader)."""
     return (charts.filter(F.col("region") == F.lit(region))
-            .groupBy("year", *SONG).agg(F.sum("streams").alias("peak_streams")))
+            .groupBy("year", *song).agg(F.sum("streams").alias("peak_streams")))
 
 
 def yearly_totals(charts: DataFrame, region: str) -> DataFrame:
@@ -61,7 +65,7 @@ def yearly_totals(charts: DataFrame, region: str) -> DataFrame:
             .groupBy("year").agg(F.sum("streams").alias("total_streams")))
 
 
-def yearly_leader(charts: DataFrame, region: str = "JP") -> DataFrame:
+def yearly_leader(charts: DataFrame, region: str = "JP", song: Sequence[str] = SONG) -> DataFrame:
     """Per year in one market: total streams and the most-streamed song.
 
     One scan and two aggregations: song totals per year, then per year the
@@ -69,23 +73,22 @@ def yearly_leader(charts: DataFrame, region: str = "JP") -> DataFrame:
     the leader under the tie rule. Both aggregates combine map-side, so a
     year holding most rows is no hotter than the others.
     """
-    songs = song_year_totals(charts, region)
+    songs = song_year_totals(charts, region, song)
     per_year = songs.groupBy("year").agg(
         F.sum("peak_streams").alias("total_streams"),
-        F.min(F.struct(F.negative("peak_streams").alias("neg"), "title", "artist")).alias("lead"),
+        F.min(F.struct(F.negative("peak_streams").alias("neg"), *song)).alias("lead"),
     )
-    return (per_year.select("year", "total_streams", F.col("lead.title").alias("title"),
-                            F.col("lead.artist").alias("artist"),
+    return (per_year.select("year", "total_streams", *[F.col(f"lead.{c}").alias(c) for c in song],
                             F.negative("lead.neg").alias("peak_streams"))
             .orderBy("year"))
 
 
-def yearly_leader_join(charts: DataFrame, region: str = "JP") -> DataFrame:
+def yearly_leader_join(charts: DataFrame, region: str = "JP", song: Sequence[str] = SONG) -> DataFrame:
     """The same answer in the two-branch shape: per-year totals joined on
     ``year`` with the per-year top song (``row_number() = 1``). Both sides
     hold one row per year; Spark picks the join strategy from their sizes."""
     totals = yearly_totals(charts, region)
-    leaders = top_k_per_group(song_year_totals(charts, region), ["year"],
-                              [F.desc("peak_streams"), F.asc("title"), F.asc("artist")], 1)
+    leaders = top_k_per_group(song_year_totals(charts, region, song), ["year"],
+                              [F.desc("peak_streams"), *[F.asc(c) for c in song]], 1)
     j = totals.join(leaders, "year", "inner")
-    return j.select("year", "total_streams", "title", "artist", "peak_streams").orderBy("year")
+    return j.select("year", "total_streams", *song, "peak_streams").orderBy("year")

@@ -72,3 +72,12 @@ def test_hot_song_does_not_change_answers(spark):
     q1 = {(r.title, r.artist): r for r in cross_market_hits(boosted, 1, 1000).collect()}
     n_hot = boosted.filter((F.col("title") == hot.title) & (F.col("artist") == hot.artist)).count()
     assert q1[(hot.title, hot.artist)].total_appearances == n_hot
+
+
+def test_entity_keys_are_a_parameter(spark):
+    c = charts(spark)
+    by_artist = {r.artist: r for r in cross_market_hits(c, 1, 1000, song=["artist"]).collect()}
+    expected = {r.artist: r["count"] for r in c.groupBy("artist").count().collect()}
+    assert {a: r.total_appearances for a, r in by_artist.items()} == expected
+    lead = yearly_leader(c, "JP", song=["artist"]).collect()
+    assert [r.year for r in lead] == [1996, 1997, 1998, 1999, 2000] and lead[0].artist is not None
