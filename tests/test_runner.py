@@ -131,3 +131,22 @@ def test_ingest_stream_picks_up_new_raw_files(spark):
     expected = clean(ingest(raw, CFG).drop("country_code", "month_str"), CFG.markets)
     assert 0 < counts[0] < counts[1] == 372
     assert _sorted(read_charts(spark, out).collect()) == _sorted(expected.collect())
+
+
+def test_gates_fail_fast(spark):
+    import pytest
+
+    from chartwise.operators.quality import GateError
+    from chartwise.schema import CHARTS_SCHEMA, REFERENCE_MARKETS, IngestConfig
+    from chartwise.sources.catalog import register_table
+    raw_csv = scratch_path(spark, "raw-gate")
+    write_raw_csv(raw_charts(spark, SF), raw_csv)
+    # DQ1: the fixture holds none of these market names
+    with pytest.raises(GateError, match="ingest"):
+        run_job(spark, raw_csv, scratch_path(spark, "gate-run"), IngestConfig(markets=REFERENCE_MARKETS),
+                db="t_gate")
+    # DQ2: an empty table is refused
+    empty = scratch_path(spark, "empty")
+    spark.createDataFrame([], CHARTS_SCHEMA).write.parquet(empty)
+    with pytest.raises(RuntimeError, match="0 rows"):
+        register_table(spark, empty, "t_gate", "empty_charts", partition_by=())
