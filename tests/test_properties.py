@@ -42,3 +42,18 @@ def test_normalize_name(name):
 def test_label_counts_code_points(spark):
     df = spark.range(1).select(F.lit("\U0001F3B5 é日本").alias("v"))
     assert df.select(label("v", 3).alias("l")).first().l == "? ?"
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["japan", "south korea", "hong kong", "brazil", "Viet nam"]),
+                          st.text(alphabet=" \t\n", max_size=3), st.text(alphabet=" \t\n", max_size=3),
+                          st.booleans()), min_size=1, max_size=20))
+def test_market_code_matches_python_rule(spark, items):
+    from chartwise.functions.markets import market_code
+    from chartwise.schema import REFERENCE_MARKETS
+    codes = {m.key: m.code for m in REFERENCE_MARKETS}
+    raw = [pre + (name.upper() if up else name) + post for name, pre, post, up in items]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(raw)], "i int, region string")
+    got = {r.i: r.c for r in df.select("i", market_code("region", REFERENCE_MARKETS).alias("c")).collect()}
+    for i, r in enumerate(raw):
+        assert got[i] == codes.get(r.strip(" \t\n\r\x0b\x0c").lower(), r)
