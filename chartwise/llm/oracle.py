@@ -7,7 +7,7 @@ _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcde
 _OP2 = f"""
 WITH item AS (SELECT DISTINCT item_id, {_WORDS.format("text")} AS ws FROM benchmark),
 win AS (SELECT DISTINCT item_id, least(len(ws), 13) AS size,
-               unnest(list_transform(generate_series(1, greatest(len(ws) - 12, 1)), i -> array_to_string(ws[i:i + 12], ' '))) AS w
+               unnest(list_transform(generate_series(1, greatest(len(ws) - 12, 1)), lambda i: array_to_string(ws[i:i + 12], ' '))) AS w
         FROM item WHERE len(ws) > 0),
 doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
 seen AS (SELECT r, size, unnest(generate_series(1, len(ws) - size + 1)) AS pos, ws
