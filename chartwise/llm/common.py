@@ -59,3 +59,35 @@ def to_batches(rows: Iterable[tuple], schema: pa.Schema, weigh: Callable[[tuple]
 
 def _pack(buf: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*buf, strict=True), schema.types, strict=True)], schema=schema)
+
+
+#: Unicode white space, as regular expressions of the tokenizers see it (str.isspace() also takes \x1c-\x1f).
+WHITE = "\t-\r \x85\xa0  -     　"
+
+
+class Recent(dict):
+    """A cache of two generations: when the young one is full it becomes the
+    old one, so memory is bounded and frequent keys stay."""
+
+    def __init__(self, make: Callable, most: int = 150_000):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def byte_chars() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level
+    vocabularies: printable Latin-1 stands for itself, the other bytes for the
+    characters from U+0100 on, in order."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return {b: chr(b if b in own else next(rest)) for b in range(256)}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import decontaminate, simhash
+from chartwise.llm import bpe, decontaminate, simhash, tokenfile
 from chartwise.llm.common import table
 
 
@@ -26,5 +26,26 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    done = bpe.encode(docs, tokenizer_path("word_bpe_49k.json"), decoded=True)
+    return done.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfile.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenfile.new_folder(spark), end_id=0)
+    return tokenfile.read(spark, manifest, ids=False)
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_decontaminate)}
+    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op4_bpe, op10_token_files)}
