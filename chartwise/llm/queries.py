@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import bpe, decontaminate, simhash, tokenfile
+from chartwise.llm import bpe, decontaminate, fingerprint, sharding, simhash, tokenfile
 from chartwise.llm.common import table
 
 
@@ -36,6 +36,15 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(table(spark, sf_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = sharding.balance(table(spark, sf_dir, "documents"), shards=40)
+    return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenfile.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenfile.new_folder(spark), end_id=0)
     return tokenfile.read(spark, manifest, ids=False)
@@ -48,4 +57,4 @@ def tokenizer_path(name: str) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op4_bpe, op10_token_files)}
+    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op4_bpe, op6_fingerprint, op9_sharding, op10_token_files)}
