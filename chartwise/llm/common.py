@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartwise.session import scratch_path
@@ -91,3 +91,27 @@ def byte_chars() -> dict[int, str]:
     own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     rest = iter(range(0x100, 0x200))
     return {b: chr(b if b in own else next(rest)) for b in range(256)}
+
+
+def held_out(id_col: str, folds: int, fold: int):
+    """Whether crc32 of the id, as text, falls into the given fold (a null
+    id: crc32 of the empty text)."""
+    return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == F.lit(fold)
+
+
+def bounded_rows(ids: DataFrame, class_col: str, id_col: str, most: int) -> DataFrame:
+    """At most ``most`` rows in all, as many of each class as there are or as
+    fit, chosen by a hash of the id: the same rows on every run. Adds
+    ``of_class``, the number of rows of the class before choosing. ``ids``
+    should hold little more than its id and class."""
+    counts = {r[0]: r[1] for r in ids.groupBy(class_col).count().collect()}
+    if not counts:
+        return ids.withColumn("of_class", F.lit(0).cast("long"))
+    each = max(1, most // len(counts))
+    rank = F.pmod(F.xxhash64(id_col, F.lit("choose")), F.lit(1 << 40))
+    n = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col(class_col)]
+    # a hash threshold first, so that little is sorted
+    near = ids.withColumn("rank", rank).withColumn("of_class", n.cast("long")) \
+        .filter(F.col("rank") <= (F.lit(1.3 * each + 50) / F.col("of_class") * F.lit(float(1 << 40))))
+    best = Window.partitionBy(class_col).orderBy("rank", id_col)
+    return near.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= each).drop("k", "rank")

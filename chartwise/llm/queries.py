@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import bpe, decontaminate, fingerprint, sharding, simhash, tokenfile
-from chartwise.llm.common import table
+from chartwise.llm import bpe, decontaminate, fingerprint, langid, sharding, simhash, tokenfile, toxicity
+from chartwise.llm.common import held_out, id_and_text, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,19 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    said = langid.predict(docs, langid.train(langid.learning_rows(docs, 3, 1)))
+    return said.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = id_and_text(table(spark, sf_dir, "documents"))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), 5, 0)
+    said = toxicity.predict(docs, model)
+    return said.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(table(spark, sf_dir, "documents"))
 
@@ -57,4 +70,4 @@ def tokenizer_path(name: str) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op4_bpe, op6_fingerprint, op9_sharding, op10_token_files)}
+    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op9_sharding, op10_token_files)}
