@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import bpe, decontaminate, fingerprint, langid, sharding, simhash, tokenfile, toxicity
+from chartwise.llm import bpe, decontaminate, fingerprint, langid, lm, sharding, simhash, tokenfile, toxicity
 from chartwise.llm.common import held_out, id_and_text, table
 
 
@@ -26,6 +26,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = id_and_text(table(spark, sf_dir, "documents"))
+    out = held_out("doc_id", 5, 1)
+    return lm.score(docs, docs.filter(~out)).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -70,4 +76,4 @@ def tokenizer_path(name: str) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op9_sharding, op10_token_files)}
+    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op3_lm, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op9_sharding, op10_token_files)}
