@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import bpe, decontaminate, fingerprint, langid, lm, sharding, simhash, tokenfile, toxicity
+from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, sharding, simhash, tokenfile, toxicity
 from chartwise.llm.common import held_out, id_and_text, table
 
 
@@ -59,6 +59,11 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(table(spark, sf_dir, "documents"))
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = id_and_text(table(spark, sf_dir, "documents"))
+    return lines.dedup(docs, report=True).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = sharding.balance(table(spark, sf_dir, "documents"), shards=40)
     return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -76,4 +81,6 @@ def tokenizer_path(name: str) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op3_lm, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op9_sharding, op10_token_files)}
+    found = (op1_simhash, op2_decontaminate, op3_lm, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op8_lines, op9_sharding,
+             op10_token_files)
+    return {f.__name__: f for f in found}

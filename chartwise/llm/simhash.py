@@ -26,7 +26,7 @@ named id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -97,35 +97,47 @@ def _mask(positions: Iterable[int]) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
-def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Union the pairs (a, b) in a parent array, with the smaller as root."""
+def join_pairs(parent: np.ndarray, a: np.ndarray, b: np.ndarray, same: Callable[[int, int], bool] | None = None) -> None:
+    """Union the pairs (a, b) in a parent array, the smaller being the root;
+    with ``same``, only those it holds for. Pairs already joined aren't asked."""
     def root(x: int) -> int:
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        x, y = root(x), root(y)
-        if x != y:
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = root(i), root(j)
+        if x != y and (same is None or same(i, j)):
             parent[max(x, y)] = min(x, y)
 
 
-def _near_in_list(fps: np.ndarray, distance: int) -> np.ndarray:
-    """Parents of a spanning forest over the near pairs of one posting list."""
+def _roots(parent: np.ndarray) -> np.ndarray:
+    out = parent
+    while (out != out[out]).any():
+        out = out[out]
+    return out
+
+
+def near_in_list(fps: np.ndarray, distance: int, same: Callable[[int, int], bool] | None = None) -> np.ndarray:
+    """Parents of a spanning forest over the near pairs of one posting list
+    (with ``same``: over those that it holds for)."""
     m = len(fps)
     parent = np.arange(m)
-    step = max(1, (1 << 19) // m)
-    for at in range(0, m - 1, step):
+    at, step, most = 0, 1, max(1, (1 << 19) // m)
+    while at < m - 1:
         x = fps[at:at + step, None] ^ fps[None, at + 1:]
-        # tally of equal positional bytes; the others are not verified
-        same = (x.view(np.uint8).reshape(*x.shape, 8) == 0).sum(axis=2, dtype=np.uint8)
-        i, j = np.nonzero(same >= 8 - distance)
+        # tally of equal positional bytes; pairs with too few are not verified
+        equal = (x.view(np.uint8).reshape(*x.shape, 8) == 0).sum(axis=2, dtype=np.uint8)
+        i, j = np.nonzero(equal >= 8 - distance)
         ok = (j + 1 > i) & (np.bitwise_count(x[i, j]) <= distance)
         i, j = i[ok] + at, j[ok] + at + 1
         if len(i):
-            _join(parent, i, j)
-    return parent
+            label = _roots(parent)
+            apart = label[i] != label[j]
+            join_pairs(parent, i[apart], j[apart], same)
+        at, step = at + step, min(2 * step, most)
+    return _roots(parent)
 
 
 def _near_by_masks(fps: np.ndarray, distance: int, free: list[int]) -> np.ndarray:
@@ -142,25 +154,28 @@ def _near_by_masks(fps: np.ndarray, distance: int, free: list[int]) -> np.ndarra
             at = np.minimum(np.searchsorted(ranked, other), len(ranked) - 1)
             hit = np.nonzero((ranked[at] == other) & (ranked < other))[0]
             if len(hit):
-                _join(parent, order[hit], order[at[hit]])
-    return parent
+                join_pairs(parent, order[hit], order[at[hit]])
+    return _roots(parent)
 
 
-def _lists(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Posting lists (part, key, fingerprints) of more than one entry, from
-    rows sorted by (part, key); a list may span batches."""
-    held = [np.empty(0, np.int64)] * 3
+def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of more than one row of equal first two columns (part, key), from
+    rows sorted by these; a run may span batches."""
+    held: pa.Table | None = None
     for b in batches:
-        cols = [np.concatenate([h, b.column(k).to_numpy(zero_copy_only=False)]) for k, h in enumerate(held)]
-        new = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0)) + 1
-        edges = np.concatenate([[0], new])
+        t = pa.Table.from_batches([b])
+        if held is not None:
+            t = pa.concat_tables([held, t])
+        if not len(t):
+            continue
+        part, key = (t.column(k).to_numpy() for k in range(2))
+        edges = np.concatenate([[0], np.flatnonzero((np.diff(part) != 0) | (np.diff(key) != 0)) + 1])
         sizes = np.diff(edges)
         for k in np.flatnonzero(sizes > 1):
-            s = slice(edges[k], edges[k + 1])
-            yield int(cols[0][s.start]), int(cols[1][s.start]), cols[2][s]
-        held = [c[edges[-1]:] for c in cols]
-    if len(held[0]) > 1:
-        yield int(held[0][0]), int(held[1][0]), held[2]
+            yield t.slice(edges[k], sizes[k])
+        held = t.slice(edges[-1])
+    if held is not None and len(held) > 1:
+        yield held
 
 
 def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, split_over: int | None) -> DataFrame:
@@ -170,7 +185,8 @@ def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, sp
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for part, _, signed in _lists(batches):
+            for run_of in posting_lists(batches):
+                part, signed = run_of.column(0)[0].as_py(), run_of.column(2).to_numpy()
                 fps = signed.view(np.uint64)
                 if split_over and len(fps) > split_over:
                     yield from ((int(x), None, part) for x in signed)
@@ -178,7 +194,7 @@ def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, sp
                 if len(fps) > LIST_ROWS:
                     parent = _near_by_masks(fps, distance, [p for p in range(8) if p not in positions[part]])
                 else:
-                    parent = _near_in_list(fps, distance)
+                    parent = near_in_list(fps, distance)
                 for i in np.flatnonzero(parent != np.arange(len(parent))):
                     yield int(signed[i]), int(signed[parent[i]]), part
         return to_batches(rows(), schema)
@@ -187,27 +203,27 @@ def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, sp
         .mapInArrow(run, "u long, v long, part long")
 
 
+def index_rows(df: DataFrame, positions: list[tuple[int, ...]]) -> DataFrame:
+    """A row (part, key, and the columns of ``df``) for each key of each
+    fingerprint fp."""
+    entries = F.array(*[F.struct(F.lit(k).cast("long").alias("part"), F.col("fp").bitwiseAND(F.lit(_mask(p)).cast("long")).alias("key"))
+                        for k, p in enumerate(positions)])
+    return df.select(F.explode(entries).alias("e"), *df.columns).select("e.part", "e.key", *df.columns)
+
+
 def near_links(fps: DataFrame, distance: int = 3, list_rows: int = LIST_ROWS) -> DataFrame:
     """Links (u, v) that connect the distinct fingerprints in ``fps`` (fp:
     long) exactly as all pairs within ``distance`` bits would."""
     positions = key_positions(distance)
 
-    def index(df: DataFrame, keys: list[tuple[int, int]]) -> DataFrame:
-        entries = [F.struct(F.lit(k).cast("long").alias("part"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for k, m in keys]
-        return df.select("fp", F.explode(F.array(*entries)).alias("e")).select("e.part", "e.key", "fp")
-
-    first = index(fps, [(k, _mask(p)) for k, p in enumerate(positions)])
+    first = index_rows(fps, positions)
     if distance != 3:
         return _links(first, positions, distance, None).select("u", "v")
     found = materialise(_links(first, positions, distance, list_rows), "simhash-links")
     # the long lists again, with one more positional byte in the key
     finer = [(*p, x) for p in positions for x in range(8) if x not in p]
-    entries = F.array(*[F.struct(F.lit(k).cast("long").alias("part"),
-                                 F.col("fp").bitwiseAND(F.lit(_mask(p)).cast("long")).alias("key"))
-                        for k, p in enumerate(finer)])
     long_lists = found.filter(F.col("v").isNull()).select(F.col("u").alias("fp"), F.col("part").alias("was"))
-    second = long_lists.select("fp", "was", F.explode(entries).alias("e")) \
-        .filter(F.floor(F.col("e.part") / 4) == F.col("was")).select("e.part", "e.key", "fp")
+    second = index_rows(long_lists, finer).filter(F.floor(F.col("part") / 4) == F.col("was")).select("part", "key", "fp")
     return found.filter(F.col("v").isNotNull()).select("u", "v") \
         .unionAll(_links(second, finer, distance, None).select("u", "v"))
 
