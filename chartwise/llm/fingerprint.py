@@ -1,15 +1,15 @@
 """Document fingerprints by consistent weighted sampling.
 
-A document is a weighted set: its terms (words and pairs of neighbouring
-words, lower-cased) with their counts as weights. For each of ``samples``
+A document is a weighted set: its words, lower-cased, with their counts as
+weights. For each of ``samples``
 independent samples, every term draws gamma-distributed r and c and a uniform
 b from a hash of (term, sample); with t = floor(ln w / r + b) and
 ln a = ln c - r (t - b + 1), the sample is the (term, t) of smallest a. Two
 documents' samples are equal with a probability of exactly their generalised
 Jaccard similarity, sum of minima over sum of maxima of the weights.
 
-The gamma draws come from one 64-bit hash: 20 bits each choose a quantile of
-Gamma(2, 1) for r and for c (midpoints of 2**20 equal shares) and 24 bits give b.
+The draws come from hashes of 64 bits: 16 bits each choose a quantile of
+Gamma(2, 1) for r and for c (midpoints of 2**16 equal shares), and 32 bits give b.
 A sample is kept as 16 bits of a hash of (term, t), so unequal samples look
 equal once in 65,536.
 
@@ -21,7 +21,6 @@ fingerprints, wherever they stand. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,11 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartwise.llm.common import batch_rows, id_and_text, to_batches
+from chartwise.llm.common import Recent, batch_rows, id_and_text, to_batches
 
 SAMPLES = 64
-_BITS = 20
-_SLICE = 4096
+_BITS = 16
+_SLICE = 512
 
 
 def gamma_quantiles(bits: int = _BITS) -> np.ndarray:
@@ -50,50 +49,102 @@ def gamma_quantiles(bits: int = _BITS) -> np.ndarray:
     return x
 
 
-def sampler(samples: int = SAMPLES) -> Callable[[str | None], np.ndarray | None]:
-    """The function text -> samples as 16-bit integers (None: no terms)."""
+def word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def weighted_terms(text: str | None, hashes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the terms in rising order, their counts)."""
+    words = (text or "").lower().split()
+    return np.unique(np.array([hashes[w] for w in words], np.uint64), return_counts=True)
+
+
+def sampler(samples: int = SAMPLES) -> Callable[..., tuple[np.ndarray | None, ...]]:
+    """The function (text, ...) -> for each text its samples as 16-bit integers
+    (None: no terms). What a term draws is worked out once for all texts of a
+    call, so a text and its edited version cost little more than one."""
     g = gamma_quantiles()
     r_of, c_of = g.astype(np.float32), np.log(g).astype(np.float32)
-    mult = np.array([xxhash.xxh64_intdigest(f"sample {k}".encode()) | 1 for k in range(samples)], np.uint64)
-    low, b_low = np.uint64((1 << _BITS) - 1), np.float32(2.0 ** -24)
-
-    def draw(terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    seeds = np.array([xxhash.xxh32_intdigest(f"sample {k}".encode()) | 1 for k in range(2 * samples)], np.uint32).reshape(2, samples, 1)
+    every = np.arange(samples)
+    hashes = Recent(word_hash)
+    # arrays that are used again for each slice
+    spare = [np.empty(samples * _SLICE, kind) for kind in (np.uint32, np.uint32, np.int64, np.float32, np.float32, np.float32, np.float32)]
+
+    def draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """r, ln c and b of each sample and term."""
+        x, y, at, r, c, b, _ = (v[:samples * len(terms)].reshape(samples, -1) for v in spare)
+        low, high = (terms & np.uint64(0xFFFFFFFF)).astype(np.uint32), (terms >> np.uint64(32)).astype(np.uint32)
+        np.bitwise_xor(low, seeds[0], out=x)
+        x *= np.uint32(0x85EBCA6B)
+        np.right_shift(x, np.uint32(13), out=y)
+        x ^= y
+        x *= np.uint32(0xC2B2AE35)
+        np.right_shift(x, np.uint32(16), out=y)
+        x ^= y
+        np.right_shift(x, np.uint32(_BITS), out=y)
+        np.copyto(at, y)
+        r_of.take(at, mode="clip", out=r)
+        np.bitwise_and(x, np.uint32((1 << _BITS) - 1), out=y)
+        np.copyto(at, y)
+        c_of.take(at, mode="clip", out=c)
+        x += high  # the term's other bits
+        x *= seeds[1]
+        np.right_shift(x, np.uint32(15), out=y)
+        x ^= y
+        x *= np.uint32(0x9E3779B1)
+        np.copyto(b, x, casting="unsafe")
+        b *= np.float32(2.0 ** -32)
+        return r, c, b
+
+    def smallest(terms, counts, r, c, b):
         """Smallest ln a, its term's hash and its t, for each sample."""
-        h = (terms[:, None] ^ (terms[:, None] >> np.uint64(31))) * mult[None, :]
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-        r, lnc = r_of[h & low], c_of[(h >> np.uint64(_BITS)) & low]
-        b = ((h >> np.uint64(2 * _BITS)).astype(np.float32) + np.float32(0.5)) * b_low
-        t = np.floor(np.log(weights).astype(np.float32)[:, None] / r + b)
-        a = lnc - r * (t - b + np.float32(1))
-        at = a.argmin(axis=0)
-        k = np.arange(samples)
-        return a[at, k], terms[at], t[at, k].astype(np.int64)
-
-    def sample(text: str | None) -> np.ndarray | None:
-        words = (text or "").lower().split()
-        counts = Counter(words)
-        counts.update(map(" ".join, zip(words, words[1:], strict=False)))
-        if not counts:
-            return None
-        # in order of hash, so that equal sets of terms meet equal ties
-        pairs = sorted((xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")), w) for t, w in counts.items())
-        best = None
-        for k in range(0, len(pairs), _SLICE):
-            part = pairs[k:k + _SLICE]
-            got = draw(np.array([p[0] for p in part], np.uint64), np.array([p[1] for p in part], np.float64))
-            if best is None:
-                best = got
-            else:
-                less = got[0] < best[0]
-                best = tuple(np.where(less, n, o) for n, o in zip(got, best, strict=True))
-        mixed = (best[1] ^ (best[2].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xFF51AFD7ED558CCD)
-        return (mixed >> np.uint64(48)).astype(np.uint16)
+        a = spare[-1][:samples * len(terms)].reshape(samples, -1)
+        np.subtract(b, np.float32(1), out=a)  # for a weight of 1, t is 0
+        more = np.flatnonzero(counts > 1)
+        t = np.floor(np.log(counts[more]).astype(np.float32) / r[:, more] + b[:, more])
+        a[:, more] -= t
+        a *= r
+        a += c  # ln c - r (t - b + 1)
+        a[:, counts == 0] = np.inf
+        at = a.argmin(axis=1)
+        t_at = np.zeros(samples, np.int64)
+        if len(more):
+            where = np.minimum(np.searchsorted(more, at), len(more) - 1)
+            repeated = more[where] == at
+            t_at[repeated] = t[every[repeated], where[repeated]]
+        return a[every, at], terms[at], t_at
+
+    def sample(*texts: str | None) -> tuple[np.ndarray | None, ...]:
+        own = [weighted_terms(t, hashes) for t in texts]
+        union = own[0][0] if len(own) == 1 else np.unique(np.concatenate([o[0] for o in own]))
+        counts = np.zeros((len(own), len(union)), np.int64)
+        for k, (terms, n) in enumerate(own):
+            counts[k, np.searchsorted(union, terms)] = n
+        best: list = [None] * len(own)
+        for at in range(0, len(union), _SLICE):
+            terms = union[at:at + _SLICE]
+            drawn = draws(terms)
+            for k in range(len(own)):
+                some = counts[k, at:at + _SLICE]
+                if not some.any():
+                    continue
+                got = smallest(terms, some, *drawn)
+                if best[k] is not None:
+                    less = got[0] < best[k][0]
+                    got = tuple(np.where(less, n, o) for n, o in zip(got, best[k], strict=True))
+                best[k] = got
+        return tuple(_digest(*b[1:]) if b else None for b in best)
 
     return sample
 
 
+def _digest(terms: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """16 bits of a hash of (term, t)."""
+    mixed = (terms ^ (t.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xFF51AFD7ED558CCD)
+    return (mixed >> np.uint64(48)).astype(np.uint16)
+
+
 def to_text(s: np.ndarray | None) -> str:
     return "" if s is None else s.astype(">u2").tobytes().hex()
 
@@ -111,7 +162,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = sampler(samples)
-        return to_batches(((i, to_text(one(t))) for i, t in batch_rows(batches)), schema)
+        return to_batches(((i, to_text(*one(t))) for i, t in batch_rows(batches)), schema)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint string")
 
@@ -169,25 +220,32 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         sample = sampler(samples)
 
         def result(one: tuple, following: tuple):
-            _, doc, text, own = one
+            _, doc, text = one
             new = edited(text, following[2])
-            changed = sample(new) if new != text else own
-            return (doc, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), to_text(own), to_text(changed),
-                    likeness(own, changed), likeness(own, following[3]))
+            own, changed = sample(text, new)
+            return own, (doc, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), to_text(own), to_text(changed),
+                    likeness(own, changed))
 
         def rows():
-            before = None
+            # a row is complete once the next one's samples are known, those of
+            # the bucket's last from the lookahead
+            before = waiting = None
             done = None  # the bucket whose lookahead has come
             for bucket, own, doc, text in batch_rows(batches):
                 if bucket == done:
                     continue  # further rows of the lookahead's id
-                now = (bucket, doc, text or "", sample(text))
+                now = (bucket, doc, text or "")
                 if before and before[0] == bucket:
-                    yield result(before, now)
+                    print_of, row = result(before, now)
+                    if waiting:
+                        yield (*waiting[1], likeness(waiting[0], print_of))
+                    waiting = print_of, row
+                    if not own:
+                        yield (*row, likeness(print_of, sample(text)[0]))
                 if own:
                     before = now
                 else:
-                    before, done = None, bucket
+                    before, waiting, done = None, None, bucket
         return to_batches(rows(), schema)
 
     placed = _follow(id_and_text(docs, id_col, text_col))
