@@ -5,14 +5,17 @@ partial partitions of largest spread and adds them in opposite order, largest
 load to smallest, until one is left. Equal texts form one group, which is
 never split between shards.
 
-The method is spread over a cluster in two levels, the second being the same
-step on larger pieces: groups are dealt into blocks by a hash of their key, a
-task differences the groups of each block down to one partial partition, and
-the blocks' partial partitions (``shards`` numbers each) are differenced on the
-driver. The number of blocks grows with the number of groups, so that a task
-holds about ``block_groups`` of them, whatever the input. Rows never travel to
-a group's task: sizes are summed before the shuffle, and rows then join their
-group's place, so a group with a third of all rows is one row in its block.
+The method is spread over a cluster in two levels. Heavy groups, those that a
+block could not even out, are differenced first, on the driver: by their
+definition there are at most ``shards * HEAVY`` of them. The others are dealt into
+blocks by a hash of their key, and a task differences each block's groups
+together with one more partial partition, the block's share of the heavy
+loads; so every block fills up what the heavy groups left uneven, and the place of
+the heavy loads says which shard is which. The number of blocks grows with
+the number of groups: a task holds about ``block_groups`` of them, whatever
+the input. Rows never travel to a group's task: sizes are summed before the
+shuffle, and rows then join their group's shard, so a group with a third of all
+rows is one row among the heavy.
 
 Places within a shard come from prefix sums: rows are dealt by a hash of their
 id into row blocks, counted by (row block, shard), and numbered within these.
@@ -39,6 +42,8 @@ from chartwise.llm.common import id_and_text, materialise, to_batches
 ROW_BYTES = 16
 BLOCK_GROUPS = 20_000
 BLOCK_ROWS = 100_000
+#: A group is heavy if it is larger than a shard's size over four times the number of blocks, or over this.
+HEAVY = 2000
 
 
 def difference(tuples: list[np.ndarray]) -> list[np.ndarray]:
@@ -83,32 +88,36 @@ def single_places(sizes: np.ndarray, shards: int) -> np.ndarray:
     return np.array([p[0] for p in difference(list(loads))], np.int64)
 
 
-def _block_places(groups: DataFrame, shards: int) -> DataFrame:
-    """groups (block, key, size) -> block, key, place, size, solved block by block."""
-    schema = pa.schema([("block", pa.int64()), ("key", pa.binary()), ("place", pa.int32()), ("size", pa.int64())])
+def _in_blocks(groups: DataFrame, shards: int, share: np.ndarray) -> DataFrame:
+    """groups (block, key, size) -> key, shard. ``share`` is what each shard
+    already holds, over the number of blocks."""
+    schema = pa.schema([("key", pa.binary()), ("shard", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(block: int, held: list[tuple]):
-            places = single_places(np.array([s for _, s in held], np.int64), shards)
-            for (key, size), place in zip(held, places.tolist(), strict=True):
-                yield block, key, place, size
+        def solved(held: list[tuple]):
+            loads = np.zeros((len(held) + 1, shards), np.int64)
+            loads[0] = share
+            loads[1:, 0] = [size for _, size in held]
+            places = difference(list(loads))
+            shard_at = np.argsort(places[0])  # where the shards' own loads ended up
+            for (key, _), place in zip(held, places[1:], strict=True):
+                yield key, int(shard_at[place[0]])
 
         def rows():
             at, held = None, []
             for b in batches:
                 for block, key, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     if block != at and held:
-                        yield from solved(at, held)
+                        yield from solved(held)
                         held = []
                     at = block
                     held.append((key, size))
             if held:
-                yield from solved(at, held)
+                yield from solved(held)
         return to_batches(rows(), schema)
 
     # larger groups first within a block, equal ones by key: the same result however rows lie
-    return groups.repartition("block").sortWithinPartitions("block", F.desc("size"), "key") \
-        .mapInArrow(run, "block long, key binary, place int, size long")
+    return groups.repartition("block").sortWithinPartitions("block", F.desc("size"), "key").mapInArrow(run, "key binary, shard int")
 
 
 def balance(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
@@ -122,17 +131,17 @@ def balance(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col:
         "doc_id", (F.octet_length(text) + F.lit(row_bytes)).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
         F.unhex(F.sha2(raw, 256)).alias("key")), "shard-rows")
     groups = materialise(rows.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "shard-groups")
-    n_groups, n_rows = groups.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_groups, n_rows, total = groups.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
     blocks = max(1, -(-n_groups // block_groups))
-    placed = materialise(_block_places(groups.select(F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"), "key", "size"), shards), "shard-places")
-    # the blocks' partial partitions: blocks x shards numbers
-    loads: dict[int, np.ndarray] = {}
-    for r in placed.groupBy("block", "place").agg(F.sum("size").alias("size")).toLocalIterator():
-        loads.setdefault(r.block, np.zeros(shards, np.int64))[r.place] = r.size
-    of = sorted(loads)
-    shard_of = [(b, p, int(s)) for b, places in zip(of, difference([loads[b] for b in of]), strict=True) for p, s in enumerate(places)]
-    final = spark.createDataFrame(shard_of, "block long, place int, shard int")
-    where = placed.join(final, ["block", "place"]).select("key", "shard")
+    parts = shards * min(4 * blocks, HEAVY)
+    is_heavy = F.col("size") * F.lit(parts) >= F.lit(total)
+    heavy = sorted((-r["size"], bytes(r.key)) for r in groups.filter(is_heavy).select("key", "size").collect())  # at most ``parts``
+    sizes = np.array([-s for s, _ in heavy], np.int64)
+    shard_of = single_places(sizes, shards)
+    loads = np.bincount(shard_of, sizes, shards).astype(np.int64) if heavy else np.zeros(shards, np.int64)
+    first = spark.createDataFrame([(bytearray(k), int(s)) for (_, k), s in zip(heavy, shard_of, strict=True)], "key binary, shard int")
+    rest = groups.filter(~is_heavy).select(F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"), "key", "size")
+    where = materialise(_in_blocks(rest, shards, loads // blocks).unionByName(first), "shard-places")
     row_blocks = max(1, -(-n_rows // block_rows))
     out = materialise(rows.join(where, "key").select(
         "doc_id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(row_blocks)).alias("row_block")), "shard-members")
