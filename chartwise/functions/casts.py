@@ -6,41 +6,44 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DATE_FORMAT = "yyyy-MM-dd"
+from chartwise.functions.text import strip_ws
 
+# ISO dates, alone or followed by a time of day (with or without seconds,
+# fraction and zone).
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# Letters that Java's number parser knows and chart text does not: type
+# suffixes, hexadecimal, NaN and Infinity. What is left is a plain decimal,
+# with or without an exponent.
+NOT_A_NUMBER = "[dDfFxXnNiI]"
 
 
-# Integers below 2**53 are exact in a double.
-_EXACT_DOUBLE = float(2 ** 53)
+def _col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def to_long_lenient(c) -> Column:
     """Integer text exactly; decimal text such as ``100.0`` (written by tools
     that hold the column as float) truncated toward zero; anything else NULL.
 
-    The text is parsed as a double first: that parse does not fail on decimal
-    text, whereas a direct integer try-cast of ``100.0`` pays for a caught
-    exception on every row. Only magnitudes beyond 2**53 are re-parsed as
-    exact integers."""
-    c = _col(c)
-    d = c.try_cast("double")
-    return F.when(F.abs(d) < F.lit(_EXACT_DOUBLE), d.try_cast("bigint")) \
-        .otherwise(F.coalesce(c.try_cast("bigint"), d.try_cast("bigint")))
+    One decimal parse does for both: it is exact for every BIGINT, and knows
+    neither type suffixes nor hexadecimal."""
+    return _col(c).try_cast("decimal(38,18)").try_cast("bigint")
 
 
 def to_int_lenient(c) -> Column:
-    """As ``to_long_lenient`` for INT; every INT is exact in a double."""
-    return _col(c).try_cast("double").try_cast("int")
+    """As ``to_long_lenient`` for INT."""
+    return _col(c).try_cast("decimal(38,18)").try_cast("int")
 
 
-def to_chart_date(c, fmt: str = DATE_FORMAT) -> Column:
-    """``yyyy-MM-dd`` text to DATE; unparsable text is NULL, not an error."""
-    return F.try_to_date(_col(c), fmt)
+def to_chart_date(c) -> Column:
+    """ISO date or date-time text, padded or not, to DATE; other text is NULL,
+    not an error."""
+    s = strip_ws(c)
+    return F.when(s.rlike(DATE_PATTERN), F.substring(s, 1, 10).try_cast("date"))
 
 
 def coerce_numeric(c) -> Column:
     """Any text to DOUBLE, bad values NULL (the result-file reader's rule)."""
-    return _col(c).cast("string").try_cast("double")
+    s = _col(c).cast("string")
+    return F.when(~s.rlike(NOT_A_NUMBER), s.try_cast("double"))

@@ -1,7 +1,8 @@
-"""The market dimension: lookups as literal maps or a broadcast relation.
+"""The market dimension: lookups as literal maps or a relation.
 
-The dimension is a short hand-written list (bounded by ``MAX_MARKETS``), so
-shipping it whole to every task is safe however large the fact table grows.
+A list of up to ``MAX_MARKETS`` is marked for broadcast in joins; a longer one
+is joined as Spark sees fit. The literal maps are for short lists: a lookup
+goes through the entries one by one.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 from chartwise.functions.text import strip_ws
 from chartwise.schema import MAX_MARKETS, Market
 
-def _check(markets: Sequence[Market]) -> None:
-    if len(markets) > MAX_MARKETS:
-        raise ValueError(f"market dimension too large to broadcast: {len(markets)}")
+
+def small(dim: DataFrame, markets: Sequence[Market]) -> DataFrame:
+    """``dim``, marked for broadcast if the list is short enough."""
+    return F.broadcast(dim) if len(markets) <= MAX_MARKETS else dim
 
 
 def market_key(c="region") -> Column:
@@ -27,7 +29,6 @@ def market_key(c="region") -> Column:
 def markets_frame(spark: SparkSession, markets: Sequence[Market]) -> DataFrame:
     """The dimension as a literal relation built in the JVM (no Python
     workers are started to serve it)."""
-    _check(markets)
     rows = [F.struct(F.lit(m.key).alias("market_key"), F.lit(m.code).alias("code"),
                      F.lit(m.display).alias("display"), F.lit(m.ordinal).cast("int").alias("ordinal"))
             for m in markets]
@@ -43,7 +44,6 @@ def _literal_map(pairs) -> Column:
 
 def market_code(c="region", markets: Sequence[Market] = ()) -> Column:
     """Known market name -> code; any other value passes through unchanged."""
-    _check(markets)
     raw = F.col(c) if isinstance(c, str) else c
     code = F.try_element_at(_literal_map((m.key, m.code) for m in markets), market_key(raw))
     return F.coalesce(code, raw)
@@ -51,6 +51,5 @@ def market_code(c="region", markets: Sequence[Market] = ()) -> Column:
 
 def display_name(c="region", markets: Sequence[Market] = ()) -> Column:
     """Code -> display name, falling back to the code itself."""
-    _check(markets)
     raw = F.col(c) if isinstance(c, str) else c
     return F.coalesce(F.try_element_at(_literal_map((m.code, m.display) for m in markets), raw), raw)

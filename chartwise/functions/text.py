@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ASCII whitespace removed by a full strip (F.trim removes blanks only).
-WHITESPACE = " \t\n\r\x0b\x0c"
+# Unicode white space removed by a full strip (F.trim removes blanks only).
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) \
+    + "\u2028\u2029\u202f\u205f\u3000"
 
 # Fixed value: default chart-label width in characters.
 DEFAULT_LABEL_WIDTH = 28

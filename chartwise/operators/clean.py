@@ -15,7 +15,9 @@ from chartwise.functions.markets import market_code, market_key
 from chartwise.functions.text import normalize_name
 from chartwise.operators.ingest import _as_date
 from chartwise.schema import CHART_COLUMNS, IngestConfig, Market
+from chartwise.sources.csv import BAD_RECORD
 
+# The columns a chart row must have.
 REQUIRED = ("title", "artist", "streams", "region", "date", "rank")
 
 
@@ -70,15 +72,21 @@ def _stage_flags(raw: DataFrame, cfg: IngestConfig):
     complete = ingested & F.col("title").isNotNull() & F.col("artist").isNotNull() & streams.isNotNull() \
         & F.col("region").isNotNull() & d.isNotNull() & rank.isNotNull()
     valid = complete & F.coalesce((streams > 0) & rank.between(1, cfg.max_rank), F.lit(False))
+    if BAD_RECORD in raw.columns:
+        good = F.col(BAD_RECORD).isNull()
+        chart_ok, ingested, complete, valid = (good & c for c in (chart_ok, ingested, complete, valid))
     return chart_ok, ingested, complete, valid
 
 
 def funnel_columns(raw: DataFrame, cfg: IngestConfig) -> list:
     """Aggregates counting the rows that survive each stage:
-    raw -> chart kind -> chart+years+markets -> complete -> valid."""
+    raw -> chart kind -> chart+years+markets -> complete -> valid. If the raw
+    rows carry ``BAD_RECORD``, bad records are counted too and go no further."""
     chart_ok, ingested, complete, valid = _stage_flags(raw, cfg)
+    bad = [F.count(BAD_RECORD).alias("bad_records")] if BAD_RECORD in raw.columns else []
     return [
         F.count(F.lit(1)).alias("raw_rows"),
+        *bad,
         F.count_if(chart_ok).alias("chart_rows"),
         F.count_if(ingested).alias("ingested_rows"),
         F.count_if(complete).alias("complete_rows"),
@@ -92,13 +100,18 @@ def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
 
 
 def observe_raw_counts(raw: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, Observation]:
-    """Raw and chart-kind row counts as a side effect of the next action
-    that reads ``raw``; only the chart column is inspected (no parsing). The
+    """Raw and chart-kind row counts (and bad records, if they are marked) as a
+    side effect of the next action that reads ``raw``; nothing is parsed. The
     later funnel stages are counted where their rows already flow (ingest
     output, ``clean``'s NULL drop, the write)."""
     obs = Observation("raw")
+    counts = [F.count(F.lit(1)).alias("raw_rows")]
     chart_ok = F.coalesce(F.col("chart") == F.lit(cfg.chart), F.lit(False))
-    return raw.observe(obs, F.count(F.lit(1)).alias("raw_rows"), F.count_if(chart_ok).alias("chart_rows")), obs
+    if BAD_RECORD in raw.columns:
+        bad = F.col(BAD_RECORD).isNotNull()
+        chart_ok = chart_ok & ~bad
+        counts.append(F.count_if(bad).alias("bad_records"))
+    return raw.observe(obs, *counts, F.count_if(chart_ok).alias("chart_rows")), obs
 
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -107,7 +120,7 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
     The count is exact when the observed node runs in the final (result)
     stage. Below a shuffle it runs in a map stage, and a map stage that is
-    re-executed after a lost executor adds its rows again - so such counts
-    feed only zero-row gates, never results."""
+    re-executed after a lost executor adds its rows again - so a run
+    reports such counts as approximate, and no gate relies on them."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

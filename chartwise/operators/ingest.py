@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartwise.functions.casts import to_chart_date
-from chartwise.functions.markets import market_key, markets_frame
+from chartwise.functions.markets import market_key, markets_frame, small
 from chartwise.schema import IngestConfig, Market
 
 
@@ -36,16 +36,16 @@ def filter_years(df: DataFrame, year_from: int, year_to: int) -> DataFrame:
 
 def filter_markets(df: DataFrame, markets: Sequence[Market], region: str = "region") -> DataFrame:
     """Left-semi join on the (stripped, lower-cased) region against the
-    broadcast market dimension."""
+    market dimension."""
     m = markets_frame(df.sparkSession, markets).select("market_key")
-    return df.join(F.broadcast(m), market_key(df[region]) == m["market_key"], "left_semi")
+    return df.join(small(m, markets), market_key(df[region]) == m["market_key"], "left_semi")
 
 
 def lookup_market(df: DataFrame, markets: Sequence[Market], region: str = "region",
                   out: str = "country_code") -> DataFrame:
-    """Inner broadcast join: keeps known markets only and adds their code."""
+    """Inner join: keeps known markets only and adds their code."""
     m = markets_frame(df.sparkSession, markets).select("market_key", F.col("code").alias(out))
-    j = df.join(F.broadcast(m), market_key(df[region]) == m["market_key"], "inner")
+    j = df.join(small(m, markets), market_key(df[region]) == m["market_key"], "inner")
     return j.select(*[df[c] for c in df.columns], m[out])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -28,18 +29,18 @@ CHARTS_SCHEMA = T.StructType(
 )
 CHART_COLUMNS = tuple(f.name for f in CHARTS_SCHEMA.fields)
 
-# Column comments carried into the catalog table DDL.
+# What each column of the catalog table holds.
 CHART_COMMENTS = {
-    "date": "Chart date",
-    "region": "Country code",
-    "chart": "Chart type",
-    "trend": "Trend direction",
-    "rank": "Chart rank",
-    "title": "Song title",
-    "artist": "Artist name",
-    "streams": "Daily stream count",
-    "url": "Track URL",
-    "year": "Year (derived)",
+    "date": "Day the entry was on the chart",
+    "region": "Market: two letters if it is a known one, else the text as it came",
+    "chart": "Kind of chart the entry belongs to",
+    "trend": "How the entry moved since the day before",
+    "rank": "Place on that day, 1 is the top",
+    "title": "Name of the song",
+    "artist": "Who performs it",
+    "streams": "Plays counted in the market on that day",
+    "url": "Where the song can be heard",
+    "year": "Calendar year of date, kept for partitioning",
 }
 
 # Result sets of the three questions.
@@ -94,8 +95,8 @@ REFERENCE_CHART = "top200"
 REFERENCE_YEARS = (2017, 2021)
 REFERENCE_MAX_RANK = 200
 
-# A market dimension is shipped to every task as a literal map or a broadcast
-# relation; it is a hand-written list, and this bound keeps it that way.
+# A market list up to this long is marked for broadcast; a longer one is an
+# ordinary relation whose join Spark plans by size.
 MAX_MARKETS = 10_000
 
 
@@ -111,7 +112,8 @@ class IngestConfig:
     def __post_init__(self):
         if not self.markets:
             raise ValueError("at least one market is required")
-        if len(self.markets) > MAX_MARKETS:
-            raise ValueError(f"market dimension too large to broadcast: {len(self.markets)}")
+        for what in ("key", "code"):
+            if twice := [n for n, k in Counter(getattr(m, what) for m in self.markets).items() if k > 1]:
+                raise ValueError(f"market {what} given more than once: {sorted(twice)}")
         if self.year_from > self.year_to:
             raise ValueError("year_from must not exceed year_to")

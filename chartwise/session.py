@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "chartwise", shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, small_input: bool = False, wide_shuffles: bool = False) -> SparkSession:
     """Session with AQE on and the UI off. On a cluster, pass master=None and
-    let spark-submit decide; partitions then come from the cluster config."""
+    let spark-submit decide; partitions then come from the cluster config.
+    Two settings are the caller's choice, never guessed from the master:
+    ``small_input`` lists folders on the driver and lets AQE keep more,
+    smaller partitions; ``wide_shuffles`` starts every shuffle wide."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -25,7 +28,7 @@ def build_session(master: str | None = None, app: str = "chartwise", shuffle_par
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
-    if master and master.startswith("local"):
+    if small_input:
         # One JVM: a distributed file-listing job only adds scheduling cost,
         # so list partition folders on the driver. Clusters keep Spark's
         # default (parallel listing beyond 32 folders per level).
@@ -43,7 +46,7 @@ def build_session(master: str | None = None, app: str = "chartwise", shuffle_par
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     sc = spark.sparkContext
-    if not sc.master.startswith("local") and not shuffle_partitions and \
+    if wide_shuffles and not shuffle_partitions and \
             spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
         # AQE can merge shuffle partitions but not add them: start every
         # shuffle wide (about four per core) so that even the largest one
