@@ -60,7 +60,7 @@ def register_table(spark: SparkSession, path: str, db: str, name: str,
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     spark.sql(f"DROP TABLE IF EXISTS {qualified}")
     parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    escaped = path.replace("'", "\\'")
+    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"""
         CREATE TABLE {qualified} (
           {_ddl_columns(partition_by)}
@@ -74,7 +74,7 @@ def register_table(spark: SparkSession, path: str, db: str, name: str,
         spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
     t = spark.table(qualified).select(*CHART_COLUMNS)
     if require_rows and t.isEmpty():
-        raise RuntimeError(f"table {db}.{name} has 0 rows - Parquet at {path} missing or empty")
+        raise RuntimeError(f"no row in {db}.{name} (0 rows): nothing was written to {path}, or not as Parquet")
     return t
 
 

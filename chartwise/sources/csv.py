@@ -1,7 +1,13 @@
 """Raw chart CSV: all-text read with columns matched by header name, and the
 split write by market and month. Quotes inside fields are doubled (``""``),
 so the reader escapes with ``"`` as well; files whose headers disagree are
-an error, not a silent column swap."""
+an error, not a silent column swap.
+
+A record that does not fit (too few or too many fields, a quote that is never
+closed, a line break in a quoted field when ``multi_line`` is off) is
+a bad record: it is kept as text in the column ``BAD_RECORD`` with
+``bad_records="keep"``, left out with ``"drop"``, or ends the job with ``"fail"``.
+Its fields never come through shifted or half empty as if they were data."""
 
 from __future__ import annotations
 
@@ -12,6 +18,9 @@ from pyspark.sql import types as T
 from chartwise.functions.text import normalize_name
 from chartwise.schema import RAW_SCHEMA
 
+#: Column that holds the text of a record that does not fit, else NULL.
+BAD_RECORD = "_bad_record"
+
 CSV_READ_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -19,6 +28,8 @@ CSV_READ_OPTIONS = {
     "escape": '"',
     "enforceSchema": "false",  # check every file's header against the schema
     "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": BAD_RECORD,
+    "columnPruning": "false",  # a record is judged by all its fields, whatever a query selects
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -32,9 +43,26 @@ CSV_WRITE_OPTIONS = {
 }
 
 
+def is_good(first_column: str):
+    """Whether a row read with ``BAD_RECORD`` is a good record. The condition
+    names a column of the data too, since Spark refuses a query on a CSV file
+    that uses nothing but the bad-record column (a count, for instance)."""
+    return F.col(BAD_RECORD).isNull() & _names(first_column)
+
+
+def is_bad(first_column: str):
+    return F.col(BAD_RECORD).isNotNull() & _names(first_column)
+
+
+def _names(column: str):
+    """Always true, but not known to be so before a row is seen."""
+    c = F.col(f"`{column}`").cast("string")
+    return c.isNull() | (F.length(c) >= 0)
+
+
 def first_data_file(spark: SparkSession, path: str) -> str | None:
-    """The first data file under ``path`` (hidden and ``_``-prefixed entries
-    skipped), found with a lazy Hadoop listing that stops at the first hit
+    """The first data file under ``path`` (a file, a folder or a glob pattern;
+    hidden and ``_``-prefixed entries skipped), found with a lazy Hadoop listing that stops at the first hit
     instead of listing the whole tree. Without JVM access (Spark Connect)
     the folder itself is returned and Spark reads the header from its
     first file."""
@@ -44,10 +72,15 @@ def first_data_file(spark: SparkSession, path: str) -> str | None:
         return path
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    if fs.getFileStatus(root).isFile():
-        return path
+    for found in fs.globStatus(root) or ():
+        if found.isFile():
+            return found.getPath().toString()
+        if inner := _first_below(fs, found.getPath()):
+            return inner
+    return None
+
+
+def _first_below(fs, root) -> str | None:
     it = fs.listFiles(root, True)
     while it.hasNext():
         p = it.next().getPath()
@@ -63,7 +96,7 @@ def raw_header(spark: SparkSession, data_file: str) -> list[str]:
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: bool = False,
-                 multi_line: bool = False, by_name: bool = True, **options) -> DataFrame:
+                 multi_line: bool = False, by_name: bool = True, bad_records: str = "drop", **options) -> DataFrame:
     """A file or a directory of raw chart CSVs (partition folders included).
 
     Columns are matched by header name (after the column-name rule: strip,
@@ -78,14 +111,28 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: b
     would guess types differently file by file. Files are split into
     ``spark.sql.files.maxPartitionBytes`` chunks and parsed in parallel;
     ``multi_line=True`` allows newlines inside quoted fields but makes every
-    file a single task, so it is opt-in for inputs known to need it.
+    file a single task, so it is opt-in for inputs known to need it; without
+    it such records are bad records (see the module's text).
     """
+    if bad_records not in ("keep", "drop", "fail"):
+        raise ValueError("bad_records must be keep, drop or fail")
     reader = spark.readStream if streaming else spark.read
     reader = reader.options(**CSV_READ_OPTIONS).option("multiLine", "true" if multi_line else "false") \
         .options(**options)
+    bad_field = T.StructField(BAD_RECORD, T.StringType(), True)
+
+    def judged(df: DataFrame, columns: list) -> DataFrame:
+        if bad_records == "keep":
+            return df.select(*columns, BAD_RECORD)
+        good = is_good(df.columns[0])
+        if bad_records == "fail":
+            said = F.concat(F.lit("bad record in raw CSV: "), F.substring(BAD_RECORD, 1, 300))
+            good = F.when(good, F.lit(True)).otherwise(F.raise_error(said).isNotNull())
+        return df.filter(good).select(*columns)
+
     first = first_data_file(spark, path) if by_name else None
     if first is None:  # positional schema, or no files yet (a stream waiting for input)
-        return reader.schema(schema).csv(path)
+        return judged(reader.schema(T.StructType([*schema.fields, bad_field])).csv(path), [f.name for f in schema.fields])
     header = raw_header(spark, first)
     by_norm = {normalize_name(h): h for h in header}
     wanted = [f.name for f in schema.fields]
@@ -95,9 +142,9 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: b
     if missing:
         raise ValueError(f"raw CSV at {path} lacks columns {missing}; its header is {header}")
     by_norm.update({c: c for c in folder_keys})
-    file_schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header + folder_keys])
+    file_schema = T.StructType([*[T.StructField(h, T.StringType(), True) for h in header + folder_keys], bad_field])
     df = reader.schema(file_schema).csv(path)
-    return df.select(*[F.col("`" + by_norm[c].replace("`", "``") + "`").alias(c) for c in wanted])
+    return judged(df, [F.col("`" + by_norm[c].replace("`", "``") + "`").alias(c) for c in wanted])
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -122,11 +169,13 @@ def write_split_csv(df: DataFrame, path: str, keys=("country_code", "month_str")
 
 
 def read_split_csv(spark: SparkSession, path: str, keys=("country_code", "month_str"),
-                   streaming: bool = False, **options) -> DataFrame:
+                   streaming: bool = False, multi_line: bool = True, **options) -> DataFrame:
     """Split folders back as raw rows. The folder keys are declared as text so
-    that partition discovery does not guess a type for them (``1996-01``)."""
+    that partition discovery does not guess a type for them (``1996-01``).
+    Files written here may hold line breaks in quoted fields, so a file is
+    read whole by default; the writer keeps files to a task's size."""
     schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(k, T.StringType(), True) for k in keys])
-    return read_raw_csv(spark, path, schema=schema, streaming=streaming, **options)
+    return read_raw_csv(spark, path, schema=schema, streaming=streaming, multi_line=multi_line, **options)
 
 
 def drop_helpers(df: DataFrame, *cols: str) -> DataFrame:

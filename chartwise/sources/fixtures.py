@@ -1,7 +1,7 @@
 """Raw chart rows derived from the TPC-H-style test tables.
 
 One raw row per lineitem, every column text, with deliberate defects (bad
-dates, padded upper-case regions, another chart kind, out-of-range ranks,
+dates, dates with a time of day, regions padded with blanks or other white space, another chart kind, out-of-range ranks,
 missing titles and streams, decimal stream text) so that each cleaning rule
 has rows to act on. The same expressions appear in the DuckDB oracle.
 """
@@ -46,10 +46,15 @@ def raw_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(buyer, li.l_orderkey == buyer.o_orderkey).join(part, F.col("l_partkey") == part.p_partkey)
 
     c = F.col
+    day = c("o_orderdate").cast("date").cast("string")
     cols = {
         "date": F.when(c("l_orderkey") % 97 == 0, F.lit("not-a-date"))
-        .otherwise(c("o_orderdate").cast("date").cast("string")),
+        .when(c("l_orderkey") % 89 == 0, F.concat(day, F.lit(" 00:00:00")))
+        .when(c("l_orderkey") % 83 == 0, F.concat(day, F.lit("T12:30:00")))
+        .when(c("l_orderkey") % 79 == 0, F.concat(day, F.lit(" ")))
+        .otherwise(day),
         "region": F.when(c("o_orderkey") % 3 == 0, F.concat(F.lit(" "), F.upper(c("n_name")), F.lit(" ")))
+        .when(c("o_orderkey") % 5 == 0, F.concat(F.lit("\xa0"), c("n_name"), F.lit("\u3000")))
         .otherwise(c("n_name")),
         "chart": F.when(c("o_orderstatus") == "P", F.lit("viral50")).otherwise(F.lit("top200")),
         "trend": F.when(c("l_returnflag") == "A", F.lit("MOVE_UP"))

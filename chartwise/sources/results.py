@@ -5,11 +5,13 @@ quote are quoted with doubled quotes, so every value reads back exactly
 (only the empty string comes back NULL, as it is written like NULL).
 
 Readers:
-  * ``read_result_tsv`` - the exact reader for files this module wrote.
+  * ``read_result_tsv`` - the exact reader for files this module wrote; a
+    record that does not fit the schema is left out of rows and counts alike.
   * ``read_noisy_lines`` - line-oriented reader for files that may carry
     console noise: keep lines holding a tab and not starting with a known
-    log prefix, split on tabs, drop repeated header rows, coerce numeric
-    columns and drop rows whose numeric columns are all unparsable.
+    log prefix, split on tabs, skip lines with too many fields and fill up
+    those with too few, drop repeated header rows, coerce numeric columns and
+    drop rows whose numeric columns are all unparsable.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartwise.functions.casts import coerce_numeric
 from chartwise.session import path_exists
+from chartwise.sources.csv import BAD_RECORD, is_bad, is_good
 
 # Line prefixes treated as console noise, not data.
 NOISE_PREFIXES = ("Note ", "WARN ", "INFO ", "SLF4J", "OK", "Time taken",
@@ -41,24 +45,29 @@ TSV_OPTIONS = {
 }
 
 
-def write_result_tsv(df: DataFrame, path: str, single_file: bool = True, mode: str = "overwrite") -> None:
-    """Write a result set. ``single_file`` is only for the bounded result
-    sets (top-k answers, per-year rows); large outputs keep their partitions."""
+def write_result_tsv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Write a result set. ``single_file`` is only for result sets of bounded
+    size (top-k answers, per-year rows); others keep their partitions."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).options(**TSV_OPTIONS).csv(path)
 
 
-def read_result_tsv(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False) -> DataFrame:
-    """Exact reader: names and types are imposed, not inferred; malformed
-    records are dropped; repeated header rows are removed. With
-    ``missing_ok`` a missing result gives an empty frame instead of an error
-    (the caller's gate then reports it)."""
+def read_result_tsv(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False,
+                    rejects: bool = False) -> DataFrame:
+    """Exact reader: names and types are imposed, not inferred. Every column
+    is parsed whatever is selected later, so a count is the count of the rows
+    that a full read gives. ``rejects=True`` gives the records left out
+    instead, as text. With ``missing_ok`` a missing result gives an empty
+    frame instead of an error (the caller's gate then reports it)."""
     if missing_ok and not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = (spark.read.schema(schema).options(**TSV_OPTIONS)
-          .option("multiLine", "true").option("mode", "DROPMALFORMED").csv(path))
+        return spark.createDataFrame([], T.StructType([T.StructField(BAD_RECORD, T.StringType())]) if rejects else schema)
+    full = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType(), True)])
+    df = (spark.read.schema(full).options(**TSV_OPTIONS).option("multiLine", "true").option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", BAD_RECORD).option("columnPruning", "false").csv(path))
     first = schema.fields[0].name
-    return df.filter(F.col(first).isNull() | (F.col(first).cast("string") != F.lit(first)))
+    if rejects:
+        return df.filter(is_bad(first)).select(BAD_RECORD)
+    return df.filter(is_good(first)).select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
 
 def is_data_line(c="value", prefixes: Sequence[str] = NOISE_PREFIXES):
@@ -72,15 +81,16 @@ def is_data_line(c="value", prefixes: Sequence[str] = NOISE_PREFIXES):
 def read_noisy_lines(spark: SparkSession, path: str, names: Sequence[str],
                      numeric: Sequence[str] = NUMERIC_RESULT_COLUMNS,
                      prefixes: Sequence[str] = NOISE_PREFIXES) -> DataFrame:
-    """Line-level reader (no quoting): see module docstring. Columns are split
-    on the first ``len(names)-1`` tabs; numeric ones become DOUBLE."""
+    """Line-level reader (no quoting): see module docstring. A line with more
+    fields than names is skipped, one with fewer gets NULLs; numeric columns
+    become DOUBLE."""
     lines = spark.read.text(path)
-    kept = lines.filter(is_data_line("value", prefixes))
-    parts = F.split(F.col("value"), "\t", len(names))
-    df = kept.select(*[parts.getItem(i).alias(n) for i, n in enumerate(names)])
+    kept = lines.filter(is_data_line("value", prefixes)).select(F.split("value", "\t", -1).alias("parts"))
+    kept = kept.filter(F.size("parts") <= len(names))
+    df = kept.select(*[F.get("parts", F.lit(i)).alias(n) for i, n in enumerate(names)])
     df = df.filter(F.col(names[0]).isNull() | (F.col(names[0]) != F.lit(names[0])))
     num = [n for n in names if n in set(numeric)]
     if num:
-        df = df.withColumns({n: F.col(n).try_cast("double") for n in num})
+        df = df.withColumns({n: coerce_numeric(n) for n in num})
         df = df.dropna(how="all", subset=num)
     return df

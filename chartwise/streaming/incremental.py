@@ -16,7 +16,9 @@ is the same stateless ``clean`` used in batch, so no state store is kept.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,18 +28,26 @@ from chartwise.schema import IngestConfig
 from chartwise.sources.csv import CSV_WRITE_OPTIONS, read_raw_csv, read_split_csv
 
 
+def _spread(df: DataFrame, keys: Sequence[str], salt_buckets: int | None) -> DataFrame:
+    """Hash-partition a micro-batch on the folder keys plus a salt before a
+    partitioned file sink: a batch then writes at most keys x buckets files
+    (instead of one per task and key), and a key holding most of a batch is
+    spread over that many tasks. (AQE, which balances the batch writes, does
+    not run inside micro-batches, so the bound is explicit here.) By default
+    as many buckets as a quarter of the session's parallel tasks: a hot key
+    can then use a fair share of the cluster, whatever its size."""
+    if salt_buckets is None:
+        salt_buckets = max(2, df.sparkSession.sparkContext.defaultParallelism // 4)
+    salt = F.pmod(F.xxhash64("date", "rank", "title", "artist"), F.lit(salt_buckets))
+    return df.repartition(*[F.col(k) for k in keys], salt)
+
+
 def start_ingest_stream(spark: SparkSession, raw_dir: str, split_dir: str, checkpoint: str, cfg: IngestConfig,
                         keys=("country_code", "month_str"), max_files_per_batch: int = 100,
-                        salt_buckets: int = 8, available_now: bool = True) -> StreamingQuery:
-    """Each micro-batch is hash-partitioned on the split keys plus a salt of
-    ``salt_buckets`` values before the partitioned file sink: a batch then
-    writes at most keys x buckets files (instead of one per task and key),
-    and a key holding most of a batch is spread over ``salt_buckets``
-    tasks. (AQE, which balances the batch writes, does not run inside
-    micro-batches, so the bound is explicit here.)"""
+                        salt_buckets: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """The layout of each batch is that of ``_spread`` on the split keys."""
     raw = read_raw_csv(spark, raw_dir, streaming=True, maxFilesPerTrigger=str(max_files_per_batch))
-    salt = F.pmod(F.xxhash64("date", "rank", "title", "artist"), F.lit(salt_buckets))
-    kept = ingest(raw, cfg).repartition(*[F.col(k) for k in keys], salt)
+    kept = _spread(ingest(raw, cfg), keys, salt_buckets)
     w = (kept.writeStream.format("csv").options(**CSV_WRITE_OPTIONS)
          .option("checkpointLocation", checkpoint).partitionBy(*keys).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -46,10 +56,10 @@ def start_ingest_stream(spark: SparkSession, raw_dir: str, split_dir: str, check
 
 def start_clean_stream(spark: SparkSession, split_dir: str, out_dir: str, checkpoint: str,
                        cfg: IngestConfig, partition_by=("region", "year"), max_files_per_batch: int = 1000,
-                       available_now: bool = True) -> StreamingQuery:
+                       salt_buckets: int | None = None, available_now: bool = True) -> StreamingQuery:
     raw = read_split_csv(spark, split_dir, streaming=True, maxFilesPerTrigger=str(max_files_per_batch))
     raw = raw.drop("country_code", "month_str")
-    cleaned = clean(raw, cfg.markets, cfg.max_rank)
+    cleaned = _spread(clean(raw, cfg.markets, cfg.max_rank), partition_by, salt_buckets)
     w = (cleaned.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy(*partition_by).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -57,9 +67,12 @@ def start_clean_stream(spark: SparkSession, split_dir: str, out_dir: str, checkp
 
 
 def _drain(q: StreamingQuery, timeout_s: float | None) -> None:
-    q.awaitTermination(timeout_s)
+    done = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
+    if timeout_s is not None and not done:
+        q.stop()  # what is committed stays; the next run goes on from there
+        raise TimeoutError(f"the stream had not drained its input after {timeout_s} s")
 
 
 def run_clean_stream(spark: SparkSession, split_dir: str, out_dir: str, checkpoint: str, cfg: IngestConfig,
