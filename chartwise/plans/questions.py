@@ -28,9 +28,22 @@ SONG = ("title", "artist")
 
 
 def cross_market_hits(charts: DataFrame, min_markets: int = 3, k: int = 30,
-                      market: str = "region", song: Sequence[str] = SONG) -> DataFrame:
+                      market: str = "region", song: Sequence[str] = SONG, known_markets: Sequence[str] | None = None) -> DataFrame:
     """Songs charting in at least ``min_markets`` markets, most markets first,
-    then most appearances; ``k`` rows."""
+    then most appearances; ``k`` rows.
+
+    If the markets in the data are known to be among ``known_markets`` (at most
+    63), one aggregation does: each market is a bit, and a song's markets
+    are the bits set. Otherwise markets are counted in two steps."""
+    if known_markets is not None and len(known_markets) <= 63:
+        bit = F.lit(None).cast("bigint")
+        for i, code in enumerate(sorted(set(known_markets))):
+            bit = F.when(F.col(market) == F.lit(code), F.lit(1 << i).cast("bigint")).otherwise(bit)
+        other = F.when(F.col(market).isNotNull() & bit.isNull(), F.raise_error(F.concat(F.lit("unknown market: "), F.col(market))).cast("bigint"))
+        songs = charts.groupBy(*song).agg(F.bit_or(F.coalesce(bit, other, F.lit(0).cast("bigint"))).alias("bits"), F.count("*").alias("total_appearances"))
+        hits = songs.select(*song, F.bit_count("bits").cast("bigint").alias("num_countries"), "total_appearances") \
+            .filter(F.col("num_countries") >= min_markets)
+        return top_k(hits, [F.desc("num_countries"), F.desc("total_appearances"), *[F.asc(c) for c in song]], k)
     per_market = charts.groupBy(*song, market).agg(F.count(F.lit(1)).alias("n"))
     songs = per_market.groupBy(*song).agg(
         F.count(market).alias("num_countries"),  # non-NULL markets = COUNT(DISTINCT market)

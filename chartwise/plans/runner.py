@@ -1,130 +1,182 @@
-"""End-to-end run: raw CSV -> split CSV -> clean Parquet -> catalog table ->
-three answers -> result files -> gates -> chart series (from the files).
-Each stage writes to the shared folder and the next stage reads that
-output, so lineage is cut at every
-stage (a lost executor re-runs one stage, not the whole chain), and a stage
-whose output already holds ``_SUCCESS`` is skipped on a re-run.
+"""End-to-end run: raw CSV -> clean Parquet -> catalog table -> three answers
+-> result files -> gates -> chart series (as files, too).
+
+Each stage writes to the shared folder and the next one reads that, so lineage
+is cut at every stage (a lost executor re-runs one stage, not the whole
+chain). Stages hand over Parquet; the split CSV files per market and month
+are an export for other tools. What makes a stage skippable on a re-run is in
+``plans.stages``.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from chartwise.operators.clean import clean, observe_raw_counts, observe_rows
 from chartwise.operators.ingest import ingest
 from chartwise.operators.quality import GateError, assert_report, quality_report
 from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader
 from chartwise.plans.series import series_cross_market, series_longevity, series_yearly
+from chartwise.plans.stages import Stages, fingerprint, input_listing
 from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, IngestConfig
-from chartwise.session import done_marker
-from chartwise.sources.catalog import register_table, write_charts
-from chartwise.sources.csv import drop_helpers, read_raw_csv, read_split_csv, write_split_csv
+from chartwise.sources.catalog import read_charts, register_table, write_charts
+from chartwise.sources.csv import BAD_RECORD, drop_helpers, is_good, read_raw_csv, write_split_csv
 from chartwise.sources.results import read_result_tsv, write_result_tsv
 
+RESULT_SCHEMAS = {"q1": Q1_SCHEMA, "q2": Q2_SCHEMA, "q3": Q3_SCHEMA}
+
 
 @dataclass
 class RunResult:
+    """``approximate`` names the metrics that were counted while rows flowed
+    through a stage: a task that runs again after a lost executor adds its
+    rows again. All other metrics are counts of written output."""
+
     charts: DataFrame
     answers: dict[str, DataFrame]
     reloaded: dict[str, DataFrame]
     series: dict[str, DataFrame]
     metrics: dict[str, int] = field(default_factory=dict)
+    approximate: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
 
 
+def answers_of(charts: DataFrame, cfg: IngestConfig, min_markets: int = 3, k_hits: int = 30, k_longevity: int = 5) -> dict[str, DataFrame]:
+    return {
+        "q1": cross_market_hits(charts, min_markets, k_hits, known_markets=[m.code for m in cfg.markets]),
+        "q2": chart_longevity(charts, k_longevity),
+        "q3": yearly_leader(charts, cfg.leader_region),
+    }
+
+
+def series_of(results: dict[str, DataFrame], cfg: IngestConfig, k_longevity: int = 5) -> dict[str, DataFrame]:
+    return {
+        "cross_market": series_cross_market(results["q1"]),
+        "longevity": series_longevity(results["q2"], cfg.markets, k_longevity),
+        "yearly": series_yearly(results["q3"]),
+    }
+
+
+def good_records(raw: DataFrame) -> DataFrame:
+    """Raw rows without the bad records, if these are marked."""
+    if BAD_RECORD not in raw.columns:
+        return raw
+    return raw.filter(is_good(next(c for c in raw.columns if c != BAD_RECORD))).drop(BAD_RECORD)
+
+
+def _seen(obs: Observation | None) -> dict[str, int]:
+    """What an observation has counted; nothing, if its node was optimised
+    away (as below an empty relation)."""
+    try:
+        return {k: int(v or 0) for k, v in obs.get.items()} if obs is not None else {}
+    except Exception:  # noqa: BLE001 - Spark raises Java errors of several kinds here
+        return {}
+
+
 def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
             db: str = "charts_db", table: str = "charts", min_markets: int = 3,
-            k_hits: int = 30, k_longevity: int = 5, split_files: bool = True) -> RunResult:
-    """``raw`` is a CSV path (file or folder) or a DataFrame of raw text rows.
-    Stops at the first failed gate.
-
-    ``split_files=True`` keeps the per-(market, month) CSV hand-off between
-    ingest and clean (useful when other tools consume those files). With
-    ``False`` ingest and clean run as one job straight to Parquet: the kept
-    rows are not written and re-read as CSV, and both row counts come from
-    the same write."""
+            k_hits: int = 30, k_longevity: int = 5, split_files: bool = False,
+            multi_line: bool = False, bad_records: str = "drop") -> RunResult:
+    """``raw`` is a CSV path (file, folder or glob pattern) or a DataFrame of
+    raw text rows. Stops at the first failed gate.
+
+    Ingest and clean are one job straight to Parquet. ``split_files=True`` also
+    exports the kept rows as CSV files per (market, month): they are then
+    written as Parquet first, and both the export and clean read that.
+    ``multi_line`` reads line breaks in quoted fields. Bad records are left out
+    and counted, or with ``bad_records="fail"`` end the run."""
     base = workdir.rstrip("/")
-    split_dir, clean_dir = f"{base}/split", f"{base}/clean"
-    result_dirs = {"q1": f"{base}/results/q1", "q2": f"{base}/results/q2", "q3": f"{base}/results/q3"}
+    kept_dir, split_dir, clean_dir = f"{base}/ingested", f"{base}/split", f"{base}/clean"
+    stages = Stages(spark, base)
     metrics: dict[str, int] = {}
-    skipped: list[str] = []
-
-    raw_obs = []
+    approximate: dict[str, int] = {}
+    if bad_records not in ("drop", "fail"):
+        raise ValueError("bad_records must be drop or fail")
 
-    def raw_rows():
-        df = read_raw_csv(spark, raw) if isinstance(raw, str) else raw
-        df, obs = observe_raw_counts(df, cfg)  # counted on the same read
-        raw_obs.append(obs)
-        return df
+    def raw_rows() -> DataFrame:
+        if not isinstance(raw, str):
+            return raw
+        return read_raw_csv(spark, raw, multi_line=multi_line, bad_records="keep" if bad_records == "drop" else "fail")
 
-    def check_ingest(n: int) -> None:
-        metrics["ingested_rows"] = n
-        if n == 0:
-            raise GateError("ingest: no rows matched chart kind, years and markets")
+    # a DataFrame has no listing to compare: its first stage always runs
+    given = input_listing(spark, raw) if isinstance(raw, str) else uuid.uuid4().hex
+    mark_in = fingerprint(chart=cfg.chart, years=(cfg.year_from, cfg.year_to), markets=cfg.markets, multi_line=multi_line, bad=bad_records, given=given)
+    raw_obs = None
 
-    # 1. ingest (-> split CSV files, when kept)
-    obs_in = None
+    # 1. ingest, when its rows are wanted as files
     if split_files:
-        if done_marker(spark, split_dir):
-            skipped.append("ingest")
-        else:
-            obs_split = Observation("ingest")
-            write_split_csv(ingest(raw_rows(), cfg), split_dir, observation=obs_split)
-            check_ingest(int(obs_split.get["rows"]))
-
-    # 2. clean -> Parquet (fused with ingest when no split files are kept;
-    #    the rebalance exchange samples nothing, so the ingest count is exact)
-    if done_marker(spark, clean_dir):
-        skipped.append("clean")
-        if not split_files:
-            skipped.append("ingest")
-    else:
+        if not stages.done("ingest", kept_dir, mark_in):
+            stages.starting("ingest")
+            counted, raw_obs = observe_raw_counts(raw_rows(), cfg)
+            ingest(good_records(counted), cfg).write.mode("overwrite").parquet(kept_dir)
+            kept = spark.read.parquet(kept_dir)
+            metrics["ingested_rows"] = kept.count()
+            if not metrics["ingested_rows"]:
+                raise GateError("ingest: no rows matched chart kind, years and markets")
+            write_split_csv(kept, split_dir)
+            stages.finished("ingest", mark_in)
+
+    # 2. clean -> Parquet
+    mark_clean = fingerprint(before=mark_in, max_rank=cfg.max_rank, split=split_files)
+    if not stages.done("clean", clean_dir, mark_clean):
+        stages.starting("clean")
+        obs_in, obs_complete = None, Observation("complete")
         if split_files:
-            kept = read_split_csv(spark, split_dir)
+            kept = spark.read.parquet(kept_dir)
         else:
-            kept, obs_in = observe_rows(ingest(raw_rows(), cfg), "ingest")
-        obs, obs_complete = Observation("clean"), Observation("complete")
-        cleaned = clean(drop_helpers(kept, "country_code", "month_str"), cfg.markets, cfg.max_rank,
-                        complete_observation=obs_complete)
-        write_charts(cleaned, clean_dir, observation=obs)
-        if obs_in is not None:
-            check_ingest(int(obs_in.get["rows"]))
-        metrics["complete_rows"] = int(obs_complete.get["rows"])
-        metrics["clean_rows"] = int(obs.get["rows"])
-    for obs in raw_obs:
-        metrics.update({k: int(v) for k, v in obs.get.items()})
+            counted, raw_obs = observe_raw_counts(raw_rows(), cfg)
+            kept, obs_in = observe_rows(ingest(good_records(counted), cfg), "ingest")
+        write_charts(clean(drop_helpers(kept, "country_code", "month_str"), cfg.markets, cfg.max_rank, complete_observation=obs_complete), clean_dir)
+        metrics["clean_rows"] = read_charts(spark, clean_dir).count()
+        if not metrics["clean_rows"]:
+            if not split_files and ingest(good_records(raw_rows()), cfg).isEmpty():
+                raise GateError("ingest: no rows matched chart kind, years and markets")
+            raise GateError("clean: no row was complete and in range")
+        approximate |= {"ingested_rows": n for n in _seen(obs_in).values()} | {"complete_rows": n for n in _seen(obs_complete).values()}
+        stages.finished("clean", mark_clean)
+    elif not split_files:
+        stages.skipped.append("ingest")
+    approximate |= _seen(raw_obs)
 
     # 3. table (fails when empty)
     charts = register_table(spark, clean_dir, db, table)
 
     # 4. answers -> result files (each answer is bounded: top-k or per year)
-    answers = {
-        "q1": cross_market_hits(charts, min_markets, k_hits),
-        "q2": chart_longevity(charts, k_longevity),
-        "q3": yearly_leader(charts, cfg.leader_region),
-    }
+    answers = answers_of(charts, cfg, min_markets, k_hits, k_longevity)
+    settings = {"q1": (min_markets, k_hits), "q2": (k_longevity,), "q3": (cfg.leader_region,)}
+    reloaded: dict[str, DataFrame] = {}
+    marks: dict[str, str] = {}
     for name, df in answers.items():
-        if done_marker(spark, result_dirs[name]):
-            skipped.append(name)
-            continue
-        out, obs = observe_rows(df, name)
-        write_result_tsv(out, result_dirs[name])
-        metrics[f"{name}_rows"] = int(obs.get["rows"])
-        if metrics[f"{name}_rows"] == 0:
-            raise GateError(f"{name}: query returned 0 rows")
-
-    # 5. read back and gate the result files
-    schemas = {"q1": Q1_SCHEMA, "q2": Q2_SCHEMA, "q3": Q3_SCHEMA}
-    reloaded = {n: read_result_tsv(spark, result_dirs[n], schemas[n]) for n in answers}
+        path, marks[name] = f"{base}/results/{name}", fingerprint(before=mark_clean, question=name, settings=settings[name])
+        if not stages.done(name, path, marks[name]):
+            stages.starting(name)
+            write_result_tsv(df, path, single_file=True)
+            metrics[f"{name}_rows"] = read_result_tsv(spark, path, RESULT_SCHEMAS[name]).count()
+            if not metrics[f"{name}_rows"]:
+                raise GateError(f"{name}: query returned 0 rows")
+            stages.finished(name, marks[name])
+        reloaded[name] = read_result_tsv(spark, path, RESULT_SCHEMAS[name])
+
+    # 5. gate the result files as read back
     assert_report(quality_report({f"result_{n}": df for n, df in reloaded.items()}))
 
-    # 6. chart series from the result files (lazy; each is a few rows)
-    series = {
-        "cross_market": series_cross_market(reloaded["q1"]),
-        "longevity": series_longevity(reloaded["q2"], cfg.markets, k_longevity),
-        "yearly": series_yearly(reloaded["q3"]),
-    }
-    return RunResult(charts=charts, answers=answers, reloaded=reloaded, series=series, metrics=metrics,
-                     skipped=skipped)
+    # 6. chart series from the result files
+    series = {}
+    for name, df in series_of(reloaded, cfg, k_longevity).items():
+        path, mark = f"{base}/series/{name}", fingerprint(before=marks, series=name, markets=cfg.markets)
+        if not stages.done(f"series_{name}", path, mark):
+            stages.starting(f"series_{name}")
+            write_result_tsv(df, path, single_file=True)
+            stages.finished(f"series_{name}", mark)
+        series[name] = read_result_tsv(spark, path, df.schema)
+    return RunResult(charts=charts, answers=answers, reloaded=reloaded, series=series, metrics=approximate | metrics,
+                     approximate=sorted(approximate.keys() - metrics.keys()), skipped=stages.skipped)
+
+
+def market_counts(charts: DataFrame) -> list[tuple[str, int]]:
+    """Rows of each market, most first: a few rows, for display."""
+    return [(r.region, r.rows) for r in charts.groupBy("region").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "region").limit(1000).collect()]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartwise.functions.casts import to_int_lenient
-from chartwise.functions.markets import display_name, markets_frame
+from chartwise.functions.markets import display_name, markets_frame, small
 from chartwise.functions.text import label
 from chartwise.operators.topk import top_k_per_group
 from chartwise.schema import Market
@@ -40,7 +40,7 @@ BAR_TEXT_SUFFIX = "B"  # after the two-decimal value
 def _color_map():
     flat = []
     for k, v in MARKET_COUNT_COLORS.items():
-        flat += [F.lit(k), F.lit(v)]
+        flat += [F.lit(k).cast("bigint"), F.lit(v)]
     return F.create_map(*flat)
 
 
@@ -48,8 +48,8 @@ def series_cross_market(q1: DataFrame) -> DataFrame:
     """Bars of the cross-market chart: label ``artist[:20]  -  title[:28]``,
     length = appearances, colour and legend text by market count."""
     df = q1.dropna(subset=["num_countries", "total_appearances"]).withColumns({
-        "num_countries": F.col("num_countries").cast("int"),
-        "total_appearances": F.col("total_appearances").cast("int"),
+        "num_countries": F.col("num_countries").cast("bigint"),
+        "total_appearances": F.col("total_appearances").cast("bigint"),
     })
     order = Window.orderBy(F.desc("num_countries"), F.desc("total_appearances"), "title", "artist")
     return df.select(
@@ -66,12 +66,12 @@ def series_longevity(q2: DataFrame, markets: Sequence[Market], k: int = 5, ascii
     """Small multiples: one panel per known market in display order, its top
     ``k`` songs, a two-line label and a ``#rank`` badge when rank > 0."""
     df = q2.dropna(subset=["days_on_chart"]).withColumns({
-        "days_on_chart": F.col("days_on_chart").cast("int"),
+        "days_on_chart": F.col("days_on_chart").cast("bigint"),
         "best_rank": F.coalesce(to_int_lenient(F.col("best_rank").cast("string")), F.lit(0)),
         "country": display_name("region", markets),
     })
     dim = markets_frame(df.sparkSession, markets).select(F.col("display").alias("country"), "ordinal")
-    panels = df.join(F.broadcast(dim), "country", "inner")  # markets outside the list get no panel
+    panels = df.join(small(dim, markets), "country", "inner")  # markets outside the list get no panel
     top = top_k_per_group(panels, ["country"], [F.desc("days_on_chart"), "title", "artist"], k, position="position")
     return top.select(
         "ordinal", "country", "region", "position", "title", "artist", "days_on_chart", "best_rank",
