@@ -43,7 +43,7 @@ def main():
              "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="bench-wh-", dir="/tmp")}
     if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bench-ckpt-", dir="/tmp")
-    spark = build_session(f"local[{cpus}]", "chartwise-bench", shuffle_partitions=2 * cpus, extra=extra)
+    spark = build_session(f"local[{cpus}]", "chartwise-bench", shuffle_partitions=2 * cpus, extra=extra, small_input=True)
 
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if warm and os.path.isdir(warm):

@@ -1,4 +1,5 @@
 """Independent DuckDB SQL for every registered query (the correctness gate).
+Constants are written out here, so a wrong one in the engine shows.
 
 The driver registers the test tables as views; each statement rebuilds the
 raw chart rows with the same rules as ``sources.fixtures`` and then states
@@ -8,24 +9,37 @@ ranks to INT, so both engines report the same types.
 
 from __future__ import annotations
 
-from chartwise.functions.text import DEFAULT_LABEL_WIDTH
-from chartwise.plans import series as S
-from chartwise.registry import FIXTURE_MIN_BAR, FIXTURE_SCALE
-from chartwise.sources.fixtures import FIXTURE_CONFIG as CFG
-
-WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+# every white-space code point
+WS = " || ".join(f"chr({k})" for k in [32, 9, 10, 11, 12, 13, 28, 29, 30, 31, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
 KEY = f"lower(trim(region, {WS}))"
-PDATE = "CAST(try_strptime(date, '%Y-%m-%d') AS DATE)"
-YEAR_LO = f"DATE '{CFG.year_from}-01-01'"
-YEAR_HI = f"DATE '{CFG.year_to + 1}-01-01'"
+YEAR_LO, YEAR_HI = "DATE '1996-01-01'", "DATE '2001-01-01'"
+
+
+def day(col: str) -> str:
+    """A date, alone or with a time of day after a blank or T."""
+    return (f"CASE WHEN regexp_full_match(trim({col}, {WS}), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T][0-9:]+)?') "
+            f"THEN TRY_CAST(substr(trim({col}, {WS}), 1, 10) AS DATE) END")
+
+
+def whole(col: str, kind: str) -> str:
+    """A whole number, decimals cut off."""
+    return f"TRY_CAST(trunc(TRY_CAST({col} AS DECIMAL(38, 9))) AS {kind})"
 
-MARKETS = "markets(market_key, code, display, ordinal) AS (VALUES " + ", ".join(
-    f"('{m.key}', '{m.code}', '{m.display}', {m.ordinal})" for m in CFG.markets) + ")"
+
+PDATE = day("date")
+
+MARKETS = """markets(market_key, code, display, ordinal) AS (VALUES ('nation_7', 'VN', 'Vietnam', 1),
+  ('nation_12', 'KR', 'Korea', 2), ('nation_2', 'JP', 'Japan', 3), ('nation_17', 'TW', 'Taiwan', 4), ('nation_22', 'HK', 'Hong Kong', 5))"""
 
 RAW = """raw_charts AS (
   SELECT
-    CASE WHEN l.l_orderkey % 97 = 0 THEN 'not-a-date' ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS date,
-    CASE WHEN o.o_orderkey % 3 = 0 THEN ' ' || upper(n.n_name) || ' ' ELSE n.n_name END AS region,
+    CASE WHEN l.l_orderkey % 97 = 0 THEN 'not-a-date'
+         WHEN l.l_orderkey % 89 = 0 THEN CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) || ' 00:00:00'
+         WHEN l.l_orderkey % 83 = 0 THEN CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) || 'T12:30:00'
+         WHEN l.l_orderkey % 79 = 0 THEN CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) || ' '
+         ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS date,
+    CASE WHEN o.o_orderkey % 3 = 0 THEN ' ' || upper(n.n_name) || ' '
+         WHEN o.o_orderkey % 5 = 0 THEN chr(160) || n.n_name || chr(12288) ELSE n.n_name END AS region,
     CASE WHEN o.o_orderstatus = 'P' THEN 'viral50' ELSE 'top200' END AS chart,
     CASE WHEN l.l_returnflag = 'A' THEN 'MOVE_UP' WHEN l.l_returnflag = 'R' THEN 'MOVE_DOWN'
          ELSE 'NEW_ENTRY' END AS trend,
@@ -46,11 +60,9 @@ RAW_COLS = "date, region, chart, trend, rank, title, artist, streams, url"
 
 INGESTED = f"""ingested AS (
   SELECT r.date, r.region, r.chart, r.trend, r.rank, r.title, r.artist, r.streams, r.url,
-         m.code AS country_code, strftime(CAST(try_strptime(r.date, '%Y-%m-%d') AS DATE), '%Y-%m') AS month_str
+         m.code AS country_code, strftime({day("r.date")}, '%Y-%m') AS month_str
   FROM raw_charts r JOIN markets m ON lower(trim(r.region, {WS})) = m.market_key
-  WHERE r.chart = '{CFG.chart}'
-    AND CAST(try_strptime(r.date, '%Y-%m-%d') AS DATE) >= {YEAR_LO}
-    AND CAST(try_strptime(r.date, '%Y-%m-%d') AS DATE) < {YEAR_HI}
+  WHERE r.chart = 'top200' AND {day("r.date")} >= {YEAR_LO} AND {day("r.date")} < {YEAR_HI}
 )"""
 
 
@@ -58,9 +70,9 @@ def typed(name: str, src: str) -> str:
     return f"""{name} AS (
   SELECT {PDATE} AS date,
          COALESCE(mk.code, s.region) AS region, s.chart, s.trend,
-         TRY_CAST(trunc(TRY_CAST(s.rank AS DOUBLE)) AS INTEGER) AS rank,
+         {whole("s.rank", "INTEGER")} AS rank,
          s.title, s.artist,
-         TRY_CAST(trunc(TRY_CAST(s.streams AS DOUBLE)) AS BIGINT) AS streams, s.url,
+         {whole("s.streams", "BIGINT")} AS streams, s.url,
          CAST(year({PDATE}) AS INTEGER) AS year
   FROM {src} s LEFT JOIN markets mk ON lower(trim(s.region, {WS})) = mk.market_key
 )"""
@@ -76,7 +88,7 @@ def complete(name: str, src: str) -> str:
 
 def valid(name: str, src: str) -> str:
     return f"""{name} AS (
-  SELECT * FROM {src} WHERE streams > 0 AND rank BETWEEN 1 AND {CFG.max_rank}
+  SELECT * FROM {src} WHERE streams > 0 AND rank BETWEEN 1 AND 200
 )"""
 
 
@@ -84,36 +96,28 @@ CHARTS = ",\n".join([INGESTED, typed("ingested_typed", "ingested"), complete("in
                      valid("charts", "ingested_complete")])
 
 Q1 = """q1 AS (
-  SELECT title, artist, CAST(COUNT(DISTINCT region) AS BIGINT) AS num_countries,
-         CAST(COUNT(*) AS BIGINT) AS total_appearances
-  FROM charts GROUP BY title, artist HAVING COUNT(DISTINCT region) >= 3
+  SELECT title, artist, len(list(DISTINCT region))::BIGINT AS num_countries, count(*)::BIGINT AS total_appearances
+  FROM charts GROUP BY ALL HAVING num_countries >= 3
   ORDER BY num_countries DESC, total_appearances DESC, title, artist LIMIT 30
 )"""
 
 Q2 = """q2 AS (
-  SELECT region, title, artist, days_on_chart, best_rank FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY days_on_chart DESC, title, artist) AS rn
-    FROM (SELECT region, title, artist, CAST(COUNT(DISTINCT date) AS BIGINT) AS days_on_chart,
-                 CAST(MIN(rank) AS INTEGER) AS best_rank
-          FROM charts GROUP BY region, title, artist) agg
-  ) ranked WHERE rn <= 5
+  FROM charts
+  SELECT region, title, artist, count(DISTINCT date)::BIGINT AS days_on_chart, min(rank)::INTEGER AS best_rank
+  GROUP BY region, title, artist
+  QUALIFY row_number() OVER (PARTITION BY region ORDER BY days_on_chart DESC, title, artist) <= 5
 )"""
 
-SONG_YEAR = f"""song_year AS (
-  SELECT year, title, artist, CAST(SUM(streams) AS BIGINT) AS peak_streams
-  FROM charts WHERE region = '{CFG.leader_region}' GROUP BY year, title, artist
+SONG_YEAR = """song_year AS (
+  FROM charts SELECT year, title, artist, sum(streams)::BIGINT AS peak_streams WHERE region = 'JP' GROUP BY ALL
 )"""
-YEAR_TOTALS = f"""year_totals AS (
-  SELECT year, CAST(SUM(streams) AS BIGINT) AS total_streams
-  FROM charts WHERE region = '{CFG.leader_region}' GROUP BY year
+YEAR_TOTALS = """year_totals AS (
+  FROM charts SELECT year, sum(streams)::BIGINT AS total_streams WHERE region = 'JP' GROUP BY ALL
 )"""
 Q3 = """q3 AS (
-  SELECT s.year, s.total_streams, t.title, t.artist, t.peak_streams
-  FROM year_totals s JOIN (
-    SELECT year, title, artist, peak_streams FROM (
-      SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY peak_streams DESC, title, artist) AS rn
-      FROM song_year) r WHERE rn = 1
-  ) t ON s.year = t.year
+  SELECT year, sum(peak_streams)::BIGINT AS total_streams, best.title AS title, best.artist AS artist, best.peak_streams AS peak_streams
+  FROM (SELECT year, peak_streams, first(song_year) OVER (PARTITION BY year ORDER BY peak_streams DESC, title, artist) AS best FROM song_year)
+  GROUP BY year, best
 )"""
 
 
@@ -130,13 +134,29 @@ def label_sql(col: str, n: int, ascii_only: bool = True) -> str:
     return f"regexp_replace({s}, '[^\\x00-\\x7F]', '?', 'g')" if ascii_only else s
 
 
+# fixed values: how lines of console noise begin
+NOISE = ("Note ", "WARN ", "INFO ", "SLF4J", "OK", "Time taken", "Logging", "deprecated", "hive>", "WARNING")
+
+
 def _noise_lines() -> str:
-    return """SELECT doc_id, line FROM (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) t"""
+    """Every line that the fixture writes, then the reader's rules."""
+    id_ = "CAST(doc_id AS VARCHAR)"
+    kinds = [f"SELECT {id_} || chr(9) || line || chr(9) || CAST(length(line) AS VARCHAR) AS value FROM doc_line"]
+    kinds += [f"SELECT '{p}seen' || chr(9) || 'x' || chr(9) || {id_} FROM documents" for p in NOISE]
+    kinds += [f"SELECT 'doc_id' || chr(9) || 'line' || chr(9) || {id_} FROM documents", f"SELECT {id_} FROM documents",
+              f"SELECT {id_} || chr(9) || 'short' FROM documents", f"SELECT {id_} || chr(9) || 'a' || chr(9) || '1' || chr(9) || 'b' FROM documents",
+              f"SELECT 'none' || chr(9) || 'of ' || {id_} || chr(9) || '12d' FROM documents"]
+    noise = " AND ".join(f"NOT starts_with(value, '{p}')" for p in NOISE)
+    return f"""WITH doc_line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+written AS ({" UNION ALL ".join(kinds)}),
+field AS (SELECT string_split(value, chr(9)) AS f FROM written WHERE contains(value, chr(9)) AND {noise}),
+num AS (SELECT TRY_CAST(f[1] AS DOUBLE) AS doc_id, f[2] AS line, TRY_CAST(f[3] AS DOUBLE) AS width FROM field WHERE len(f) <= 3 AND f[1] <> 'doc_id')
+SELECT doc_id, line, width FROM num WHERE doc_id IS NOT NULL OR width IS NOT NULL"""
 
 
 def oracle_sql() -> dict[str, str]:
-    colors = " ".join(f"WHEN {k} THEN '{v}'" for k, v in S.MARKET_COUNT_COLORS.items())
+    # fixed values: bar colour by number of markets
+    colors = "WHEN 3 THEN '#A5D8FF' WHEN 4 THEN '#339AF0' WHEN 5 THEN '#1864AB' WHEN 6 THEN '#003A8C' WHEN 7 THEN '#001D4A'"
     gate_q = " UNION ALL ".join(
         f"SELECT '{g}' AS gate, CAST(COUNT(*) AS BIGINT) AS rows FROM {src}"
         for g, src in (("ingest", "ingested"), ("table", "charts"), ("result_q1", "q1"), ("result_q2", "q2"),
@@ -149,7 +169,15 @@ def oracle_sql() -> dict[str, str]:
                                      "FROM ingested GROUP BY country_code, month_str",
         "parquet_roundtrip": with_(*CH) + "SELECT * FROM charts",
         "table_roundtrip": with_(*CH) + "SELECT * FROM charts",
-        "result_roundtrip": with_(*CH, Q1) + "SELECT * FROM q1",
+        "scan_raw_csv_messy": """SELECT '1998-01-01' AS date, 'nation_2' AS region, 'top200' AS chart, NULL::VARCHAR AS trend, '1' AS rank,
+  text AS title, source || ', "' || lang || '"' AS artist, CAST(n_chars AS VARCHAR) AS streams, 'x,' || chr(10) || CAST(doc_id AS VARCHAR) AS url
+FROM documents""",
+        "bad_csv_records": """SELECT count(*)::BIGINT AS raw_rows, (count(*) FILTER (WHERE doc_id % 7 IN (1, 2)))::BIGINT AS bad_records,
+  (count(*) FILTER (WHERE doc_id % 7 NOT IN (1, 2)))::BIGINT AS good_rows FROM documents""",
+        "rerun_changed_params": with_(*CH, Q2) + "SELECT * FROM q2",
+        "q1_open_markets": with_(*CH, Q1) + "SELECT * FROM q1",
+        "result_roundtrip": with_(*CH, Q1) + """SELECT CASE WHEN total_appearances % 5 <> 0 THEN title END AS title,
+  CASE WHEN total_appearances % 3 <> 0 THEN artist END AS artist, num_countries, total_appearances FROM q1""",
         "noise_lines": _noise_lines(),
         "stream_clean": with_(*CH) + "SELECT * FROM charts",
         "stream_ingest_clean": with_(*CH) + "SELECT * FROM charts",
@@ -161,16 +189,18 @@ def oracle_sql() -> dict[str, str]:
                                            f"FROM raw_charts r LEFT JOIN markets m "
                                            f"ON lower(trim(r.region, {WS})) = m.market_key",
         "type_cast": with_(*BASE) + f"""SELECT date AS raw_date, rank AS raw_rank, streams AS raw_streams,
-  {PDATE} AS date, TRY_CAST(trunc(TRY_CAST(rank AS DOUBLE)) AS INTEGER) AS rank,
-  TRY_CAST(trunc(TRY_CAST(streams AS DOUBLE)) AS BIGINT) AS streams, CAST(year({PDATE}) AS INTEGER) AS year
-FROM raw_charts""",
+  {PDATE} AS date, {whole("rank", "INTEGER")} AS rank,
+  {whole("streams", "BIGINT")} AS streams, CAST(year({PDATE}) AS INTEGER) AS year
+FROM (SELECT date, rank, CASE WHEN rank LIKE '%7' THEN streams || 'd' WHEN rank LIKE '%8' THEN '9007199254740993.0' WHEN rank LIKE '%9' THEN '0x1p3'
+  ELSE streams END AS streams FROM raw_charts)""",
         "month_bucket": with_(*BASE) + f"SELECT date, strftime({PDATE}, '%Y-%m') AS month_str FROM raw_charts",
-        "coerce_numeric": with_(*BASE) + """SELECT title, artist, TRY_CAST(rank AS DOUBLE) AS rank,
-  TRY_CAST(streams AS DOUBLE) AS streams FROM raw_charts
-WHERE TRY_CAST(rank AS DOUBLE) IS NOT NULL OR TRY_CAST(streams AS DOUBLE) IS NOT NULL""",
-        "label_text": f"SELECT doc_id, {label_sql('text', DEFAULT_LABEL_WIDTH)} AS label, "
+        "coerce_numeric": with_(*BASE) + """, odd AS (SELECT title, artist, CASE WHEN rank LIKE '%5' THEN 'x' || rank ELSE rank END AS rank,
+  CASE WHEN streams IS NULL THEN 'n/a' WHEN rank LIKE '%0' THEN streams || 'f' ELSE streams END AS streams FROM raw_charts),
+num AS (SELECT title, artist, TRY_CAST(rank AS DOUBLE) AS rank, TRY_CAST(streams AS DOUBLE) AS streams FROM odd)
+SELECT * FROM num WHERE rank IS NOT NULL OR streams IS NOT NULL""",
+        "label_text": f"SELECT doc_id, {label_sql('text', 28)} AS label, "
                       "regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g') AS ascii_text FROM documents",
-        "filter_chart": with_(*BASE) + f"SELECT {RAW_COLS} FROM raw_charts WHERE chart = '{CFG.chart}'",
+        "filter_chart": with_(*BASE) + f"SELECT {RAW_COLS} FROM raw_charts WHERE chart = 'top200'",
         "filter_years": with_(*BASE) + f"SELECT {RAW_COLS} FROM raw_charts "
                                        f"WHERE {PDATE} >= {YEAR_LO} AND {PDATE} < {YEAR_HI}",
         "filter_markets": with_(*BASE) + f"SELECT {RAW_COLS} FROM raw_charts "
@@ -186,7 +216,7 @@ LEFT JOIN markets m ON m.code = c.region""",
         "ingest_charts": with_(*CH) + "SELECT * FROM ingested",
         "clean_charts": with_(*CH) + "SELECT * FROM charts",
         "clean_funnel": with_(*CH) + f"""SELECT CAST(COUNT(*) AS BIGINT) AS raw_rows,
-  CAST(COUNT(*) FILTER (WHERE chart = '{CFG.chart}') AS BIGINT) AS chart_rows,
+  CAST(COUNT(*) FILTER (WHERE chart = 'top200') AS BIGINT) AS chart_rows,
   (SELECT CAST(COUNT(*) AS BIGINT) FROM ingested) AS ingested_rows,
   (SELECT CAST(COUNT(*) AS BIGINT) FROM ingested_complete) AS complete_rows,
   (SELECT CAST(COUNT(*) AS BIGINT) FROM charts) AS clean_rows
@@ -203,27 +233,23 @@ FROM raw_charts""",
         "series_cross_market": with_(*CH, Q1) + f"""SELECT
   CAST(ROW_NUMBER() OVER (ORDER BY num_countries DESC, total_appearances DESC, title, artist) AS INTEGER)
     AS position,
-  title, artist, CAST(num_countries AS INTEGER) AS num_countries,
-  CAST(total_appearances AS INTEGER) AS total_appearances,
-  {label_sql('artist', S.CROSS_MARKET_ARTIST_WIDTH, False)} || '{S.CROSS_MARKET_SEPARATOR}'
-    || {label_sql('title', S.CROSS_MARKET_TITLE_WIDTH, False)} AS label,
-  CASE CAST(num_countries AS INTEGER) {colors} ELSE '{S.DEFAULT_COLOR}' END AS color,
-  printf('{S.LEGEND_FORMAT}', CAST(num_countries AS INTEGER)) AS legend
-FROM q1""",
+  title, artist, num_countries, total_appearances,
+  {label_sql('artist', 20, False)} || '  -  ' || {label_sql('title', 28, False)} AS label,
+  CASE num_countries {colors} ELSE '#A5D8FF' END AS color,
+  'Charted in ' || num_countries || ' markets' AS legend
+FROM q1 WHERE total_appearances % 4 <> 0""",
         "series_longevity": with_(*CH, Q2) + f"""SELECT m.ordinal, m.display AS country, q.region,
   CAST(ROW_NUMBER() OVER (PARTITION BY m.display ORDER BY q.days_on_chart DESC, q.title, q.artist) AS INTEGER)
     AS position,
-  q.title, q.artist, CAST(q.days_on_chart AS INTEGER) AS days_on_chart, q.best_rank,
-  {label_sql('q.title', S.LONGEVITY_TITLE_WIDTH)} || chr(10) || {label_sql('q.artist', S.LONGEVITY_ARTIST_WIDTH)}
-    AS label,
-  CASE WHEN q.best_rank > 0 THEN printf('{S.BADGE_FORMAT}', q.best_rank) END AS badge
-FROM q2 q JOIN markets m ON m.code = q.region""",
+  q.title, q.artist, q.days_on_chart, q.best_rank,
+  {label_sql('q.title', 18)} || chr(10) || {label_sql('q.artist', 16)} AS label,
+  CASE WHEN q.best_rank > 0 THEN '#' || q.best_rank END AS badge
+FROM (SELECT region, title, artist, days_on_chart, CASE WHEN best_rank % 3 <> 0 THEN best_rank ELSE 0 END AS best_rank
+      FROM q2 WHERE length(title) % 4 <> 0) q JOIN markets m ON m.code = q.region""",
         "series_yearly": with_(*CH, SONG_YEAR, YEAR_TOTALS, Q3) + f"""SELECT year, total_streams, streams_b,
-  printf('%.2f', streams_b) || '{S.BAR_TEXT_SUFFIX}' AS bar_text,
-  CASE WHEN streams_b > {FIXTURE_MIN_BAR}
-       THEN {label_sql('title', S.YEARLY_TITLE_WIDTH)} || chr(10) || {label_sql('artist', S.YEARLY_ARTIST_WIDTH)}
-  END AS song_text
-FROM (SELECT *, CAST(total_streams AS DOUBLE) / {FIXTURE_SCALE} AS streams_b FROM q3) t ORDER BY year""",
+  printf('%.2f', streams_b) || 'B' AS bar_text,
+  CASE WHEN streams_b > 0.45 THEN {label_sql('title', 22)} || chr(10) || {label_sql('artist', 18)} END AS song_text
+FROM (SELECT *, CAST(total_streams AS DOUBLE) / 10000.0 AS streams_b FROM q3 WHERE year <> 1997) t ORDER BY year""",
         "end_to_end_run": with_(*CH, Q2) + "SELECT * FROM q2",
         "quality_report": with_(*CH, Q1, Q2, SONG_YEAR, YEAR_TOTALS, Q3)
         + f"SELECT gate, rows, rows >= 1 AS passed FROM ({gate_q}) g",

@@ -9,6 +9,7 @@ return what reading it back gives.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ def _typed(spark, sf):
 
 
 def _q1(spark, sf):
-    return Q.cross_market_hits(_charts(spark, sf), 3, 30)
+    return Q.cross_market_hits(_charts(spark, sf), 3, 30, known_markets=[m.code for m in CFG.markets])
 
 
 def _q2(spark, sf):
@@ -75,6 +76,43 @@ def scan_raw_csv(spark, sf):
     return csv.read_raw_csv(spark, path)
 
 
+def scan_raw_csv_messy(spark, sf):
+    """Titles with line breaks, quotes and commas: whole document texts."""
+    c = F.col
+    rows = table(spark, sf, "documents").select(
+        F.lit("1998-01-01").alias("date"), F.lit("nation_2").alias("region"), F.lit("top200").alias("chart"),
+        F.lit(None).cast("string").alias("trend"), F.lit("1").alias("rank"), c("text").alias("title"),
+        F.concat("source", F.lit(', "'), "lang", F.lit('"')).alias("artist"), c("n_chars").cast("string").alias("streams"),
+        F.concat(F.lit("x,\n"), c("doc_id").cast("string")).alias("url"))
+    path = scratch_path(spark, "raw-messy")
+    csv.write_raw_csv(rows, path)
+    return csv.read_raw_csv(spark, path, multi_line=True)
+
+
+def bad_csv_records(spark, sf):
+    """One line a document, two in seven with too few or too many fields."""
+    d = F.col("doc_id")
+    line = F.concat(F.lit("1998-01-01,nation_2,top200,,1,t,a,5"),
+                    F.when(d % 7 == 1, F.lit("")).when(d % 7 == 2, F.lit(",u,one more")).otherwise(F.lit(",u")))
+    path = scratch_path(spark, "raw-bad")
+    lines = table(spark, sf, "documents").select(line.alias("value"))
+    lines.coalesce(1).write.text(path)
+    raw = csv.read_raw_csv(spark, path, by_name=False, bad_records="keep", header="false")
+    return raw.agg(F.count("*").alias("raw_rows"), F.count(csv.BAD_RECORD).alias("bad_records"),
+                   F.count_if(csv.is_good("date")).alias("good_rows"))
+
+
+def rerun_changed_params(spark, sf):
+    """A second run in the same folder with another k: the fresh answer."""
+    raw_csv, work = scratch_path(spark, "rerun-raw"), scratch_path(spark, "rerun")
+    csv.write_raw_csv(_raw(spark, sf), raw_csv)
+    db = "chartwise_run_" + work.rsplit("-", 1)[-1]
+    run_job(spark, raw_csv, work, CFG, db=db, k_longevity=2)
+    res = run_job(spark, raw_csv, work, CFG, db=db, k_longevity=5)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return res.reloaded["q2"]
+
+
 def split_counts(spark, sf):
     path = scratch_path(spark, "split")
     csv.write_split_csv(_ingested(spark, sf), path)
@@ -96,29 +134,33 @@ def table_roundtrip(spark, sf):
 
 
 def result_roundtrip(spark, sf):
+    """Q1 with some titles empty and some artists NULL, both read back NULL."""
     path = scratch_path(spark, "q1-tsv")
-    results.write_result_tsv(_q1(spark, sf), path)
+    n = F.col("total_appearances")
+    q1 = _q1(spark, sf).withColumns({"title": F.when(n % 5 == 0, F.lit("")).otherwise(F.col("title")),
+                                     "artist": F.when(n % 3 != 0, F.col("artist"))})
+    results.write_result_tsv(q1, path, single_file=True)
     return results.read_result_tsv(spark, path, Q1_SCHEMA)
 
 
 def noise_lines(spark, sf):
-    """Document lines written as a console-style result file (``OK``, a
-    repeated header and a ``Time taken`` line around each document's rows)
-    and read back through the noise filter; the kept rows are exactly the
-    documents' lines."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
-    lines = F.split(F.col("text"), "\n", -1)
-    rows = F.transform(lines, lambda l: F.concat(F.col("doc_id").cast("string"), F.lit("\t"), l))
-    block = F.concat(
-        F.array(F.lit("OK"), F.lit("doc_id\tline")),
-        rows,
-        F.array(F.format_string("Time taken: %.3f seconds\tFetched: %d row(s)",
-                                F.col("n_chars") / F.lit(1000.0), F.size(lines))),
-    )
+    """Document lines as a console-style result file of three columns, among
+    lines that each rule of the reader alone must keep out: one behind every
+    noise prefix, a repeated header, a line without a tab (all with a valid
+    number), one with a field too many, one with no number; and one with a
+    field too few, which stays."""
+    docs = table(spark, sf, "documents")
+    i, tab = F.col("doc_id").cast("string"), F.lit("\t")
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    kinds = [lines.select(F.concat(i, tab, "line", tab, F.length("line").cast("string")).alias("value"))]
+    for other in [*[F.concat(F.lit(f"{p}seen"), tab, F.lit("x"), tab, i) for p in results.NOISE_PREFIXES],
+                  F.concat(F.lit("doc_id"), tab, F.lit("line"), tab, i), i, F.concat(i, tab, F.lit("short")),
+                  F.concat(i, tab, F.lit("a"), tab, F.lit("1"), tab, F.lit("b")),
+                  F.concat(F.lit("none"), tab, F.lit("of "), i, tab, F.lit("12d"))]:
+        kinds.append(docs.select(other.alias("value")))
     path = scratch_path(spark, "noisy-lines")
-    docs.select(F.explode(block).alias("value")).write.text(path)
-    back = results.read_noisy_lines(spark, path, ["doc_id", "line"], numeric=["doc_id"])
-    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "line")
+    reduce(lambda a, b: a.unionAll(b), kinds).write.text(path)
+    return results.read_noisy_lines(spark, path, ["doc_id", "line", "width"], numeric=["doc_id", "width"])
 
 
 def stream_clean(spark, sf):
@@ -136,7 +178,9 @@ def end_to_end_run(spark, sf):
     raw_csv = scratch_path(spark, "run-raw")
     csv.write_raw_csv(_raw(spark, sf), raw_csv)
     work = scratch_path(spark, "run")
-    res = run_job(spark, raw_csv, work, CFG, db="chartwise_run_" + work.rsplit("-", 1)[-1])
+    db = "chartwise_run_" + work.rsplit("-", 1)[-1]
+    res = run_job(spark, raw_csv, work, CFG, db=db, split_files=True)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
     return res.reloaded["q2"]
 
 
@@ -164,7 +208,7 @@ def quality_gates(spark, sf):
                              ("q2", Q.chart_longevity(charts, 5), Q2_SCHEMA),
                              ("q3", Q.yearly_leader(charts, CFG.leader_region), Q3_SCHEMA)):
         path = scratch_path(spark, f"gate-{name}")
-        results.write_result_tsv(df, path)
+        results.write_result_tsv(df, path, single_file=True)
         reloaded[f"result_{name}"] = results.read_result_tsv(spark, path, schema)
     return quality_report({"ingest": ingested, "table": charts, **reloaded})
 
@@ -185,7 +229,10 @@ def region_normalize(spark, sf):
 
 
 def type_cast(spark, sf):
-    r = _raw(spark, sf)
+    rank, streams = F.col("rank"), F.col("streams")
+    r = _raw(spark, sf).withColumn("streams", F.when(rank.endswith("7"), F.concat(streams, F.lit("d")))
+                                   .when(rank.endswith("8"), F.lit("9007199254740993.0"))
+                                   .when(rank.endswith("9"), F.lit("0x1p3")).otherwise(streams))
     d = to_chart_date("date")
     return r.select(F.col("date").alias("raw_date"), F.col("rank").alias("raw_rank"),
                     F.col("streams").alias("raw_streams"), d.alias("date"),
@@ -209,15 +256,18 @@ def lookup_display(spark, sf):
 
 def union_sources(spark, sf):
     raw = _raw(spark, sf)
-    first = raw.filter(F.col("chart") == F.lit(CFG.chart))
-    second = raw.filter(~F.coalesce(F.col("chart") == F.lit(CFG.chart), F.lit(False))) \
-        .select(*reversed(RAW_COLUMNS))
+    half = F.pmod(F.crc32("url"), F.lit(2)) == 0
+    first, second = raw.filter(half), raw.filter(~half).select(*reversed(RAW_COLUMNS))
     return I.ingest(first, CFG).unionByName(I.ingest(second, CFG))
 
 
 def coerce_numeric_q(spark, sf):
-    r = _raw(spark, sf).select("title", "artist", coerce_numeric("rank").alias("rank"),
-                               coerce_numeric("streams").alias("streams"))
+    """Numbers among text that is none, such as ``n/a``, ``x15`` and ``20f``."""
+    rank, streams = F.col("rank"), F.col("streams")
+    odd = {"rank": F.when(rank.endswith("5"), F.concat(F.lit("x"), rank)).otherwise(rank),
+           "streams": F.when(streams.isNull(), F.lit("n/a")).when(rank.endswith("0"), F.concat(streams, F.lit("f"))).otherwise(streams)}
+    r = _raw(spark, sf).withColumns(odd).select("title", "artist", coerce_numeric("rank").alias("rank"),
+                                                coerce_numeric("streams").alias("streams"))
     return r.dropna(how="all", subset=["rank", "streams"])
 
 
@@ -230,6 +280,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources, sinks, catalog
         "scan_raw_csv": scan_raw_csv,
+        "scan_raw_csv_messy": scan_raw_csv_messy,
+        "bad_csv_records": bad_csv_records,
+        "rerun_changed_params": rerun_changed_params,
         "split_counts": split_counts,
         "parquet_roundtrip": parquet_roundtrip,
         "table_roundtrip": table_roundtrip,
@@ -266,9 +319,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q2_longevity": _q2,
         "q3_yearly_leader": _q3,
         "q3_yearly_leader_join": lambda s, sf: Q.yearly_leader_join(_charts(s, sf), CFG.leader_region),
-        "series_cross_market": lambda s, sf: S.series_cross_market(_q1(s, sf)),
-        "series_longevity": lambda s, sf: S.series_longevity(_q2(s, sf), CFG.markets),
-        "series_yearly": lambda s, sf: S.series_yearly(_q3(s, sf), FIXTURE_SCALE, FIXTURE_MIN_BAR),
+        "q1_open_markets": lambda s, sf: Q.cross_market_hits(_charts(s, sf), 3, 30),
+        # results with gaps, as a reader of files may meet them
+        "series_cross_market": lambda s, sf: S.series_cross_market(
+            _q1(s, sf).withColumn("total_appearances", F.when(F.col("total_appearances") % 4 != 0, F.col("total_appearances")))),
+        "series_longevity": lambda s, sf: S.series_longevity(
+            _q2(s, sf).withColumns({"best_rank": F.when(F.col("best_rank") % 3 != 0, F.col("best_rank")),
+                                    "days_on_chart": F.when(F.length("title") % 4 != 0, F.col("days_on_chart"))}), CFG.markets),
+        "series_yearly": lambda s, sf: S.series_yearly(
+            _q3(s, sf).withColumn("total_streams", F.when(F.col("year") != 1997, F.col("total_streams"))), FIXTURE_SCALE, FIXTURE_MIN_BAR),
         "quality_report": quality_gates,
         "end_to_end_run": end_to_end_run,
     }

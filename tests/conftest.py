@@ -15,7 +15,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="chartwise-test-ckpt-")  # tests set their own shared folder
-    s = build_session("local[*]", "chartwise-tests", shuffle_partitions=8,
+    s = build_session("local[*]", "chartwise-tests", shuffle_partitions=8, small_input=True,
                       extra={"spark.checkpoint.dir": ckpt,
                              "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="chartwise-test-wh-")})
     yield s

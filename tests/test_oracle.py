@@ -6,7 +6,8 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from chartwise.oracle import oracle_sql
+from chartwise.registry import queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "

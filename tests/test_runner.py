@@ -25,7 +25,7 @@ def test_run_matches_direct_answers_and_skips_on_rerun(spark):
     raw_csv = scratch_path(spark, "raw")
     write_raw_csv(raw_charts(spark, SF), raw_csv)
     work = scratch_path(spark, "run")
-    res = run_job(spark, raw_csv, work, CFG, db="t_pipe")
+    res = run_job(spark, raw_csv, work, CFG, db="t_pipe", split_files=True)
     direct = clean(ingest(raw_charts(spark, SF), CFG).drop("country_code", "month_str"), CFG.markets)
     assert res.metrics["ingested_rows"] == 561 and res.metrics["clean_rows"] == 372
     funnel = [res.metrics[k] for k in ("raw_rows", "chart_rows", "ingested_rows", "complete_rows", "clean_rows")]
@@ -34,14 +34,14 @@ def test_run_matches_direct_answers_and_skips_on_rerun(spark):
     assert _sorted(res.reloaded["q2"].collect()) == _sorted(chart_longevity(direct).collect())
     assert _sorted(res.reloaded["q3"].collect()) == _sorted(yearly_leader(direct, "JP").collect())
     assert len(res.series["cross_market"].collect()) == 30 and len(res.series["yearly"].collect()) == 5
-    again = run_job(spark, raw_csv, work, CFG, db="t_pipe")
-    assert set(again.skipped) == {"ingest", "clean", "q1", "q2", "q3"}
+    again = run_job(spark, raw_csv, work, CFG, db="t_pipe", split_files=True)
+    assert set(again.skipped) == {"ingest", "clean", "q1", "q2", "q3", "series_cross_market", "series_longevity", "series_yearly"}
 
 
 def test_fused_run_equals_split_run(spark):
     raw_csv = scratch_path(spark, "raw")
     write_raw_csv(raw_charts(spark, SF), raw_csv)
-    split = run_job(spark, raw_csv, scratch_path(spark, "a"), CFG, db="t_a")
+    split = run_job(spark, raw_csv, scratch_path(spark, "a"), CFG, db="t_a", split_files=True)
     fused = run_job(spark, raw_csv, scratch_path(spark, "b"), CFG, db="t_b", split_files=False)
     assert fused.metrics["ingested_rows"] == split.metrics["ingested_rows"] == 561
     assert fused.metrics["clean_rows"] == 372 and fused.metrics["raw_rows"] == 6000 and fused.metrics["complete_rows"] == 458
@@ -105,7 +105,7 @@ def test_command_line_run(spark, tmp_dir):
                 f.write(f"Song B,2,2018-01-0{day},Other,u,{region},top200,SAME_POSITION,500\n")
         f.write("Song C,1,2016-12-31,X,u,Japan,top200,NEW_ENTRY,10\n")  # outside the years
         f.write("Song D,1,2018-01-01,X,u,Japan,viral50,NEW_ENTRY,10\n")  # other chart kind
-    metrics = main(["run", "--raw", raw, "--workdir", scratch_path(spark, "cli"), "--db", "t_cli", "--fused"],
+    metrics = main(["run", "--raw", raw, "--workdir", scratch_path(spark, "cli"), "--db", "t_cli"],
                    spark=spark)
     assert metrics["ingested_rows"] == 18 and metrics["clean_rows"] == 18 and metrics["q1_rows"] == 2
 

@@ -34,7 +34,7 @@ def plan(df, mode="simple") -> str:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else "PLANS.md"
-    spark = build_session("local[8]", shuffle_partitions=8,
+    spark = build_session("local[8]", shuffle_partitions=8, small_input=True,
                           extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="plans-", dir="/tmp"),
                                  "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wh-", dir="/tmp")})
     raw_csv = scratch_path(spark, "raw")
