@@ -11,6 +11,8 @@ Its fields never come through shifted or half empty as if they were data."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,21 +45,22 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def is_good(first_column: str):
+def is_good(*columns: str):
     """Whether a row read with ``BAD_RECORD`` is a good record. The condition
-    names a column of the data too, since Spark refuses a query on a CSV file
-    that uses nothing but the bad-record column (a count, for instance)."""
-    return F.col(BAD_RECORD).isNull() & _names(first_column)
+    names columns of the data: at least one, since Spark refuses a query on a
+    CSV file that uses nothing but the bad-record column (a count, for
+    instance), and every typed one, as only columns in use are converted."""
+    return F.col(BAD_RECORD).isNull() & _names(columns)
 
 
-def is_bad(first_column: str):
-    return F.col(BAD_RECORD).isNotNull() & _names(first_column)
+def is_bad(*columns: str):
+    return F.col(BAD_RECORD).isNotNull() & _names(columns)
 
 
-def _names(column: str):
+def _names(columns):
     """Always true, but not known to be so before a row is seen."""
-    c = F.col(f"`{column}`").cast("string")
-    return c.isNull() | (F.length(c) >= 0)
+    text = [F.col(f"`{c}`").cast("string") for c in columns]
+    return reduce(lambda x, y: x & y, [c.isNull() | (F.length(c) >= 0) for c in text])
 
 
 def first_data_file(spark: SparkSession, path: str) -> str | None:

@@ -64,10 +64,9 @@ def read_result_tsv(spark: SparkSession, path: str, schema: T.StructType, missin
     full = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType(), True)])
     df = (spark.read.schema(full).options(**TSV_OPTIONS).option("multiLine", "true").option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", BAD_RECORD).option("columnPruning", "false").csv(path))
-    first = schema.fields[0].name
     if rejects:
-        return df.filter(is_bad(first)).select(BAD_RECORD)
-    return df.filter(is_good(first)).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+        return df.filter(is_bad(*schema.names)).select(BAD_RECORD)
+    return df.filter(is_good(*schema.names)).select(*[F.col(f"`{n}`") for n in schema.names])
 
 
 def is_data_line(c="value", prefixes: Sequence[str] = NOISE_PREFIXES):

@@ -45,6 +45,11 @@ def test_q1_is_top_k_over_partial_aggregates(table):
     assert "ReadSchema: struct<title:string,artist:string>" in p  # region is a partition column
 
 
+def test_q1_on_known_markets_is_one_exchange(table):
+    p = plan(cross_market_hits(table, known_markets=[m.code for m in CFG.markets]), "simple")
+    assert p.count("Exchange hashpartitioning") == 1 and "TakeOrderedAndProject" in p
+
+
 def test_q2_uses_window_group_limit(table):
     p = plan(chart_longevity(table))
     assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
