@@ -3,7 +3,7 @@ on bad input; every cast here is a try-cast that yields NULL instead."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartwise.functions.text import strip_ws
@@ -22,6 +22,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def parse_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns added (or replaced) that are worked out once a row.
+
+    Filters and further columns on a plain derived column get the expression
+    copied into them by the optimiser, so a parse would run once for each use.
+    ``inline`` of a one-element array is a row-to-row step that predicates
+    don't move through."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    order = [*df.columns, *[c for c in columns if c not in df.columns]]
+    parsed = df.select(*kept, F.inline(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))))
+    return parsed.select(*[F.col(f"`{c}`") for c in order])
+
+
 def to_long_lenient(c) -> Column:
     """Integer text exactly; decimal text such as ``100.0`` (written by tools
     that hold the column as float) truncated toward zero; anything else NULL.

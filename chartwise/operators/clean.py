@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from chartwise.functions.casts import to_chart_date, to_int_lenient, to_long_lenient
+from chartwise.functions.casts import parse_once, to_chart_date, to_int_lenient, to_long_lenient
 from chartwise.functions.markets import market_code, market_key
 from chartwise.functions.text import normalize_name
 from chartwise.operators.ingest import _as_date
@@ -32,11 +32,8 @@ def normalize_region(df: DataFrame, markets: Sequence[Market]) -> DataFrame:
 
 
 def cast_types(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "rank": to_int_lenient("rank"),
-        "streams": to_long_lenient("streams"),
-        "date": to_chart_date("date"),
-    }).withColumn("year", F.year("date"))
+    typed = parse_once(df, rank=to_int_lenient("rank"), streams=to_long_lenient("streams"), date=to_chart_date("date"))
+    return typed.withColumn("year", F.year("date"))
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str] = REQUIRED) -> DataFrame:
@@ -60,43 +57,24 @@ def clean(raw: DataFrame, markets: Sequence[Market], max_rank: int = 200,
     return filter_valid(df, max_rank).select(*CHART_COLUMNS)
 
 
-def _stage_flags(raw: DataFrame, cfg: IngestConfig):
-    d = _as_date(raw)
-    keys = [m.key for m in cfg.markets]
+def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """One row counting the rows that survive each stage, in a single pass:
+    raw -> chart kind -> chart+years+markets -> complete -> valid. If the raw
+    rows carry ``BAD_RECORD``, bad records are counted too and go no further.
+    Each field is parsed once."""
+    rows = parse_once(raw, _day=_as_date(raw), _rank=to_int_lenient("rank"), _streams=to_long_lenient("streams"))
+    day, rank, streams = F.col("_day"), F.col("_rank"), F.col("_streams")
     chart_ok = F.coalesce(F.col("chart") == F.lit(cfg.chart), F.lit(False))
-    year_ok = F.coalesce(F.year(d).between(cfg.year_from, cfg.year_to), F.lit(False))
-    market_ok = F.coalesce(market_key("region").isin(keys), F.lit(False))
-    ingested = chart_ok & year_ok & market_ok
-    rank = to_int_lenient("rank")
-    streams = to_long_lenient("streams")
-    complete = ingested & F.col("title").isNotNull() & F.col("artist").isNotNull() & streams.isNotNull() \
-        & F.col("region").isNotNull() & d.isNotNull() & rank.isNotNull()
-    valid = complete & F.coalesce((streams > 0) & rank.between(1, cfg.max_rank), F.lit(False))
     if BAD_RECORD in raw.columns:
-        good = F.col(BAD_RECORD).isNull()
-        chart_ok, ingested, complete, valid = (good & c for c in (chart_ok, ingested, complete, valid))
-    return chart_ok, ingested, complete, valid
-
-
-def funnel_columns(raw: DataFrame, cfg: IngestConfig) -> list:
-    """Aggregates counting the rows that survive each stage:
-    raw -> chart kind -> chart+years+markets -> complete -> valid. If the raw
-    rows carry ``BAD_RECORD``, bad records are counted too and go no further."""
-    chart_ok, ingested, complete, valid = _stage_flags(raw, cfg)
+        chart_ok = chart_ok & F.col(BAD_RECORD).isNull()
+    in_years = F.coalesce(F.year(day).between(cfg.year_from, cfg.year_to), F.lit(False))
+    in_markets = F.coalesce(market_key("region").isin([m.key for m in cfg.markets]), F.lit(False))
+    ingested = chart_ok & in_years & in_markets
+    complete = ingested & F.col("title").isNotNull() & F.col("artist").isNotNull() & streams.isNotNull() & rank.isNotNull()
+    valid = complete & (streams > 0) & rank.between(1, cfg.max_rank)
     bad = [F.count(BAD_RECORD).alias("bad_records")] if BAD_RECORD in raw.columns else []
-    return [
-        F.count(F.lit(1)).alias("raw_rows"),
-        *bad,
-        F.count_if(chart_ok).alias("chart_rows"),
-        F.count_if(ingested).alias("ingested_rows"),
-        F.count_if(complete).alias("complete_rows"),
-        F.count_if(valid).alias("clean_rows"),
-    ]
-
-
-def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
-    """One row of stage counts in a single pass over the raw rows."""
-    return raw.agg(*funnel_columns(raw, cfg))
+    return rows.agg(F.count(F.lit(1)).alias("raw_rows"), *bad, F.count_if(chart_ok).alias("chart_rows"), F.count_if(ingested).alias("ingested_rows"),
+                    F.count_if(complete).alias("complete_rows"), F.count_if(valid).alias("clean_rows"))
 
 
 def observe_raw_counts(raw: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, Observation]:

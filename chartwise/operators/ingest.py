@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartwise.functions.casts import to_chart_date
+from chartwise.functions.casts import parse_once, to_chart_date
 from chartwise.functions.markets import market_key, markets_frame, small
 from chartwise.schema import IngestConfig, Market
 
@@ -29,7 +29,13 @@ def filter_years(df: DataFrame, year_from: int, year_to: int) -> DataFrame:
     """Inclusive year range written as a date range, so that on a typed date
     column it reaches the Parquet scan as a pushed filter; rows whose date
     does not parse are dropped."""
-    d = _as_date(df)
+    if isinstance(df.schema["date"].dataType, T.StringType):
+        return _in_years(parse_once(df, _day=_as_date(df)), "_day", year_from, year_to).drop("_day")
+    return _in_years(df, "date", year_from, year_to)
+
+
+def _in_years(df: DataFrame, day: str, year_from: int, year_to: int) -> DataFrame:
+    d = F.col(day)
     lo, hi = dt.date(year_from, 1, 1), dt.date(year_to + 1, 1, 1)
     return df.filter((d >= F.lit(lo)) & (d < F.lit(hi)))
 
@@ -56,5 +62,6 @@ def with_month_bucket(df: DataFrame, out: str = "month_str") -> DataFrame:
 def ingest(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
     """Raw rows of the kept chart kind, years and markets, with their market
     code and month. The raw columns are left untouched."""
-    kept = filter_years(filter_chart(raw, cfg.chart), cfg.year_from, cfg.year_to)
-    return with_month_bucket(lookup_market(kept, cfg.markets))
+    dated = parse_once(filter_chart(raw, cfg.chart), _day=_as_date(raw))
+    kept = lookup_market(_in_years(dated, "_day", cfg.year_from, cfg.year_to), cfg.markets)
+    return kept.withColumn("month_str", F.date_format("_day", "yyyy-MM")).drop("_day")

@@ -45,6 +45,13 @@ def test_q1_is_top_k_over_partial_aggregates(table):
     assert "ReadSchema: struct<title:string,artist:string>" in p  # region is a partition column
 
 
+def test_dates_and_numbers_are_parsed_once(spark, raw_csv):
+    fused = clean(ingest(read_raw_csv(spark, raw_csv), CFG).drop("country_code", "month_str"), CFG.markets)
+    p = fused._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("RLIKE") == 2  # once for ingest's range, once for the typed column
+    assert p.count("decimal(38,18)") == 2  # rank and streams
+
+
 def test_q1_on_known_markets_is_one_exchange(table):
     p = plan(cross_market_hits(table, known_markets=[m.code for m in CFG.markets]), "simple")
     assert p.count("Exchange hashpartitioning") == 1 and "TakeOrderedAndProject" in p
