@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, taken) -> str:
+    """``name``, with underscores in front until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared folder and read it
     back: lineage ends there, so a lost executor costs no earlier stage."""

@@ -121,12 +121,12 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, text_col: str = "text", item_col: str = "item_id",
               item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, prefix: str = "hit_") -> DataFrame:
     """``docs`` with ``hit_words`` (long), ``hit_spans`` (merged runs of hit
-    words, by word position) and ``hit_items`` (sorted ids, as strings)."""
+    words, by word position) and ``hit_items`` (sorted ids, as strings). Columns
+    of ``docs`` that have one of these names are replaced."""
     spark = docs.sparkSession
     names = [f"{prefix}{x}" for x in ("words", "spans", "items")]
-    if clash := set(docs.columns) & set(names):
-        raise ValueError(f"columns {sorted(clash)} are taken: pass another prefix")
-    inner = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"),
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    inner = docs.select(F.struct(*kept).alias("row"), F.col(text_col).cast("string").alias("text"),
                         F.lit(0).cast("long").alias("n"), F.array().cast(_SCHEMA).alias("spans"), F.array().cast("array<string>").alias("items"))
     out = T.StructType([T.StructField("row", inner.schema["row"].dataType), *inner.schema.fields[1:]])
     blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
@@ -184,17 +184,26 @@ def is_contaminated(words: str = "hit_words", spans: str = "hit_spans", one_in:
     return (n_hit(spans) > 0) & (F.lit(one_in) * n_hit(spans) >= F.col(words))
 
 
+def _free_prefix(docs: DataFrame) -> str:
+    prefix = "_hit_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 13, one_in: int = 20, **names) -> DataFrame:
     """``docs`` without the contaminated ones."""
     keep = [F.col(f"`{c}`") for c in docs.columns]
-    return find_hits(docs, benchmark, n, prefix="_hit_", **names).filter(~is_contaminated("_hit_words", "_hit_spans", one_in)).select(*keep)
+    own = _free_prefix(docs)
+    return find_hits(docs, benchmark, n, prefix=own, **names).filter(~is_contaminated(f"{own}words", f"{own}spans", one_in)).select(*keep)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13, text_col: str = "text", **names) -> DataFrame:
     """``docs`` with every hit run of words cut out of its text."""
     keep = docs.columns
-    hit = find_hits(docs, benchmark, n, text_col=text_col, prefix="_hit_", **names)
-    cols = [*keep, "_hit_spans"]
+    own = _free_prefix(docs)
+    hit = find_hits(docs, benchmark, n, text_col=text_col, prefix=own, **names)
+    cols = [*keep, f"{own}spans"]
     schema = docs.schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -165,6 +165,8 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> dict | None:
         .select(F.xxhash64("doc_id", F.crc32(F.encode("text", "UTF-8"))).alias("key"), "lang", "text")
     got = sorted(sample.mapInArrow(features, "key long, lang string, at binary, n binary").toLocalIterator(), key=lambda r: (r.key, r.lang))
     langs = sorted({r.lang for r in got})
+    if not got:
+        return None
     rows = []
     for r in got:
         at = np.frombuffer(r.at, "<u2").astype(np.int64)

@@ -50,7 +50,7 @@ def write(folder, docs, benchmark=((1, "the of and that with house river mountai
     kinds = {"doc_id": pa.int64(), "text": pa.string(), "lang": pa.string(), "source": pa.string(), "n_chars": pa.int64()}
     cols = list(zip(*docs, strict=True)) or [()] * 5
     table = pa.table({n: pa.array(c, t) for (n, t), c in zip(kinds.items(), cols, strict=True)})
-    for name in ("row", "key", "fp", "part", "bucket", "size", "items", "word", "n", "id", "place", "label"):
+    for name in ("row", "key", "fp", "part", "bucket", "size", "items", "word", "n", "id", "place", "label", "_doc", "_version", "_gone", "hit_words", "_hit_spans", "gone"):
         table = table.append_column(name, pa.array(["x"] * len(table), pa.string()))
     pq.write_table(table, f"{folder}/documents.parquet")
     pq.write_table(pa.table({"item_id": pa.array([b[0] for b in benchmark], pa.int64()), "text": pa.array([b[1] for b in benchmark], pa.string())}),
