@@ -67,10 +67,12 @@ def chunk_encoder(spec: str, dtype: str):
 
     def chunk(text: str) -> bytes:
         if len(text) <= _CACHED_CHARS and plain.fullmatch(text):
-            return b"".join([known[p] for p in pieces.findall(text)])
+            parts = pieces.findall(text)
+            # a chunk of one piece is cached as a chunk already
+            return piece(text) if len(parts) == 1 else b"".join([known[p] for p in parts])
         return np.array(whole.encode(text, add_special_tokens=False).ids, dtype).tobytes()
 
-    cache = Recent(chunk)
+    cache = Recent(chunk, 300_000)
     safe = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}]+")
     added = [t["content"] for t in parsed["added_tokens"]]
 
