@@ -159,8 +159,8 @@ def _near_by_masks(fps: np.ndarray, distance: int, free: list[int]) -> np.ndarra
 
 
 def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of more than one row of equal first two columns (part, key), from
-    rows sorted by these; a run may span batches."""
+    """Runs of more than one row of equal first column, from rows sorted by
+    it; a run may span batches."""
     held: pa.Table | None = None
     for b in batches:
         t = pa.Table.from_batches([b])
@@ -168,8 +168,7 @@ def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
             t = pa.concat_tables([held, t])
         if not len(t):
             continue
-        part, key = (t.column(k).to_numpy() for k in range(2))
-        edges = np.concatenate([[0], np.flatnonzero((np.diff(part) != 0) | (np.diff(key) != 0)) + 1])
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(t.column(0).to_numpy())) + 1])
         sizes = np.diff(edges)
         for k in np.flatnonzero(sizes > 1):
             yield t.slice(edges[k], sizes[k])
@@ -179,53 +178,66 @@ def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, split_over: int | None) -> DataFrame:
-    """index (part, key, fp) -> (u, v, part): links, or for a list longer than
-    ``split_over`` its entries as (fp, null, part)."""
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("part", pa.int64())])
+    """index (key, fp) -> (u, v): links, or for a list longer than
+    ``split_over`` its entries as (fp, null)."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for run_of in posting_lists(batches):
-                part, signed = run_of.column(0)[0].as_py(), run_of.column(2).to_numpy()
+            for entries in posting_lists(batches):
+                signed = np.unique(entries.column(1).to_numpy())
                 fps = signed.view(np.uint64)
                 if split_over and len(fps) > split_over:
-                    yield from ((int(x), None, part) for x in signed)
+                    yield from ((int(x), None) for x in signed)
                     continue
                 if len(fps) > LIST_ROWS:
-                    parent = _near_by_masks(fps, distance, [p for p in range(8) if p not in positions[part]])
+                    parent = _near_by_masks(fps, distance, [p for p in range(8) if len(np.unique(fps >> np.uint64(8 * p) & np.uint64(255))) > 1])
                 else:
                     parent = near_in_list(fps, distance)
                 for i in np.flatnonzero(parent != np.arange(len(parent))):
-                    yield int(signed[i]), int(signed[parent[i]]), part
+                    yield int(signed[i]), int(signed[parent[i]])
         return to_batches(rows(), schema)
 
-    return index.repartition("part", "key").sortWithinPartitions("part", "key") \
-        .mapInArrow(run, "u long, v long, part long")
+    return index.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
+
+
+def index_keys(positions: list[tuple[int, ...]]) -> list[tuple[int, int]]:
+    """(mask, mark) of each key: a key is the masked fingerprint with the
+    number of its set of positions in a byte that the set spares, so one
+    long is enough to sort by. Lists of two sets could meet in one long; that
+    makes a longer list, whose pairs are verified all the same."""
+    out = []
+    for k, p in enumerate(positions):
+        spared = [x for x in range(8) if x not in p]
+        mark = k << (8 * spared[0]) if spared else 0
+        out.append((_mask(p), mark - (1 << 64) if mark >> 63 else mark))
+    return out
 
 
 def index_rows(df: DataFrame, positions: list[tuple[int, ...]]) -> DataFrame:
-    """A row (part, key, and the columns of ``df``) for each key of each
+    """A row (key, and the columns of ``df``) for each key of each
     fingerprint fp."""
-    entries = F.array(*[F.struct(F.lit(k).cast("long").alias("part"), F.col("fp").bitwiseAND(F.lit(_mask(p)).cast("long")).alias("key"))
-                        for k, p in enumerate(positions)])
-    return df.select(F.explode(entries).alias("e"), *df.columns).select("e.part", "e.key", *df.columns)
+    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(mask).cast("long")).bitwiseOR(F.lit(mark).cast("long")) for mask, mark in index_keys(positions)])
+    return df.select(F.explode(keys).alias("key"), *df.columns)
+
+
+def finer_positions(positions: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """Each set of positions with one more, in every way."""
+    return sorted({tuple(sorted((*p, x))) for p in positions for x in range(8) if x not in p})
 
 
 def near_links(fps: DataFrame, distance: int = 3, list_rows: int = LIST_ROWS) -> DataFrame:
     """Links (u, v) that connect the distinct fingerprints in ``fps`` (fp:
     long) exactly as all pairs within ``distance`` bits would."""
     positions = key_positions(distance)
-
     first = index_rows(fps, positions)
     if distance != 3:
-        return _links(first, positions, distance, None).select("u", "v")
+        return _links(first, positions, distance, None)
     found = materialise(_links(first, positions, distance, list_rows), "simhash-links")
-    # the long lists again, with one more positional byte in the key
-    finer = [(*p, x) for p in positions for x in range(8) if x not in p]
-    long_lists = found.filter(F.col("v").isNull()).select(F.col("u").alias("fp"), F.col("part").alias("was"))
-    second = index_rows(long_lists, finer).filter(F.floor(F.col("part") / 4) == F.col("was")).select("part", "key", "fp")
-    return found.filter(F.col("v").isNotNull()).select("u", "v") \
-        .unionAll(_links(second, finer, distance, None).select("u", "v"))
+    # entries of long lists again, with one more positional byte in the key
+    finer = finer_positions(positions)
+    second = index_rows(found.filter(F.col("v").isNull()).select(F.col("u").alias("fp")).distinct(), finer)
+    return found.filter(F.col("v").isNotNull()).unionAll(_links(second, finer, distance, None))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
