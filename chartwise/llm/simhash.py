@@ -40,6 +40,8 @@ from chartwise.llm.graph import components
 
 LIST_ROWS = 1 << 16
 _CHUNK = 1 << 15
+#: Lists up to this length are searched together, and may give all their near pairs.
+_SHORT = 8
 _SEED = 42
 
 
@@ -158,9 +160,10 @@ def _near_by_masks(fps: np.ndarray, distance: int, free: list[int]) -> np.ndarra
     return _roots(parent)
 
 
-def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of more than one row of equal first column, from rows sorted by
-    it; a run may span batches."""
+def _whole_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, bounds of the runs) from rows sorted by the first column: runs
+    of equal value there, each whole in one piece, though it may span
+    batches."""
     held: pa.Table | None = None
     for b in batches:
         t = pa.Table.from_batches([b])
@@ -169,12 +172,37 @@ def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         if not len(t):
             continue
         edges = np.concatenate([[0], np.flatnonzero(np.diff(t.column(0).to_numpy())) + 1])
+        if len(edges) > 1:
+            yield t.slice(0, edges[-1]), edges
+        held = t.slice(edges[-1])
+    if held is not None and len(held):
+        yield held, np.array([0, len(held)])
+
+
+def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of more than one row of equal first column, from rows sorted by it."""
+    for t, edges in _whole_lists(batches):
         sizes = np.diff(edges)
         for k in np.flatnonzero(sizes > 1):
             yield t.slice(edges[k], sizes[k])
-        held = t.slice(edges[-1])
-    if held is not None and len(held) > 1:
-        yield held
+
+
+def _near_in_short_lists(fps: np.ndarray, edges: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j): the near pairs in all lists of up to ``_SHORT`` entries at once."""
+    sizes = np.diff(edges)
+    number = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.flatnonzero((sizes[number] > 1) & (sizes[number] <= _SHORT))
+    first, second = [], []
+    for step in range(1, _SHORT):
+        i = at[at + step < len(fps)]
+        i = i[number[i + step] == number[i]]
+        x = fps[i] ^ fps[i + step]
+        equal = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1, dtype=np.uint8)
+        i, x = i[equal >= 8 - distance], x[equal >= 8 - distance]
+        i = i[(np.bitwise_count(x) <= distance) & (x != 0)]
+        first.append(i)
+        second.append(i + step)
+    return np.concatenate(first), np.concatenate(second)
 
 
 def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, split_over: int | None) -> DataFrame:
@@ -182,21 +210,27 @@ def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, sp
     ``split_over`` its entries as (fp, null)."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
+    def in_list(signed: np.ndarray):
+        signed = np.unique(signed)
+        fps = signed.view(np.uint64)
+        if split_over and len(fps) > split_over:
+            yield from ((int(x), None) for x in signed)
+            return
+        if len(fps) > LIST_ROWS:
+            parent = _near_by_masks(fps, distance, [p for p in range(8) if len(np.unique(fps >> np.uint64(8 * p) & np.uint64(255))) > 1])
+        else:
+            parent = near_in_list(fps, distance)
+        for i in np.flatnonzero(parent != np.arange(len(parent))):
+            yield int(signed[i]), int(signed[parent[i]])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for entries in posting_lists(batches):
-                signed = np.unique(entries.column(1).to_numpy())
-                fps = signed.view(np.uint64)
-                if split_over and len(fps) > split_over:
-                    yield from ((int(x), None) for x in signed)
-                    continue
-                if len(fps) > LIST_ROWS:
-                    parent = _near_by_masks(fps, distance, [p for p in range(8) if len(np.unique(fps >> np.uint64(8 * p) & np.uint64(255))) > 1])
-                else:
-                    parent = near_in_list(fps, distance)
-                for i in np.flatnonzero(parent != np.arange(len(parent))):
-                    yield int(signed[i]), int(signed[parent[i]])
-        return to_batches(rows(), schema)
+        for t, edges in _whole_lists(batches):
+            signed = t.column(1).to_numpy()
+            i, j = _near_in_short_lists(signed.view(np.uint64), edges, distance)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(signed[i], pa.int64()), pa.array(signed[j], pa.int64())], schema=schema)
+            for k in np.flatnonzero(np.diff(edges) > _SHORT):
+                yield from to_batches(in_list(signed[edges[k]:edges[k + 1]]), schema)
 
     return index.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
 
