@@ -114,16 +114,15 @@ def join_pairs(parent: np.ndarray, a: np.ndarray, b: np.ndarray, same: Callable[
             parent[max(x, y)] = min(x, y)
 
 
-def _roots(parent: np.ndarray) -> np.ndarray:
+def roots(parent: np.ndarray) -> np.ndarray:
     out = parent
     while (out != out[out]).any():
         out = out[out]
     return out
 
 
-def near_in_list(fps: np.ndarray, distance: int, same: Callable[[int, int], bool] | None = None) -> np.ndarray:
-    """Parents of a spanning forest over the near pairs of one posting list
-    (with ``same``: over those that it holds for)."""
+def near_in_list(fps: np.ndarray, distance: int) -> np.ndarray:
+    """Parents of a spanning forest over the near pairs of one posting list."""
     m = len(fps)
     parent = np.arange(m)
     at, step, most = 0, 1, max(1, (1 << 19) // m)
@@ -135,11 +134,11 @@ def near_in_list(fps: np.ndarray, distance: int, same: Callable[[int, int], bool
         ok = (j + 1 > i) & (np.bitwise_count(x[i, j]) <= distance)
         i, j = i[ok] + at, j[ok] + at + 1
         if len(i):
-            label = _roots(parent)
+            label = roots(parent)
             apart = label[i] != label[j]
-            join_pairs(parent, i[apart], j[apart], same)
+            join_pairs(parent, i[apart], j[apart])
         at, step = at + step, min(2 * step, most)
-    return _roots(parent)
+    return roots(parent)
 
 
 def _near_by_masks(fps: np.ndarray, distance: int, free: list[int]) -> np.ndarray:
@@ -157,10 +156,10 @@ def _near_by_masks(fps: np.ndarray, distance: int, free: list[int]) -> np.ndarra
             hit = np.nonzero((ranked[at] == other) & (ranked < other))[0]
             if len(hit):
                 join_pairs(parent, order[hit], order[at[hit]])
-    return _roots(parent)
+    return roots(parent)
 
 
-def _whole_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+def whole_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """(rows, bounds of the runs) from rows sorted by the first column: runs
     of equal value there, each whole in one piece, though it may span
     batches."""
@@ -181,7 +180,7 @@ def _whole_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table,
 
 def posting_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Runs of more than one row of equal first column, from rows sorted by it."""
-    for t, edges in _whole_lists(batches):
+    for t, edges in whole_lists(batches):
         sizes = np.diff(edges)
         for k in np.flatnonzero(sizes > 1):
             yield t.slice(edges[k], sizes[k])
@@ -224,7 +223,7 @@ def _links(index: DataFrame, positions: list[tuple[int, ...]], distance: int, sp
             yield int(signed[i]), int(signed[parent[i]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, edges in _whole_lists(batches):
+        for t, edges in whole_lists(batches):
             signed = t.column(1).to_numpy()
             i, j = _near_in_short_lists(signed.view(np.uint64), edges, distance)
             if len(i):

@@ -246,6 +246,25 @@ def test_line_dedup(spark, list_rows):
     assert len(set(root)) < len(root)
 
 
+def test_lines_with_replaced_words_meet(spark):
+    """Recall against brute force on edit similarity alone."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
+    pairs = []
+    for k in range(160):
+        a = [word() for _ in range((6, 12, 30, 150)[k % 4])]
+        b = list(a)
+        for at in rng.sample(range(len(a)), max(1, len(a) // (10, 6, 8)[k % 3])):
+            b[at] = word()
+        pairs.append((" ".join(a), " ".join(b)))
+    texts = [t for pair in pairs for t in pair]
+    docs = frame(spark, list(enumerate(texts)))
+    gone = {r.doc_id for r in lines.dedup(docs).collect() if not r.text}
+    wanted = {2 * k + 1 for k, (a, b) in enumerate(pairs) if lines.similar(a, b)}
+    assert gone <= wanted and len(wanted) > 100
+    assert len(gone) >= 0.97 * len(wanted)
+
+
 def test_karmarkar_karp_balances():
     rng = np.random.default_rng(5)
     sizes = rng.integers(1, 5000, 3000)
