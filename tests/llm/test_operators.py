@@ -265,6 +265,19 @@ def test_lines_with_replaced_words_meet(spark):
     assert len(gone) >= 0.97 * len(wanted)
 
 
+def test_long_lines_with_small_edits_are_candidates():
+    rng = random.Random(22)
+    word = lambda: rng.choice(("the", "of", "and", "to", "in")) if rng.random() < 0.4 else "".join(rng.choice("abcdefghijklm") for _ in range(6))
+    for _ in range(60):
+        a = [word() for _ in range(150)]
+        b = list(a)
+        for at in rng.sample(range(150), 8):
+            b[at] = word()
+        *prints, keys = lines.line_prints([" ".join(a).encode(), " ".join(b).encode()])
+        assert sum(int(a ^ b).bit_count() for a, b in (p.view(np.uint64) for p in prints)) <= lines.DISTANCE
+        assert set(keys[0]) & set(keys[1])
+
+
 def test_karmarkar_karp_balances():
     rng = np.random.default_rng(5)
     sizes = rng.integers(1, 5000, 3000)
