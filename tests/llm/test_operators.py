@@ -278,6 +278,14 @@ def test_long_lines_with_small_edits_are_candidates():
         assert set(keys[0]) & set(keys[1])
 
 
+@pytest.mark.parametrize("list_rows", [lines.LIST_ROWS, 7])
+def test_lines_of_the_same_words_in_one_long_list(spark, list_rows):
+    texts = [" ".join(["0 0 0"] * n) + end for n in range(2, 40) for end in ("", " total", " sum of all")]
+    root = groups(len(texts), lambda i, j: lines.similar(texts[i], texts[j]))
+    got = lines.dedup(frame(spark, list(enumerate(texts))), list_rows=list_rows)
+    assert {r.doc_id for r in got.collect() if r.text} == set(root) and len(set(root)) > 1
+
+
 def test_karmarkar_karp_balances():
     rng = np.random.default_rng(5)
     sizes = rng.integers(1, 5000, 3000)
