@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling.
 
-A document is a weighted set: its words, lower-cased, with their counts as
-weights. For each of ``samples``
+A document is a weighted set: its words, lower-cased, and its pairs of
+neighbouring words, with their counts as weights. For each of ``samples``
 independent samples, every term draws gamma-distributed r and c and a uniform
 b from a hash of (term, sample); with t = floor(ln w / r + b) and
 ln a = ln c - r (t - b + 1), the sample is the (term, t) of smallest a. Two
@@ -53,16 +53,29 @@ def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-def weighted_terms(text: str | None, hashes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of the terms in rising order, their counts)."""
-    words = (text or "").lower().split()
-    return np.unique(np.array([hashes[w] for w in words], np.uint64), return_counts=True)
+def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    x = first * np.uint64(0x9E3779B97F4A7C15) + second
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def weighted_terms(text: str | None, hashes: dict[str, int], pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the terms, words and with ``pairs`` neighbouring ones too, in
+    rising order, their counts)."""
+    words = np.array([hashes[w] for w in (text or "").lower().split()], np.uint64)
+    terms = np.concatenate([words, _pair_hashes(words[:-1], words[1:])]) if pairs else words
+    return np.unique(terms, return_counts=True)
 
 
-def sampler(samples: int = SAMPLES) -> Callable[..., tuple[np.ndarray | None, ...]]:
+def sampler(samples: int | None = None, pairs: bool | None = None) -> Callable[..., tuple[np.ndarray | None, ...]]:
     """The function (text, ...) -> for each text its samples as 16-bit integers
-    (None: no terms). What a term draws is worked out once for all texts of a
+    (None: no terms). Terms are words, with ``pairs`` neighbouring ones too; without
+    arguments it is the operator's own, ``SAMPLES`` samples of both. What a term draws is worked out once for all texts of a
     call, so a text and its edited version cost little more than one."""
+    pairs = samples is None if pairs is None else pairs
+    samples = samples or SAMPLES
     g = gamma_quantiles()
     r_of, c_of = g.astype(np.float32), np.log(g).astype(np.float32)
     seeds = np.array([xxhash.xxh32_intdigest(f"sample {k}".encode()) | 1 for k in range(2 * samples)], np.uint32).reshape(2, samples, 1)
@@ -116,7 +129,7 @@ def sampler(samples: int = SAMPLES) -> Callable[..., tuple[np.ndarray | None, ..
         return a[every, at], terms[at], t_at
 
     def sample(*texts: str | None) -> tuple[np.ndarray | None, ...]:
-        own = [weighted_terms(t, hashes) for t in texts]
+        own = [weighted_terms(t, hashes, pairs) for t in texts]
         union = own[0][0] if len(own) == 1 else np.unique(np.concatenate([o[0] for o in own]))
         counts = np.zeros((len(own), len(union)), np.int64)
         for k, (terms, n) in enumerate(own):
@@ -161,7 +174,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.string())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = sampler(samples)
+        one = sampler(samples, pairs=True)
         return to_batches(((i, to_text(*one(t))) for i, t in batch_rows(batches)), schema)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint string")
@@ -217,7 +230,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                         ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = sampler(samples)
+        sample = sampler(samples, pairs=True)
 
         def result(one: tuple, following: tuple):
             _, doc, text = one

@@ -174,6 +174,18 @@ def test_collision_rate_is_generalised_jaccard():
     assert one("") == (None,) and fingerprint.likeness(None, None) == 1 and fingerprint.likeness(None, *one("a")) == 0
 
 
+def test_word_order_tells_texts_apart(spark):
+    rng = random.Random(7)
+    words = [f"w{rng.randint(0, 200)}" for _ in range(300)]
+    other = rng.sample(words, len(words))
+    terms = [Counter(w) + Counter(zip(w, w[1:], strict=False)) for w in (words, other)]
+    true = sum((terms[0] & terms[1]).values()) / sum((terms[0] | terms[1]).values())
+    texts = [" ".join(words), " ".join(other)]
+    assert true < 0.5 and abs(fingerprint.likeness(*fingerprint.sampler(1024, pairs=True)(*texts)) - true) < 0.06
+    both = {r.doc_id: r for r in fingerprint.with_next(frame(spark, list(enumerate(texts))), samples=1024).collect()}
+    assert abs(both[1].near_next - true) < 0.06
+
+
 def test_slices_of_long_texts_sample_alike(monkeypatch):
     text = sentence(random.Random(3), "de", 900)
     whole = fingerprint.sampler(32)(text)[0]
