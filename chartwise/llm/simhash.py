@@ -30,12 +30,13 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartwise.llm.common import batch_rows, id_and_text, materialise, to_batches
+from chartwise.llm.common import batch_rows, free_name, id_and_text, materialise, to_batches
 from chartwise.llm.graph import components
 
 LIST_ROWS = 1 << 16
@@ -287,9 +288,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the row with the
-    smallest id stays (of rows that share that id, all). Rows without an id
-    stay, as none of them can be told from another."""
+    """``docs`` without near-duplicates: of each group the rows with the
+    smallest id stay. A row is told by its id and fingerprint, so another text
+    of the same id is decided by its own group. Rows of a group without any id
+    stay."""
     groups = near_duplicates(docs, id_col, text_col, width, distance)
-    lost = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(lost, id_col, "left_anti")
+    row_id, row_fp = free_name("_id", docs.columns), free_name("_fp", docs.columns)
+    lost = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(row_id), F.col("fp").alias(row_fp)).distinct()
+
+    @F.pandas_udf("long")
+    def fp_of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
+
+    own = docs.withColumn(row_fp, fp_of(F.col(text_col).cast("string")))
+    same = own[id_col].cast("long").eqNullSafe(lost[row_id]) & (own[row_fp] == lost[row_fp])
+    return own.join(lost, same, "left_anti").drop(row_fp)

@@ -70,6 +70,13 @@ def test_one_of_each_group_stays(spark):
     assert {r.doc_id for r in kept.collect()} == ids | {None} and kept.columns == ["doc_id", "text", "fp"]
 
 
+def test_another_text_of_a_lost_id_stays(spark):
+    rng = random.Random(4)
+    a, b = sentence(rng, "en", 60), sentence(rng, "de", 60)
+    docs = frame(spark, [(1, a), (2, a), (2, b), (None, a)])
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == sorted([(1, a), (2, b)])
+
+
 def test_removing_spans_and_documents(spark):
     bench = frame(spark, [(1, "a b c d e")], "item_id long, text string")
     docs = frame(spark, [(1, "X, a b C D e; y"), (2, "none"), (3, None), (4, "a b c d e a b c d e")]).withColumn("row", F.lit(7))
