@@ -216,15 +216,19 @@ def learning_rows(docs: DataFrame, folds: int = 3, fold: int = 1) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: dict | None, min_score: float = 0.0, text_col: str = "text") -> DataFrame:
-    """``docs`` without those of unknown language or below ``min_score``."""
+    """``docs`` without those of unknown language or below ``min_score``; without
+    a model, without those that have no letter."""
     shared = docs.sparkSession.sparkContext.broadcast({"model": model})
     schema, at = docs.schema, docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = scorer(shared.value)
+        one, model = scorer(shared.value), shared.value["model"]
         for b in batches:
-            said = (one(b.column(at)[i].as_py()) for i in range(b.num_rows))
-            keep = [lang != UNKNOWN and score >= min_score for lang, score in said]
+            texts = (b.column(at)[i].as_py() for i in range(b.num_rows))
+            if model is None:
+                keep = [any(map(str.isalpha, t or "")) for t in texts]
+            else:
+                keep = [lang != UNKNOWN and score >= min_score for lang, score in map(one, texts)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, schema)

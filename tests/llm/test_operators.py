@@ -77,6 +77,11 @@ def test_another_text_of_a_lost_id_stays(spark):
     assert sorted(map(tuple, simhash.keep_one(docs).collect())) == sorted([(1, a), (2, b)])
 
 
+def test_without_a_model_texts_with_letters_stay(spark):
+    docs = frame(spark, [(1, "a b"), (2, "12 ?"), (3, None)])
+    assert [r.doc_id for r in langid.keep_known(docs, None).collect()] == [1]
+
+
 def test_removing_spans_and_documents(spark):
     bench = frame(spark, [(1, "a b c d e")], "item_id long, text string")
     docs = frame(spark, [(1, "X, a b C D e; y"), (2, "none"), (3, None), (4, "a b c d e a b c d e")]).withColumn("row", F.lit(7))
