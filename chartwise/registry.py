@@ -96,7 +96,7 @@ def bad_csv_records(spark, sf):
                     F.when(d % 7 == 1, F.lit("")).when(d % 7 == 2, F.lit(",u,one more")).otherwise(F.lit(",u")))
     path = scratch_path(spark, "raw-bad")
     lines = table(spark, sf, "documents").select(line.alias("value"))
-    lines.coalesce(1).write.text(path)
+    lines.write.text(path)
     raw = csv.read_raw_csv(spark, path, by_name=False, bad_records="keep", header="false")
     return raw.agg(F.count("*").alias("raw_rows"), F.count(csv.BAD_RECORD).alias("bad_records"),
                    F.count_if(csv.is_good("date")).alias("good_rows"))
