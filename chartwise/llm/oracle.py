@@ -21,6 +21,19 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, co
 FROM doc LEFT JOIN covered c USING (r) LEFT JOIN named m USING (r)
 """
 
+_OP11 = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+seen AS (SELECT r, coalesce(doc_id, 9223372036854775807) AS d, pos, array_to_string(ws[pos:pos + 12], ' ') AS w
+         FROM (SELECT *, unnest(generate_series(1, len(ws) - 12)) AS pos FROM doc)),
+hit AS (SELECT r, pos FROM seen JOIN (SELECT w, min(d) AS least FROM seen GROUP BY w) USING (w) WHERE least < d),
+covered AS (SELECT DISTINCT r, unnest(generate_series(pos, pos + 12)) AS pos FROM hit),
+lost AS (SELECT r, count(*) AS n FROM covered GROUP BY r),
+word AS (SELECT r, unnest(generate_series(1, len(ws))) AS pos, unnest(ws) AS w FROM doc),
+kept AS (SELECT r, string_agg(w, ' ' ORDER BY pos) AS t FROM word ANTI JOIN covered USING (r, pos) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM doc LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2}
+    return {"op2_decontaminate": _OP2, "op11_substrings": _OP11}

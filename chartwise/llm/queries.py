@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, sharding, simhash, tokenfile, toxicity
+from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, sharding, simhash, substrings, tokenfile, toxicity
 from chartwise.llm.common import held_out, id_and_text, table
 
 
@@ -74,6 +74,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(spark, manifest, ids=False)
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = substrings.find_repeats(id_and_text(table(spark, sf_dir, "documents")), n=13)
+    return docs.select("doc_id", F.col("repeat_words").alias("n_words"), substrings.n_removed().alias("n_removed"),
+                       F.sha2("repeat_kept", 256).alias("kept_sha256"))
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -82,5 +88,5 @@ def tokenizer_path(name: str) -> str:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_simhash, op2_decontaminate, op3_lm, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op8_lines, op9_sharding,
-             op10_token_files)
+             op10_token_files, op11_substrings)
     return {f.__name__: f for f in found}
