@@ -34,6 +34,25 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_remo
 FROM doc LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
 """
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP12 = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ws FROM documents),
+stat AS (SELECT count(*) AS docs, sum(len(ws))::BIGINT AS words FROM doc WHERE len(ws) > 0),
+item AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS ws FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+asked AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(ws) AS t FROM item) GROUP BY q, t),
+held AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM doc) WHERE t IN (SELECT t FROM asked) GROUP BY r, t),
+weight AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+           FROM (SELECT t, count(*) AS df FROM held GROUP BY t), stat),
+scored AS (SELECT q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM held JOIN asked USING (t) JOIN weight USING (t)
+                JOIN (SELECT r, 25 + (75 * len(ws)::BIGINT * docs) // words AS m FROM doc, stat) USING (r)
+           GROUP BY q, r),
+ranked AS (SELECT q, r, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scored JOIN doc USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN item USING (q) JOIN doc USING (r) WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2, "op11_substrings": _OP11}
+    return {"op2_decontaminate": _OP2, "op11_substrings": _OP11, "op12_search": _OP12}

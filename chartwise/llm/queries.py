@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, sharding, simhash, substrings, tokenfile, toxicity
+from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, search, sharding, simhash, substrings, tokenfile, toxicity
 from chartwise.llm.common import held_out, id_and_text, table
 
 
@@ -80,6 +80,10 @@ def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("repeat_kept", 256).alias("kept_sha256"))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -88,5 +92,5 @@ def tokenizer_path(name: str) -> str:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_simhash, op2_decontaminate, op3_lm, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op8_lines, op9_sharding,
-             op10_token_files, op11_substrings)
+             op10_token_files, op11_substrings, op12_search)
     return {f.__name__: f for f in found}

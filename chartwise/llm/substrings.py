@@ -116,7 +116,7 @@ def _dealt(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
         yield int(q[a]), slice(int(a), int(b))
 
 
-def _open(payload) -> pa.RecordBatch:
+def open_batch(payload) -> pa.RecordBatch:
     with pa.ipc.open_stream(payload.as_buffer()) as r:
         return r.read_next_batch()
 
@@ -220,7 +220,7 @@ def _seed_messages(n: int, k: int, ranges: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 found = [np.zeros(0, np.uint64)]
-                for text in _open(batch.column("payload")[i]).column(1):
+                for text in open_batch(batch.column("payload")[i]).column(1):
                     h = hashed(cache, text.as_py())
                     if len(h) >= n:
                         found.append(np.unique(anchor_of_windows(h, n, k)[1]))
@@ -236,7 +236,7 @@ def _window_messages(n: int, k: int, ranges: int):
         cache = word_cache()
         for batch in batches:
             for i in range(batch.num_rows):
-                docs = _open(batch.column("payload")[i])
+                docs = open_batch(batch.column("payload")[i])
                 w1, w2, doc, *_ = _shared(_ids(docs), docs.column(1), cache, _anchors(_heard(batch, "anchors", i)), n, k)
                 first = np.unique(_heads(w1, w2)) if len(w1) else np.zeros(0, np.int64)
                 w1, w2, doc = w1[first], w2[first], doc[first]
@@ -324,7 +324,7 @@ def _cut(n: int, k: int, names: list[str]):
         cache = word_cache()
         for batch in batches:
             for i in range(batch.num_rows):
-                docs = _open(batch.column("payload")[i])
+                docs = open_batch(batch.column("payload")[i])
                 w1, w2, doc, row, place, least = _shared(_ids(docs), docs.column(1), cache, _anchors(_heard(batch, "anchors", i)), n, k)
                 gone = least < doc
                 heard = [(unpack_sorted(x), unpack_ints(y)) for x, y in zip(_heard(batch, "windows", i), _heard(batch, "windows_checks", i), strict=True)]
