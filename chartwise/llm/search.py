@@ -41,6 +41,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -201,7 +202,7 @@ def _best_of_tasks(index: DataFrame, known: dict, k: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 docs = open_batch(batch.column("payload")[i])
-                ids = pa.compute.fill_null(docs.column(0), int(LAST)).to_numpy(zero_copy_only=False)
+                ids = pc.fill_null(docs.column(0), int(LAST)).to_numpy(zero_copy_only=False)
                 best.add(ids, docs.column(1), np.frombuffer(batch.column("lengths")[i].as_py(), np.int64), batch.column("groups")[i].as_py())
         yield from to_batches(((q, -d, s) for q, heap in enumerate(best.heaps) for s, d in heap), pa.schema([("q", pa.int32()), ("d", pa.int64()), ("score", pa.int64())]))
 

@@ -34,20 +34,25 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartwise.llm.common import Recent, materialise
+from chartwise.llm.common import materialise
+from chartwise.llm.words import Alphabet, Words, words_of
 from chartwise.session import scratch_path
 
 BATCH_BYTES, RANGE_BYTES, BUCKET_BYTES = 8 << 20, 48 << 20, 32 << 20
 LAST = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: Anchors are compared by their leading 48 bits; a chance match costs a look, no more.
+CUT = np.uint64(16)
+WORDS = Alphabet(b"\x20\t\n\v\f\r")
 _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))
 
 
@@ -90,25 +95,28 @@ def grams(h: np.ndarray, k: int, by: np.uint64 = _M1) -> np.ndarray:
     return out
 
 
-def anchor_of_windows(h: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of n words the anchor it chooses; and the anchors of
-    the text, one for each run of windows with the same choice."""
-    seeds = grams(h, k)
-    at = np.arange(len(h) - n + 1) + np.lib.stride_tricks.sliding_window_view(seeds, n - k + 1).argmin(1)
-    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return seeds[at], seeds[at[new]]
+def least_of(v: np.ndarray, size: int) -> np.ndarray:
+    """The minimum of every ``size`` neighbours."""
+    span = 1
+    while 2 * span <= size:
+        v, span = np.minimum(v[:len(v) - span], v[span:]), 2 * span
+    return np.minimum(v[:len(v) - (size - span)], v[size - span:]) if size > span else v
 
 
-def hashed(cache: Recent, text: str | None) -> np.ndarray:
-    words = (text or "").encode("utf-8", "surrogatepass").split()
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+def windows_of(words: Words, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of all windows of n words within one text, and the anchors
+    that they choose; and which of them begin a run of one choice."""
+    if len(words.hashes) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+    anchors = least_of(grams(words.hashes, k), n - k + 1)
+    at = np.flatnonzero(words.row[n - 1:] == words.row[:len(words.row) - n + 1])
+    anchors, row = anchors[at], words.row[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (anchors[1:] != anchors[:-1]) | (row[1:] != row[:-1])
+    return at, anchors, new
 
 
-def word_cache() -> Recent:
-    return Recent(xxhash.xxh3_64_intdigest)
-
-
-def _dealt(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
+def dealt(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
     """The hash ranges that sorted keys fall into."""
     q = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
     cuts = np.concatenate([np.flatnonzero(np.diff(q, prepend=q[:1] + np.uint64(1))), [len(q)]]) if len(q) else [0]
@@ -138,7 +146,7 @@ def pack_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
 
         for batch in batches:
             first = 0
-            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_pylist()
+            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             for i, length in enumerate(lengths):
                 size += length + 64
                 if size >= batch_bytes:
@@ -153,44 +161,54 @@ def pack_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     return docs.mapInArrow(run, "b long, payload binary")
 
 
-def _heard(batch: pa.RecordBatch, column: str, i: int) -> list[bytes]:
+@contextmanager
+def batch_table(docs: DataFrame, batch_bytes: int, buckets: int) -> Iterator[DataFrame]:
+    """The batches of ``docs`` as a table bucketed by their number, so that
+    answers come to where they lie; the table's name goes at the end."""
+    spark = docs.sparkSession
+    name = f"batches_{uuid.uuid4().hex}"
+    pack_batches(docs, batch_bytes).write.bucketBy(buckets, "b").option("path", scratch_path(spark, "batches")).format("parquet").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def parts_of(docs: DataFrame, range_bytes: int) -> tuple[int, int]:
+    """Numbers of hash ranges and of buckets, from the size of the texts."""
+    size = docs.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    spark = docs.sparkSession
+    wide = [spark.conf.get(f"spark.sql.{x}", "1") for x in ("shuffle.partitions", "adaptive.coalescePartitions.initialPartitionNum")]
+    return max(1, -(-size // range_bytes)), max(2 * spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES), *map(int, wide))
+
+
+def heard(batch: pa.RecordBatch, column: str, i: int) -> list[bytes]:
     return batch.column(column)[i].as_py() or []
 
 
-def _shared(ids: np.ndarray, texts, cache: Recent, elsewhere: np.ndarray, n: int, k: int):
-    """The windows of a batch that hold a shared anchor: (w1, w2, id, row,
-    place) arrays in order of (w1, w2, id), and the smallest id of each."""
-    anchors, rows, chosen, own = [], [], [], []
-    for r, text in enumerate(texts):
-        h = hashed(cache, text.as_py())
-        if len(h) < n:
-            continue
-        each, some = anchor_of_windows(h, n, k)
-        some = np.unique(some)
-        anchors.append(some)
-        rows.append(np.full(len(some), r))
-        chosen.append((r, each, h))
-    if not chosen:
-        return [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64)]
-    a = np.sort(np.concatenate(anchors))
-    known = np.union1d(np.unique(a[1:][a[1:] == a[:-1]]), elsewhere)
-    for r, each, h in chosen:
-        at = np.flatnonzero(member(each >> np.uint64(16) << np.uint64(16), known >> np.uint64(16) << np.uint64(16)))
-        if len(at):
-            w1, w2 = grams(h, n), grams(h, n, _M2)
-            own.append((w1[at], w2[at] >> np.uint64(32), np.full(len(at), ids[r]), np.full(len(at), r), at))
-    if not own:
-        return [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64)]
-    w1, w2, doc, row, place = (np.concatenate(c) for c in zip(*own, strict=True))
+def _shared(docs: pa.RecordBatch, elsewhere: np.ndarray, n: int, k: int):
+    """The windows of a batch that hold a shared anchor: (w1, w2, id, place)
+    in order of (w1, w2, id), the smallest id of each, and the words."""
+    words = words_of(docs.column(1), WORDS)
+    ids = pc.fill_null(docs.column(0), int(LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
+    at, chosen, new = windows_of(words, n, k)
+    order = np.argsort(chosen[new], kind="stable")
+    a, row = chosen[new][order], words.row[at[new]][order]
+    twice = a[1:][(a[1:] == a[:-1]) & (row[1:] != row[:-1])]
+    known = np.unique(np.concatenate([twice >> CUT, elsewhere]))
+    at = at[member(chosen >> CUT, known)]
+    w1, w2, doc = grams(words.hashes, n)[at], grams(words.hashes, n, _M2)[at] >> np.uint64(32), ids[words.row[at]]
     order = np.lexsort((doc, w2, w1))
-    w1, w2, doc, row, place = w1[order], w2[order], doc[order], row[order], place[order]
-    return w1, w2, doc, row, place, doc[_heads(w1, w2)]
+    w1, w2, doc, at = w1[order], w2[order], doc[order], at[order]
+    return w1, w2, doc, at, doc[_heads(w1, w2)], words
 
 
 def _heads(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
     """For each entry of sorted pairs the index of the first equal one."""
     new = np.ones(len(w1), bool)
     new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+    if not len(w1):
+        return np.zeros(0, np.int64)
     return np.flatnonzero(new)[np.cumsum(new) - 1]
 
 
@@ -201,53 +219,42 @@ def member(v: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, v), len(known) - 1)] == v
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return pa.compute.fill_null(batch.column(0), int(LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
-
+MESSAGE = pa.schema([("q", pa.int32()), ("b", pa.int64()), ("keys", pa.binary()), ("checks", pa.binary()), ("ids", pa.binary())])
+MESSAGE_DDL = "q int, b long, keys binary, checks binary, ids binary"
 
-_MESSAGE = pa.schema([("q", pa.int32()), ("b", pa.int64()), ("keys", pa.binary()), ("checks", pa.binary()), ("ids", pa.binary())])
-_MESSAGE_DDL = "q int, b long, keys binary, checks binary, ids binary"
 
-
-def _messages(rows: list) -> Iterator[pa.RecordBatch]:
+def messages(rows: list) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(rows), 64):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + 64], strict=True), _MESSAGE.types, strict=True)], schema=_MESSAGE)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + 64], strict=True), MESSAGE.types, strict=True)], schema=MESSAGE)
 
 
 def _seed_messages(n: int, k: int, ranges: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache()
         for batch in batches:
             for i in range(batch.num_rows):
-                found = [np.zeros(0, np.uint64)]
-                for text in open_batch(batch.column("payload")[i]).column(1):
-                    h = hashed(cache, text.as_py())
-                    if len(h) >= n:
-                        found.append(np.unique(anchor_of_windows(h, n, k)[1]))
-                keys = np.unique(np.concatenate(found) >> np.uint64(16)) << np.uint64(16)
+                _, chosen, new = windows_of(words_of(open_batch(batch.column("payload")[i]).column(1), WORDS), n, k)
+                keys = np.unique(chosen[new] >> CUT)
                 b = batch.column("b")[i].as_py()
-                yield from _messages([(q, b, pack_sorted(keys[s] >> np.uint64(16)), b"", b"") for q, s in _dealt(keys, ranges)])
+                yield from messages([(q, b, pack_sorted(keys[s]), b"", b"") for q, s in dealt(keys << CUT, ranges)])
 
     return run
 
 
 def _window_messages(n: int, k: int, ranges: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache()
         for batch in batches:
             for i in range(batch.num_rows):
-                docs = open_batch(batch.column("payload")[i])
-                w1, w2, doc, *_ = _shared(_ids(docs), docs.column(1), cache, _anchors(_heard(batch, "anchors", i)), n, k)
-                first = np.unique(_heads(w1, w2)) if len(w1) else np.zeros(0, np.int64)
+                w1, w2, doc, *_ = _shared(open_batch(batch.column("payload")[i]), _anchors(heard(batch, "anchors", i)), n, k)
+                first = np.unique(_heads(w1, w2))
                 w1, w2, doc = w1[first], w2[first], doc[first]
                 b = batch.column("b")[i].as_py()
-                yield from _messages([(q, b, pack_sorted(w1[s]), pack_ints(w2[s]), pack_ints(doc[s])) for q, s in _dealt(w1, ranges)])
+                yield from messages([(q, b, pack_sorted(w1[s]), pack_ints(w2[s]), pack_ints(doc[s])) for q, s in dealt(w1, ranges)])
 
     return run
 
 
 def _anchors(heard: list[bytes]) -> np.ndarray:
-    return np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(x) for x in heard)])) << np.uint64(16)
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(x) for x in heard)]))
 
 
 def _meet(messages: pa.Table) -> pa.Table:
@@ -256,7 +263,7 @@ def _meet(messages: pa.Table) -> pa.Table:
     keys = [unpack_sorted(x.as_py()) for x in messages.column("keys")]
     every = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
     twice = np.unique(every[1:][every[1:] == every[:-1]])
-    return _answers(messages, [(pack_sorted(v[member(v, twice)]), b"") for v in keys])
+    return answers(messages, [(pack_sorted(v[member(v, twice)]), b"") for v in keys])
 
 
 def _least(messages: pa.Table) -> pa.Table:
@@ -264,7 +271,7 @@ def _least(messages: pa.Table) -> pa.Table:
     smaller document than its own smallest holds."""
     w1 = [unpack_sorted(x.as_py()) for x in messages.column("keys")]
     if not w1:
-        return _answers(messages, [])
+        return answers(messages, [])
     w2 = [unpack_ints(x.as_py()) for x in messages.column("checks")]
     ids = [unpack_ints(x.as_py(), np.int64) for x in messages.column("ids")]
     a, c, d = np.concatenate(w1), np.concatenate(w2), np.concatenate(ids)
@@ -272,19 +279,19 @@ def _least(messages: pa.Table) -> pa.Table:
     gone = np.zeros(len(a), bool)
     gone[order] = d[order] > d[order][_heads(a[order], c[order])]
     cuts = np.cumsum([0, *map(len, w1)])
-    return _answers(messages, [(pack_sorted(x[gone[p:q]]), pack_ints(y[gone[p:q]])) for x, y, p, q in zip(w1, w2, cuts[:-1], cuts[1:], strict=True)])
+    return answers(messages, [(pack_sorted(x[gone[p:q]]), pack_ints(y[gone[p:q]])) for x, y, p, q in zip(w1, w2, cuts[:-1], cuts[1:], strict=True)])
 
 
-def _answers(messages: pa.Table, rows: list) -> pa.Table:
+def answers(messages: pa.Table, rows: list) -> pa.Table:
     out = pa.table({"b": messages.column("b").combine_chunks().cast(pa.int64()), "keys": pa.array([r[0] for r in rows], pa.binary()), "checks": pa.array([r[1] for r in rows], pa.binary())})
-    return out.filter(pa.compute.greater(pa.compute.binary_length(out.column("keys")), 0))
+    return out.filter(pc.greater(pc.binary_length(out.column("keys")), 0))
 
 
-def _answered(packed: DataFrame, *answers: tuple[str, DataFrame]) -> DataFrame:
-    """The batches, each with the answers it got."""
+def answered(packed: DataFrame, buckets: int, *answers: tuple[str, DataFrame]) -> DataFrame:
+    """The batches, each with the answers it got; only the answers move."""
     out = packed
     for name, df in answers:
-        got = df.groupBy("b").agg(*[F.collect_list(c).alias(x) for c, x in (("keys", name), ("checks", f"{name}_checks"))])
+        got = df.repartition(buckets, "b").groupBy("b").agg(*[F.collect_list(c).alias(x) for c, x in (("keys", name), ("checks", f"{name}_checks"))])
         out = out.join(got, "b", "left")
     return out
 
@@ -294,49 +301,39 @@ def find_repeats(docs: DataFrame, n: int = 13, k: int = 5, id_col: str = "doc_id
     """``docs`` with ``repeat_words`` (long), ``repeat_spans`` (maximal runs of
     repeated words, by word position) and ``repeat_kept`` (the other words,
     joined by one space)."""
-    spark = docs.sparkSession
     names = [f"{prefix}{x}" for x in ("words", "spans", "kept")]
     kept = [c for c in docs.columns if c not in names]
     inner = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")) \
         if kept != [id_col, text_col] or dict(docs.dtypes)[id_col] != "bigint" or dict(docs.dtypes)[text_col] != "string" else docs.select(*kept)
-    size = inner.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    ranges, buckets = max(1, -(-size // range_bytes)), max(2 * spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
-    name = f"batches_{uuid.uuid4().hex}"
-    pack_batches(inner, batch_bytes).write.bucketBy(buckets, "b").option("path", scratch_path(spark, "batches")).format("parquet").saveAsTable(name)
-    try:
-        packed = spark.table(name)
-        deal = packed.select("b", "payload").mapInArrow(_seed_messages(n, k, ranges), _MESSAGE_DDL)
+    ranges, buckets = parts_of(inner, range_bytes)
+    with batch_table(inner, batch_bytes, buckets) as packed:
+        deal = packed.select("b", "payload").mapInArrow(_seed_messages(n, k, ranges), MESSAGE_DDL)
         answer = "b long, keys binary, checks binary"
         anchors = materialise(deal.groupBy("q").applyInArrow(_meet, answer), "anchors")
-        deal = _answered(packed, ("anchors", anchors)).mapInArrow(_window_messages(n, k, ranges), _MESSAGE_DDL)
+        deal = answered(packed, buckets, ("anchors", anchors)).mapInArrow(_window_messages(n, k, ranges), MESSAGE_DDL)
         windows = materialise(deal.groupBy("q").applyInArrow(_least, answer), "windows")
         schema = inner.limit(0).select("*", F.lit(0).cast("long").alias(names[0]), F.array().cast("array<struct<first:int,past:int>>").alias(names[1]),
                                        F.lit("").alias(names[2])).schema
-        done = _answered(packed, ("anchors", anchors), ("windows", windows)).mapInArrow(_cut(n, k, names), schema)
-        done = materialise(done if inner.columns == kept else done.select("row.*", *names), "repeats")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return done
+        done = answered(packed, buckets, ("anchors", anchors), ("windows", windows)).mapInArrow(_cut(n, k, names), schema)
+        return materialise(done if inner.columns == kept else done.select("row.*", *names), "repeats")
 
 
 def _cut(n: int, k: int, names: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache()
         for batch in batches:
             for i in range(batch.num_rows):
                 docs = open_batch(batch.column("payload")[i])
-                w1, w2, doc, row, place, least = _shared(_ids(docs), docs.column(1), cache, _anchors(_heard(batch, "anchors", i)), n, k)
+                w1, w2, doc, at, least, words = _shared(docs, _anchors(heard(batch, "anchors", i)), n, k)
                 gone = least < doc
-                heard = [(unpack_sorted(x), unpack_ints(y)) for x, y in zip(_heard(batch, "windows", i), _heard(batch, "windows_checks", i), strict=True)]
-                if heard:
-                    x, y = np.concatenate([h[0] for h in heard]), np.concatenate([h[1] for h in heard])
+                told = [(unpack_sorted(x), unpack_ints(y)) for x, y in zip(heard(batch, "windows", i), heard(batch, "windows_checks", i), strict=True)]
+                if told:
+                    x, y = np.concatenate([h[0] for h in told]), np.concatenate([h[1] for h in told])
                     order = np.lexsort((y, x))
                     gone |= _among(w1, w2, x[order], y[order])
-                row, place = row[gone], place[gone]
-                order = np.lexsort((place, row))
-                row, place = row[order], place[order]
+                at = np.sort(at[gone])
+                ends = np.cumsum(words.counts)
                 for r in range(0, docs.num_rows, 2000):
-                    yield _result(docs.slice(r, 2000), r, row, place, n, names)
+                    yield _result(docs.slice(r, 2000), at, ends[r:r + 2000], words.counts[r:r + 2000], n, names)
 
     return run
 
@@ -351,17 +348,20 @@ def _among(w1: np.ndarray, w2: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> np
     return found
 
 
-def _result(docs: pa.RecordBatch, first: int, row: np.ndarray, place: np.ndarray, n: int, names: list[str]) -> pa.RecordBatch:
-    n_words, spans, kept = [], [], []
-    for r, text in enumerate(docs.column(1)):
+def _result(docs: pa.RecordBatch, gone: np.ndarray, ends: np.ndarray, counts: np.ndarray, n: int, names: list[str]) -> pa.RecordBatch:
+    """The rows of some texts, whose words end at ``ends`` of the batch's."""
+    spans, kept = [], []
+    firsts = ends - counts
+    cuts = np.searchsorted(gone, np.stack([firsts, ends]))
+    for text, first, a, b in zip(docs.column(1), firsts.tolist(), *cuts.tolist(), strict=True):
         words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
-        a, b = np.searchsorted(row, [first + r, first + r + 1])
-        own = merged(place[a:b], n)
-        n_words.append(len(words))
+        own = merged(gone[a:b] - first, n) if a < b else []
         spans.append([{"first": x, "past": y} for x, y in own])
-        ends = [0, *(y for _, y in own)]
-        kept.append(b" ".join(w for x, y in zip(ends, [*(x for x, _ in own), len(words)], strict=True) for w in words[x:y]).decode("utf-8", "surrogatepass"))
-    return pa.RecordBatch.from_arrays([*docs.columns, pa.array(n_words, pa.int64()), pa.array(spans, _SPANS), pa.array(kept, pa.string())],
+        if own:
+            past = [0, *(y for _, y in own)]
+            words = [w for x, y in zip(past, [*(x for x, _ in own), len(words)], strict=True) for w in words[x:y]]
+        kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+    return pa.RecordBatch.from_arrays([*docs.columns, pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(kept, pa.string())],
                                       names=[*docs.schema.names, *names])
 
 
