@@ -53,6 +53,28 @@ ranked AS (SELECT q, r, score, row_number() OVER (PARTITION BY q ORDER BY score
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN item USING (q) JOIN doc USING (r) WHERE rank <= 10
 """
 
+_OP13 = r"""
+WITH piece AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(t, '[^\x20\x09]+') AS ws
+               FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t FROM documents)),
+place AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM piece),
+counted AS (SELECT lang, w, array_to_string(w, ' ') AS phrase, len(w) AS words, count(*) AS a
+            FROM (SELECT lang, ws[i:i + size - 1] AS w FROM place, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE i + size - 1 <= len(ws))
+            GROUP BY lang, w HAVING count(*) >= 30),
+cut AS (SELECT c.lang, c.phrase, c.a, k, array_to_string(c.w[1:k], ' ') AS head, array_to_string(c.w[k + 1:], ' ') AS tail
+        FROM counted c, (SELECT unnest([1, 2, 3]) AS k) WHERE k < words),
+scored AS (SELECT cut.lang, cut.phrase, cut.a, h.a AS l, t.a AS r, (2000000 * cut.a::HUGEINT) // (h.a + t.a) AS score
+           FROM cut JOIN counted h ON h.lang = cut.lang AND h.phrase = cut.head JOIN counted t ON t.lang = cut.lang AND t.phrase = cut.tail
+           QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, k) = 1),
+part AS (SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+         FROM counted, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS size) WHERE size < words AND i + size - 1 <= words GROUP BY ALL),
+total AS (SELECT lang, count(*) AS n FROM place GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INTEGER AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM scored LEFT JOIN part USING (lang, phrase) JOIN total USING (lang)
+WHERE longer IS NULL OR 100 * longer < 80 * a
+QUALIFY rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2, "op11_substrings": _OP11, "op12_search": _OP12}
+    return {"op2_decontaminate": _OP2, "op11_substrings": _OP11, "op12_search": _OP12, "op13_phrases": _OP13}

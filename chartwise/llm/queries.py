@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, search, sharding, simhash, substrings, tokenfile, toxicity
+from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, phrases, search, sharding, simhash, substrings, tokenfile, toxicity
 from chartwise.llm.common import held_out, id_and_text, table
 
 
@@ -84,6 +84,10 @@ def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, most=4, cover=80, top=2000)
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -92,5 +96,5 @@ def tokenizer_path(name: str) -> str:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_simhash, op2_decontaminate, op3_lm, op4_bpe, op5_language, op6_fingerprint, op7_toxicity, op8_lines, op9_sharding,
-             op10_token_files, op11_substrings, op12_search)
+             op10_token_files, op11_substrings, op12_search, op13_phrases)
     return {f.__name__: f for f in found}
