@@ -61,7 +61,7 @@ from chartwise.llm.substrings import (
 )
 from chartwise.llm.words import Alphabet, Words, mixed, words_of
 
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 16 << 20
 UNKNOWN = "und"
 #: Words lie between spaces and tabs, pieces between marks and line breaks.
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -108,8 +108,8 @@ def _frequent(least: int):
 
 def _suffix_messages(ranges: int, most: int):
     """Of each batch its distinct suffixes with counts, to tasks by leading
-    words: (q, texts, counts), texts as lines of words, the language, in hex,
-    first."""
+    words: (q, words, symbols, counts). Suffixes are rows of numbers of the
+    words that are sent along; the language, in hex behind a tab, comes first."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -139,26 +139,50 @@ def _suffixes(docs: pa.RecordBatch, known: np.ndarray, ranges: int, most: int) -
     lang_of = langs.indices.to_numpy().astype(np.int64)[words.row]
     lone = rows[0] < 0  # counted with no word at all
     empty = np.bincount(lang_of[lone], minlength=len(langs.dictionary))
-    rows, lang_of = rows[:, ~lone], lang_of[~lone]
-    order = np.lexsort((*rows[::-1], lang_of))
-    rows, lang_of = rows[:, order], lang_of[order]
-    new = np.ones(rows.shape[1], bool)
-    new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0) | (lang_of[1:] != lang_of[:-1])
-    first = np.flatnonzero(new)
-    counts = np.concatenate([np.diff(np.append(first, len(lang_of))), empty])
-    rows = np.concatenate([rows[:, first], np.full((most, len(empty)), -1)], axis=1)
-    lang_of = np.concatenate([lang_of[first], np.arange(len(empty))])
-    names = [x.as_py().encode().hex().encode() for x in langs.dictionary]
-    raw, used = words.raw.tobytes(), np.unique(rows[rows >= 0])
-    spelt = dict(zip(used.tolist(), (raw[a:b].translate(_LOWER) for a, b in zip(words.starts[first_of[used]].tolist(), words.ends[first_of[used]].tolist(), strict=True)), strict=True))
-    route = _fold_rows(np.append(distinct, np.uint64(0))[rows[:3]])
+    rows, counts = distinct_columns(np.concatenate([lang_of[None, ~lone], rows[:, ~lone]]))
+    ends = np.full((most + 1, len(empty)), -1)
+    ends[0] = np.arange(len(empty))
+    rows, counts = np.concatenate([rows, ends], axis=1), np.concatenate([counts, empty])
+    raw = words.raw.tobytes()
+    names = [b"\t" + x.as_py().encode().hex().encode() for x in langs.dictionary]
+    spelt = lambda x: raw[words.starts[first_of[x]]:words.ends[first_of[x]]].translate(_LOWER)
+    route = _fold_rows(np.append(distinct, np.uint64(0))[rows[1:4]])
     order = np.argsort(route, kind="stable")
     for q, s in dealt(route[order], ranges):
         at = order[s]
-        lines = [b"\t".join([names[la], *(spelt[x] for x in row if x >= 0)]) for la, row in zip(lang_of[at].tolist(), rows[:, at].T.tolist(), strict=True)]
-        text = b"\n".join(lines)
-        yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([len(text)], pa.int64()), pa.array([pa.compress(text, "zstd", asbytes=True)], pa.binary()),
-                                          pa.array([pack_ints(counts[at])], pa.binary())], names=["q", "size", "texts", "counts"])
+        used, own = np.unique(rows[1:, at], return_inverse=True)
+        table = [*names, *(b"" if x < 0 else spelt(x) for x in used.tolist())]
+        symbols = np.concatenate([rows[:1, at], own.reshape(most, -1) + len(names)])
+        yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), *(pa.array([x], pa.binary()) for x in (b"\n".join(table), pack_ints(symbols.ravel()), pack_ints(counts[at])))],
+                                         names=["q", "words", "symbols", "counts"])
+
+
+#: Rows of up to so many bits are sorted as one number.
+KEY_BITS = 63
+
+
+def distinct_columns(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different columns of a matrix of numbers from -1 on, and how often
+    each occurs."""
+    if not rows.size:
+        return rows, np.zeros(0, np.int64)
+    # numbers made dense first, so that few bits do
+    dense, tops = [], []
+    for row in rows:
+        seen = np.zeros(row.max() + 2, np.int64)
+        seen[row + 1] = 1
+        dense.append((np.cumsum(seen) - 1)[row + 1])
+        tops.append(int(seen.sum() - 1).bit_length())
+    if sum(tops) <= KEY_BITS:
+        key = np.zeros(rows.shape[1], np.int64)
+        for row, bits in zip(dense, tops, strict=True):
+            key = (key << bits) | row
+        _, first, counts = np.unique(key, return_index=True, return_counts=True)
+        return rows[:, first], counts
+    order = np.lexsort(rows[::-1])
+    rows = rows[:, order]
+    first = np.flatnonzero(np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)]))
+    return rows[:, first], np.diff(np.append(first, rows.shape[1]))
 
 
 def _fold_rows(h: np.ndarray) -> np.ndarray:
@@ -203,17 +227,15 @@ def _sort(least: int, most: int):
     out = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("a", pa.int64())])
 
     def run(got: pa.Table) -> pa.Table:
-        lines, counts = [], []
-        for size, text, count in zip(*(got.column(x) for x in ("size", "texts", "counts")), strict=True):
-            lines += [x.split(b"\t") for x in pa.decompress(text.as_py(), size.as_py(), "zstd", asbytes=True).split(b"\n")]
-            counts.append(unpack_ints(count.as_py(), np.int64))
         number: dict[bytes, int] = {}
-        symbols = np.full((most + 1, len(lines)), -1)
-        for k in range(most + 1):
-            on = [i for i, x in enumerate(lines) if len(x) > k]
-            symbols[k, on] = [number.setdefault(lines[i][k], len(number)) for i in on]
-        found = ((bytes.fromhex(lines[at][0].decode()).decode(), b" ".join(lines[at][1:depth]).decode("utf-8", "surrogatepass"), depth - 1, count)
-                 for at, depth, count in sorted_counts(symbols, np.concatenate(counts), least, 3))
+        symbols, counts = [], []
+        for words, symbol, count in zip(*(got.column(x) for x in ("words", "symbols", "counts")), strict=True):
+            own = np.array([number.setdefault(w, len(number)) if w else -1 for w in words.as_py().split(b"\n")], np.int32)
+            symbols.append(own[unpack_ints(symbol.as_py(), np.int64)].reshape(most + 1, -1))
+            counts.append(unpack_ints(count.as_py(), np.int64))
+        symbols, counts, spelt = np.concatenate(symbols, axis=1), np.concatenate(counts), list(number)
+        found = ((bytes.fromhex(spelt[symbols[0, at]][1:].decode()).decode(), b" ".join(spelt[x] for x in symbols[1:depth, at].tolist()).decode("utf-8", "surrogatepass"),
+                  depth - 1, count) for at, depth, count in sorted_counts(symbols, counts, least, 3))
         return pa.Table.from_batches(list(to_batches(found, out)), schema=out)
 
     return run
@@ -229,7 +251,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, most: int = 4, lang_col:
     with batch_table(inner, batch_bytes, buckets) as packed:
         told = packed.select("b", "payload").mapInArrow(_count_messages(ranges, least), MESSAGE_DDL)
         known = materialise(told.groupBy("q").applyInArrow(_frequent(least), "b long, keys binary, checks binary"), "frequent-pairs")
-        sent = answered(packed, buckets, ("known", known)).mapInArrow(_suffix_messages(ranges, most), "q int, size long, texts binary, counts binary")
+        sent = answered(packed, buckets, ("known", known)).mapInArrow(_suffix_messages(ranges, most), "q int, words binary, symbols binary, counts binary")
         parts = sent.groupBy("q").applyInArrow(_sort(least, most), "lang string, phrase string, words int, a long")
         return materialise(parts.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter((F.col("a") >= least) | (F.col("words") == 0)), "phrases")
 

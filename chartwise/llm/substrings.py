@@ -47,7 +47,7 @@ from chartwise.llm.common import materialise
 from chartwise.llm.words import Alphabet, Words, words_of
 from chartwise.session import scratch_path
 
-BATCH_BYTES, RANGE_BYTES, BUCKET_BYTES = 8 << 20, 48 << 20, 32 << 20
+BATCH_BYTES, RANGE_BYTES, BUCKET_BYTES = 4 << 20, 48 << 20, 32 << 20
 LAST = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Anchors are compared by their leading 48 bits; a chance match costs a look, no more.
