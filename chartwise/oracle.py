@@ -174,6 +174,11 @@ def oracle_sql() -> dict[str, str]:
 FROM documents""",
         "bad_csv_records": """SELECT count(*)::BIGINT AS raw_rows, (count(*) FILTER (WHERE doc_id % 7 IN (1, 2)))::BIGINT AS bad_records,
   (count(*) FILTER (WHERE doc_id % 7 NOT IN (1, 2)))::BIGINT AS good_rows FROM documents""",
+        "misframed_csv": """SELECT CASE WHEN doc_id % 7 NOT IN (1, 3) THEN text END AS title,
+  CASE WHEN doc_id % 7 = 4 THEN 'a "b", c' WHEN doc_id % 7 = 5 THEN '12" mix' WHEN doc_id % 7 NOT IN (1, 3) THEN 'a' END AS artist,
+  CASE WHEN doc_id % 7 = 4 THEN 'http' || chr(10) || doc_id WHEN doc_id % 7 NOT IN (1, 3) THEN doc_id::VARCHAR END AS url,
+  CASE WHEN doc_id % 7 = 1 THEN '1998-01-01,nation_2' WHEN doc_id % 7 = 3 THEN '1998-01-01,nation_2,top200,,1,t,a,5,"http' || doc_id END AS bad
+FROM documents""",
         "rerun_changed_params": with_(*CH, Q2) + "SELECT * FROM q2",
         "q1_open_markets": with_(*CH, Q1) + "SELECT * FROM q1",
         "result_roundtrip": with_(*CH, Q1) + """SELECT CASE WHEN total_appearances % 5 <> 0 THEN title END AS title,

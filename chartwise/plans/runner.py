@@ -80,14 +80,14 @@ def _seen(obs: Observation | None) -> dict[str, int]:
 def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
             db: str = "charts_db", table: str = "charts", min_markets: int = 3,
             k_hits: int = 30, k_longevity: int = 5, split_files: bool = False,
-            multi_line: bool = False, bad_records: str = "drop") -> RunResult:
+            multi_line: bool = True, bad_records: str = "drop") -> RunResult:
     """``raw`` is a CSV path (file, folder or glob pattern) or a DataFrame of
     raw text rows. Stops at the first failed gate.
 
     Ingest and clean are one job straight to Parquet. ``split_files=True`` also
     exports the kept rows as CSV files per (market, month): they are then
     written as Parquet first, and both the export and clean read that.
-    ``multi_line`` reads line breaks in quoted fields. Bad records are left out
+    Quoted fields may hold line breaks unless ``multi_line`` is off. Bad records are left out
     and counted, or with ``bad_records="fail"`` end the run."""
     base = workdir.rstrip("/")
     kept_dir, split_dir, clean_dir = f"{base}/ingested", f"{base}/split", f"{base}/clean"

@@ -102,6 +102,26 @@ def bad_csv_records(spark, sf):
                    F.count_if(csv.is_good("date")).alias("good_rows"))
 
 
+def misframed_csv(spark, sf):
+    """One record a document, in files of 500 each behind a header: fields
+    too few, a quote in the last column that is never closed (the record after
+    it breaks its own last column over two lines), literal quotes. Bad records
+    come as text."""
+    d, text = F.col("doc_id"), lambda c: F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+    head = F.concat(F.lit("1998-01-01,nation_2,top200,,1,"), text("text"))
+    line = F.when(d % 7 == 1, F.lit("1998-01-01,nation_2")) \
+        .when(d % 7 == 3, F.concat(F.lit('1998-01-01,nation_2,top200,,1,t,a,5,"http'), d)) \
+        .when(d % 7 == 4, F.concat(head, F.lit(',"a ""b"", c",5,"http\n'), d, F.lit('"'))) \
+        .when(d % 7 == 5, F.concat(head, F.lit(',12" mix,5,'), d)).otherwise(F.concat(head, F.lit(",a,5,"), d))
+    rows = table(spark, sf, "documents").select("doc_id", line.alias("line")).groupBy(F.floor(d / 500)) \
+        .agg(F.array_sort(F.collect_list(F.struct("doc_id", "line"))).alias("x"))
+    path = scratch_path(spark, "raw-misframed")
+    rows.select(F.concat_ws("\n", F.lit(",".join(RAW_COLUMNS)), F.array_join(F.transform("x", lambda x: x["line"]), "\n")).alias("value")).write.text(path)
+    raw = csv.read_raw_csv(spark, path, bad_records="keep")
+    good = F.col(csv.BAD_RECORD).isNull()
+    return raw.select(*[F.when(good, F.col(c)).alias(c) for c in ("title", "artist", "url")], F.col(csv.BAD_RECORD).alias("bad"))
+
+
 def rerun_changed_params(spark, sf):
     """A second run in the same folder with another k: the fresh answer."""
     raw_csv, work = scratch_path(spark, "rerun-raw"), scratch_path(spark, "rerun")
@@ -282,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_raw_csv": scan_raw_csv,
         "scan_raw_csv_messy": scan_raw_csv_messy,
         "bad_csv_records": bad_csv_records,
+        "misframed_csv": misframed_csv,
         "rerun_changed_params": rerun_changed_params,
         "split_counts": split_counts,
         "parquet_roundtrip": parquet_roundtrip,

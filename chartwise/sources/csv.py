@@ -4,13 +4,19 @@ so the reader escapes with ``"`` as well; files whose headers disagree are
 an error, not a silent column swap.
 
 A record that does not fit (too few or too many fields, a quote that is never
-closed, a line break in a quoted field when ``multi_line`` is off) is
-a bad record: it is kept as text in the column ``BAD_RECORD`` with
+closed) is a bad record: it is kept as text in the column ``BAD_RECORD`` with
 ``bad_records="keep"``, left out with ``"drop"``, or ends the job with ``"fail"``.
-Its fields never come through shifted or half empty as if they were data."""
+Its fields never come through shifted or half empty as if they were data, and
+it takes no other record with it.
+
+Spark's reader alone cannot promise that (see ``sources.framing``), so a path is
+audited first. If every line is a record, as usual, Spark's reader does the
+rest. Otherwise records are put together from lines, in parallel within each
+file, and parsed one by one, each by the header of its own file."""
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,6 +25,7 @@ from pyspark.sql import types as T
 
 from chartwise.functions.text import normalize_name
 from chartwise.schema import RAW_SCHEMA
+from chartwise.sources.framing import Audit, audit, file_headers, framed_records, scan_lines
 
 #: Column that holds the text of a record that does not fit, else NULL.
 BAD_RECORD = "_bad_record"
@@ -99,26 +106,34 @@ def raw_header(spark: SparkSession, data_file: str) -> list[str]:
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: bool = False,
-                 multi_line: bool = False, by_name: bool = True, bad_records: str = "drop", **options) -> DataFrame:
+                 multi_line: bool | None = None, by_name: bool = True, bad_records: str = "drop", audited: bool = True, **options) -> DataFrame:
     """A file or a directory of raw chart CSVs (partition folders included).
 
     Columns are matched by header name (after the column-name rule: strip,
     lower-case, blanks to underscores), so files listing the same columns in
-    another order read correctly; all values are read as text. Every file's
-    header is still checked against the first one (``enforceSchema=false``),
-    so files that disagree on order fail instead of silently swapping values.
+    another order read correctly; all values are read as text.
     ``by_name=False`` imposes ``schema`` positionally (header names must then
     match it exactly).
 
     No type inference: that would be an extra full pass over the input and
     would guess types differently file by file. Files are split into
-    ``spark.sql.files.maxPartitionBytes`` chunks and parsed in parallel;
-    ``multi_line=True`` allows newlines inside quoted fields but makes every
-    file a single task, so it is opt-in for inputs known to need it; without
-    it such records are bad records (see the module's text).
+    ``spark.sql.files.maxPartitionBytes`` chunks and parsed in parallel.
+
+    The path is audited first (see the module's text), which costs one scan of
+    its lines: quotes never closed, line breaks in quoted fields and files whose
+    headers list the columns in another order are then read right, and a line
+    equal to its file's header counts as one wherever it stands. With
+    ``multi_line=False`` each line is a record, and one that ends inside a quoted
+    field a bad one; the default lets records go over several lines. A stream,
+    or a path whose schema is imposed by position, is not audited, nor is one
+    with ``audited=False``: then ``multi_line=True`` means Spark's own reader of
+    such files, one task per file, and every header must equal the first one
+    (``enforceSchema=false``).
     """
     if bad_records not in ("keep", "drop", "fail"):
         raise ValueError("bad_records must be keep, drop or fail")
+    if multi_line is None:
+        multi_line = not streaming
     reader = spark.readStream if streaming else spark.read
     reader = reader.options(**CSV_READ_OPTIONS).option("multiLine", "true" if multi_line else "false") \
         .options(**options)
@@ -134,6 +149,11 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: b
         return df.filter(good).select(*columns)
 
     first = first_data_file(spark, path) if by_name else None
+    if first is not None and audited and not streaming and not options:
+        found = audit_raw_csv(spark, path, first)
+        if not found.clean:
+            return _framed(spark, path, schema, found, first, bad_records, multi_line)
+        reader = reader.option("multiLine", "false")  # every line is a record
     if first is None:  # positional schema, or no files yet (a stream waiting for input)
         return judged(reader.schema(T.StructType([*schema.fields, bad_field])).csv(path), [f.name for f in schema.fields])
     header = raw_header(spark, first)
@@ -150,6 +170,48 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: b
     return judged(df, [F.col("`" + by_norm[c].replace("`", "``") + "`").alias(c) for c in wanted])
 
 
+def audit_raw_csv(spark: SparkSession, path: str, first: str | None = None) -> Audit:
+    """What the lines below ``path`` are; see ``sources.framing.audit``."""
+    first = first or first_data_file(spark, path)
+    if first is None:
+        return Audit(0, 0, 0, 0, 0, ())
+    line = spark.read.option("lineSep", "\n").text(first).first()
+    return audit(spark, path, (line.value or "").removesuffix("\r") if line else "")
+
+
+def _framed(spark: SparkSession, path: str, schema, found: Audit, first: str, bad_records: str, multi_line: bool) -> DataFrame:
+    """The records that ``framing`` finds, each parsed by its file's header."""
+    wanted = [f.name for f in schema.fields]
+    headers = {h: [normalize_name(x) for x in next(csv.reader([h]), [])] for h in found.headers}
+    folder_keys = [c for c in wanted if f"/{c}=" in first and not any(c in names for names in headers.values())]
+    for header, names in headers.items():
+        if missing := [c for c in wanted if c not in names and c not in folder_keys]:
+            raise ValueError(f"raw CSV at {path} lacks columns {missing} in files whose header is {header}")
+    records = framed_records(spark, path, folder_keys, any_open=multi_line and found.open_lines > 0)
+    own = F.lit(found.headers[0])
+    if len(headers) > 1:
+        records = records.join(file_headers(scan_lines(spark, path)).withColumnRenamed("file", "f"), F.col("file") == F.col("f"))
+        own = F.col("header")
+    options = {k: v for k, v in CSV_READ_OPTIONS.items() if k not in ("header", "enforceSchema", "columnPruning")}
+    parsed = F.lit(None)
+    for header, names in headers.items():
+        fields = [names.index(c) for c in wanted if c not in folder_keys]
+        text = F.from_csv("record", ", ".join([*(f"_{i} string" for i in range(len(names))), f"`{BAD_RECORD}` string"]), options)
+        one = F.struct(*[text[f"_{i}"].alias(f"_{k}") for k, i in enumerate(fields)], text[BAD_RECORD].alias(BAD_RECORD))
+        parsed = F.when(own == F.lit(header), one).otherwise(parsed)
+    rows = records.filter(F.col("record") != own).select(parsed.alias("x"), "record", "fits", *folder_keys)
+    bad = F.when(~F.col("fits") | F.col(f"x.{BAD_RECORD}").isNotNull(), F.col("record"))
+    places = iter(range(len(wanted)))
+    rows = rows.select(*[F.col(c) if c in folder_keys else F.col(f"x._{next(places)}").alias(c) for c in wanted], bad.alias(BAD_RECORD))
+    if bad_records == "keep":
+        return rows
+    good = F.col(BAD_RECORD).isNull()
+    if bad_records == "fail":
+        said = F.concat(F.lit("bad record in raw CSV: "), F.substring(BAD_RECORD, 1, 300))
+        good = F.when(good, F.lit(True)).otherwise(F.raise_error(said).isNotNull())
+    return rows.filter(good).select(*wanted)
+
+
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
@@ -176,9 +238,10 @@ def read_split_csv(spark: SparkSession, path: str, keys=("country_code", "month_
     """Split folders back as raw rows. The folder keys are declared as text so
     that partition discovery does not guess a type for them (``1996-01``).
     Files written here may hold line breaks in quoted fields, so a file is
-    read whole by default; the writer keeps files to a task's size."""
+    read whole by default; the writer keeps files to a task's size and closes
+    every quote, so they are not audited."""
     schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(k, T.StringType(), True) for k in keys])
-    return read_raw_csv(spark, path, schema=schema, streaming=streaming, multi_line=multi_line, **options)
+    return read_raw_csv(spark, path, schema=schema, streaming=streaming, multi_line=multi_line, audited=False, **options)
 
 
 def drop_helpers(df: DataFrame, *cols: str) -> DataFrame:
