@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from chartwise.llm.common import materialise, to_batches
 from chartwise.llm.substrings import (
     BATCH_BYTES,
-    CUT,
     MESSAGE_DDL,
     answered,
     answers,
@@ -78,16 +77,33 @@ def _keys(batch: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray, np.ndar
     return words, hashes, grams(hashes, 2), words.piece[1:] == words.piece[:-1]
 
 
-def _count_messages(ranges: int, least: int):
+def key_cut(text_bytes: int) -> np.uint64:
+    """How many low bits of a hash are left out of keys: those kept tell some
+    thousand times as many keys apart as there are words. A chance match costs
+    a suffix sent in vain."""
+    return np.uint64(max(16, 64 - (text_bytes.bit_length() + 10)))
+
+
+def pack_keys(v: np.ndarray) -> bytes:
+    """Sorted numbers as steps, each byte of them apart, squeezed."""
+    return squeezed(np.ascontiguousarray(np.diff(v, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(unsqueezed(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def _count_messages(ranges: int, least: int, cut: np.uint64):
     """Of each batch its words and pairs, by hash, with counts up to ``least``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 _, hashes, pairs, joined = _keys(open_batch(batch.column("payload")[i]))
-                keys, counts = np.unique(np.concatenate([hashes, pairs[joined]]) >> CUT, return_counts=True)
+                keys, counts = np.unique(np.concatenate([hashes, pairs[joined]]) >> cut, return_counts=True)
                 counts = np.minimum(counts, least)
                 b = batch.column("b")[i].as_py()
-                yield from messages([(q, b, pack_sorted(keys[s]), pack_ints(counts[s]), b"") for q, s in dealt(keys << CUT, ranges)])
+                yield from messages([(q, b, pack_keys(keys[s]), squeezed(pack_ints(counts[s])), b"") for q, s in dealt(keys << cut, ranges)])
 
     return run
 
@@ -95,18 +111,18 @@ def _count_messages(ranges: int, least: int):
 def _frequent(least: int):
     """All counts of a hash range: to each batch, which of its keys are frequent."""
     def run(got: pa.Table) -> pa.Table:
-        keys = [unpack_sorted(x.as_py()) for x in got.column("keys")]
+        keys = [unpack_keys(x.as_py()) for x in got.column("keys")]
         if not keys:
             return answers(got, [])
         distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(of, np.concatenate([unpack_ints(x.as_py(), np.int64) for x in got.column("checks")]))
+        total = np.bincount(of, np.concatenate([unpack_ints(unsqueezed(x.as_py()), np.int64) for x in got.column("checks")]))
         known = distinct[total >= least]
         return answers(got, [(pack_sorted(v[member(v, known)]), b"") for v in keys])
 
     return run
 
 
-def _suffix_messages(ranges: int, most: int):
+def _suffix_messages(ranges: int, most: int, cut: np.uint64):
     """Of each batch its distinct suffixes with counts, to tasks by leading
     words: (q, words, symbols, counts). Suffixes are rows of numbers of the
     words that are sent along; the language, in hex behind a tab, comes first."""
@@ -115,20 +131,20 @@ def _suffix_messages(ranges: int, most: int):
             for i in range(batch.num_rows):
                 known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(x) for x in heard(batch, "known", i))]))
                 docs = open_batch(batch.column("payload")[i])
-                yield from _suffixes(docs, known, ranges, most)
+                yield from _suffixes(docs, known, ranges, most, cut)
 
     return run
 
 
-def _suffixes(docs: pa.RecordBatch, known: np.ndarray, ranges: int, most: int) -> Iterator[pa.RecordBatch]:
+def _suffixes(docs: pa.RecordBatch, known: np.ndarray, ranges: int, most: int, cut: np.uint64) -> Iterator[pa.RecordBatch]:
     words, hashes, pairs, joined = _keys(docs)
     n = len(hashes)
     if not n:
         return
     distinct, first_of, ids = np.unique(hashes, return_index=True, return_inverse=True)
-    on = member(distinct >> CUT, known)  # frequent words
+    on = member(distinct >> cut, known)  # frequent words
     pair = np.zeros(n, bool)
-    pair[:-1] = joined & member(pairs >> CUT, known)
+    pair[:-1] = joined & member(pairs >> cut, known)
     reach = on[ids]
     rows = [np.where(reach, ids, -1)]  # suffixes as rows of word numbers, -1 past their ends
     for k in range(1, most):
@@ -149,14 +165,34 @@ def _suffixes(docs: pa.RecordBatch, known: np.ndarray, ranges: int, most: int) -
     route = _fold_rows(np.append(distinct, np.uint64(0))[rows[1:4]])
     order = np.argsort(route, kind="stable")
     for q, s in dealt(route[order], ranges):
-        at = order[s]
+        at = np.sort(order[s])  # in order of words again: alike rows together pack well
         used, own = np.unique(rows[1:, at], return_inverse=True)
         table = [*names, *(b"" if x < 0 else spelt(x) for x in used.tolist())]
         symbols = np.concatenate([rows[:1, at], own.reshape(most, -1) + len(names)])
-        yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), *(pa.array([x], pa.binary()) for x in (b"\n".join(table), pack_ints(symbols.ravel()), pack_ints(counts[at])))],
+        yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), *(pa.array([squeezed(x)], pa.binary()) for x in (b"\n".join(table), pack_planes(symbols), pack_ints(counts[at])))],
                                          names=["q", "words", "symbols", "counts"])
 
 
+def pack_planes(symbols: np.ndarray) -> bytes:
+    """Each row of numbers less the one before it, low bytes apart from high
+    ones: what changes little packs to little."""
+    steps = np.diff(symbols, axis=1, prepend=0).astype("<i4")
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(len(symbols), -1, 4).transpose(0, 2, 1)).tobytes()
+
+
+def unpack_planes(raw: bytes, rows: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(rows, 4, -1).transpose(0, 2, 1)
+    return np.cumsum(np.ascontiguousarray(planes).view("<i4").reshape(rows, -1), axis=1)
+
+
+def squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unsqueezed(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+
+
 #: Rows of up to so many bits are sorted as one number.
 KEY_BITS = 63
 
@@ -230,9 +266,9 @@ def _sort(least: int, most: int):
         number: dict[bytes, int] = {}
         symbols, counts = [], []
         for words, symbol, count in zip(*(got.column(x) for x in ("words", "symbols", "counts")), strict=True):
-            own = np.array([number.setdefault(w, len(number)) if w else -1 for w in words.as_py().split(b"\n")], np.int32)
-            symbols.append(own[unpack_ints(symbol.as_py(), np.int64)].reshape(most + 1, -1))
-            counts.append(unpack_ints(count.as_py(), np.int64))
+            own = np.array([number.setdefault(w, len(number)) if w else -1 for w in unsqueezed(words.as_py()).split(b"\n")], np.int32)
+            symbols.append(own[unpack_planes(unsqueezed(symbol.as_py()), most + 1)])
+            counts.append(unpack_ints(unsqueezed(count.as_py()), np.int64))
         symbols, counts, spelt = np.concatenate(symbols, axis=1), np.concatenate(counts), list(number)
         found = ((bytes.fromhex(spelt[symbols[0, at]][1:].decode()).decode(), b" ".join(spelt[x] for x in symbols[1:depth, at].tolist()).decode("utf-8", "surrogatepass"),
                   depth - 1, count) for at, depth, count in sorted_counts(symbols, counts, least, 3))
@@ -248,10 +284,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30, most: int = 4, lang_col:
     of all words."""
     inner = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text"))
     ranges, buckets = parts_of(inner, range_bytes)
+    cut = key_cut(ranges * range_bytes)
     with batch_table(inner, batch_bytes, buckets) as packed:
-        told = packed.select("b", "payload").mapInArrow(_count_messages(ranges, least), MESSAGE_DDL)
+        told = packed.select("b", "payload").mapInArrow(_count_messages(ranges, least, cut), MESSAGE_DDL)
         known = materialise(told.groupBy("q").applyInArrow(_frequent(least), "b long, keys binary, checks binary"), "frequent-pairs")
-        sent = answered(packed, buckets, ("known", known)).mapInArrow(_suffix_messages(ranges, most), "q int, words binary, symbols binary, counts binary")
+        sent = answered(packed, buckets, ("known", known)).mapInArrow(_suffix_messages(ranges, most, cut), "q int, words binary, symbols binary, counts binary")
         parts = sent.groupBy("q").applyInArrow(_sort(least, most), "lang string, phrase string, words int, a long")
         return materialise(parts.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter((F.col("a") >= least) | (F.col("words") == 0)), "phrases")
 
