@@ -9,7 +9,7 @@
 
 Each step reads what the one before wrote. Common options: [--chart top200]
 [--years 2017 2021] [--leader JP] [--markets "japan:JP:Japan,taiwan:TW:Taiwan"]
-[--master local[*]]; for raw CSV [--multi-line] [--strict].
+[--master local[*]]; for raw CSV [--single-line] [--strict].
 
 Defaults are five markets, top200, 2017-2021, yearly leader for JP. Prints the
 counts as one JSON line, then the rows of bounded results. On a cluster, leave
@@ -56,7 +56,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--longevity", type=int, default=5)
         p.add_argument("--master", default=None)
         if name in ("run", "ingest"):
-            p.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+            p.add_argument("--multi-line", action="store_true", default=True, help="quoted fields may hold line breaks (the default)")
+            p.add_argument("--single-line", dest="multi_line", action="store_false", help="every line is a record")
             p.add_argument("--strict", action="store_true", help="a bad record ends the job (else it is counted and left out)")
         if name in ("run", "register"):
             p.add_argument("--db", default="charts_db")
@@ -85,7 +86,7 @@ def _run(spark, args, cfg) -> dict:
     res = run_job(spark, args.raw, args.workdir, cfg, db=args.db, table=args.table, min_markets=args.min_markets,
                   k_hits=args.hits, k_longevity=args.longevity, split_files=args.split_files, multi_line=args.multi_line,
                   bad_records="fail" if args.strict else "drop")
-    print(json.dumps({"metrics": res.metrics, "approximate": res.approximate, "skipped": res.skipped}))
+    print(json.dumps({"metrics": res.metrics, "skipped": res.skipped}))
     _show_charts(res.charts)
     for name, df in [*res.reloaded.items(), *res.series.items()]:  # bounded result sets (top-k / per year)
         print(f"--- {name}")

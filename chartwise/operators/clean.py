@@ -1,13 +1,13 @@
 """Cleaning: normalise names, map markets to codes, type the columns, drop
 incomplete and out-of-range rows. Reject counts come from one aggregate pass
-(``funnel``) or from ``DataFrame.observe`` during the write, never from
+(``funnel``) or from the rows that ``operators.sift`` writes, never from
 repeated counts of the input."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartwise.functions.casts import parse_once, to_chart_date, to_int_lenient, to_long_lenient
@@ -44,17 +44,14 @@ def filter_valid(df: DataFrame, max_rank: int = 200) -> DataFrame:
     return df.filter((F.col("streams") > 0) & F.col("rank").between(1, max_rank))
 
 
-def clean(raw: DataFrame, markets: Sequence[Market], max_rank: int = 200,
-          complete_observation: Observation | None = None) -> DataFrame:
+def clean(raw: DataFrame, markets: Sequence[Market], max_rank: int = 200) -> DataFrame:
     """Raw text rows -> typed chart rows (``CHART_COLUMNS``). Permissive on
     markets: an unknown region stays as it is (market filtering is ingest's
-    job). ``complete_observation`` counts the rows left after the NULL drop
-    (the "before" count of the range filters) as the data flows."""
-    df = normalize_columns(raw)
-    df = drop_incomplete(cast_types(normalize_region(df, markets)))
-    if complete_observation is not None:
-        df = df.observe(complete_observation, F.count(F.lit(1)).alias("rows"))
-    return filter_valid(df, max_rank).select(*CHART_COLUMNS)
+    job), but an empty one is none: a partition folder could not tell it from
+    NULL."""
+    df = normalize_region(normalize_columns(raw), markets)
+    df = df.withColumn("region", F.when(F.col("region") != "", F.col("region")))
+    return filter_valid(drop_incomplete(cast_types(df)), max_rank).select(*CHART_COLUMNS)
 
 
 def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
@@ -75,30 +72,3 @@ def funnel(raw: DataFrame, cfg: IngestConfig) -> DataFrame:
     bad = [F.count(BAD_RECORD).alias("bad_records")] if BAD_RECORD in raw.columns else []
     return rows.agg(F.count(F.lit(1)).alias("raw_rows"), *bad, F.count_if(chart_ok).alias("chart_rows"), F.count_if(ingested).alias("ingested_rows"),
                     F.count_if(complete).alias("complete_rows"), F.count_if(valid).alias("clean_rows"))
-
-
-def observe_raw_counts(raw: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, Observation]:
-    """Raw and chart-kind row counts (and bad records, if they are marked) as a
-    side effect of the next action that reads ``raw``; nothing is parsed. The
-    later funnel stages are counted where their rows already flow (ingest
-    output, ``clean``'s NULL drop, the write)."""
-    obs = Observation("raw")
-    counts = [F.count(F.lit(1)).alias("raw_rows")]
-    chart_ok = F.coalesce(F.col("chart") == F.lit(cfg.chart), F.lit(False))
-    if BAD_RECORD in raw.columns:
-        bad = F.col(BAD_RECORD).isNotNull()
-        chart_ok = chart_ok & ~bad
-        counts.append(F.count_if(bad).alias("bad_records"))
-    return raw.observe(obs, *counts, F.count_if(chart_ok).alias("chart_rows")), obs
-
-
-def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as a side effect of whatever action runs next on ``df``
-    (a write, typically); read ``obs.get`` afterwards.
-
-    The count is exact when the observed node runs in the final (result)
-    stage. Below a shuffle it runs in a map stage, and a map stage that is
-    re-executed after a lost executor adds its rows again - so a run
-    reports such counts as approximate, and no gate relies on them."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

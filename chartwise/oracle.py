@@ -154,6 +154,18 @@ num AS (SELECT TRY_CAST(f[1] AS DOUBLE) AS doc_id, f[2] AS line, TRY_CAST(f[3] A
 SELECT doc_id, line, width FROM num WHERE doc_id IS NOT NULL OR width IS NOT NULL"""
 
 
+def reasons(source: str) -> str:
+    """Why each row of ``source`` (raw rows with a flag ``bad``) goes, if it does."""
+    return f""", source AS ({source}), parsed AS (
+  SELECT s.*, {day("s.date")} AS d, {whole("s.rank", "INTEGER")} AS rk, {whole("s.streams", "BIGINT")} AS st, m.code AS country_code
+  FROM source s LEFT JOIN markets m ON lower(trim(s.region, {WS})) = m.market_key),
+judged AS (SELECT *, strftime(d, '%Y-%m') AS month_str, CASE WHEN bad THEN 'bad record' WHEN chart IS DISTINCT FROM 'top200' THEN 'chart kind' WHEN d IS NULL THEN 'date'
+    WHEN d < {YEAR_LO} OR d >= {YEAR_HI} THEN 'years' WHEN country_code IS NULL THEN 'market'
+    WHEN title IS NULL OR artist IS NULL OR st IS NULL OR rk IS NULL THEN 'incomplete'
+    WHEN st <= 0 OR rk NOT BETWEEN 1 AND 200 THEN 'out of range' ELSE 'kept' END AS reason FROM parsed)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     # fixed values: bar colour by number of markets
     colors = "WHEN 3 THEN '#A5D8FF' WHEN 4 THEN '#339AF0' WHEN 5 THEN '#1864AB' WHEN 6 THEN '#003A8C' WHEN 7 THEN '#001D4A'"
@@ -179,6 +191,14 @@ FROM documents""",
   CASE WHEN doc_id % 7 = 4 THEN 'http' || chr(10) || doc_id WHEN doc_id % 7 NOT IN (1, 3) THEN doc_id::VARCHAR END AS url,
   CASE WHEN doc_id % 7 = 1 THEN '1998-01-01,nation_2' WHEN doc_id % 7 = 3 THEN '1998-01-01,nation_2,top200,,1,t,a,5,"http' || doc_id END AS bad
 FROM documents""",
+        "reject_reasons": with_(*BASE) + reasons(
+            "SELECT * REPLACE (CASE WHEN rank LIKE '%4' THEN '' ELSE region END AS region), artist LIKE '%1' AND rank LIKE '%3' AS bad FROM raw_charts")
+            + "SELECT reason, count(*)::BIGINT AS rows FROM judged GROUP BY reason",
+        "defect_rows": with_(*BASE) + reasons("SELECT *, false AS bad FROM raw_charts")
+            + f"SELECT reason, {RAW_COLS}, country_code, month_str FROM judged WHERE reason IN ('bad record', 'date', 'incomplete', 'out of range')",
+        "empty_region": with_(*all_typed) + "SELECT * FROM all_valid WHERE rank % 10 <> 4",
+        "q1_unlisted_markets": with_(*all_typed, Q1.replace("FROM charts", "FROM all_valid")) + "SELECT * FROM q1",
+        "parquet_codec": with_(*CH) + "SELECT 'SNAPPY' AS codec, count(*)::BIGINT AS rows FROM charts",
         "rerun_changed_params": with_(*CH, Q2) + "SELECT * FROM q2",
         "q1_open_markets": with_(*CH, Q1) + "SELECT * FROM q1",
         "result_roundtrip": with_(*CH, Q1) + """SELECT CASE WHEN total_appearances % 5 <> 0 THEN title END AS title,

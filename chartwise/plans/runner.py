@@ -1,53 +1,62 @@
-"""End-to-end run: raw CSV -> clean Parquet -> catalog table -> three answers
--> result files -> gates -> chart series (as files, too).
+"""End-to-end run: raw CSV -> sifted rows -> clean Parquet -> catalog table ->
+three answers -> result files -> gates -> chart series (as files, too).
 
 Each stage writes to the shared folder and the next one reads that, so lineage
 is cut at every stage (a lost executor re-runs one stage, not the whole
 chain). Stages hand over Parquet; the split CSV files per market and month
 are an export for other tools. What makes a stage skippable on a re-run is in
-``plans.stages``.
+``plans.stages``. Small independent stages (the answers, the series) run side
+by side.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwise.operators.clean import clean, observe_raw_counts, observe_rows
-from chartwise.operators.ingest import ingest
-from chartwise.operators.quality import GateError, assert_report, quality_report
+from chartwise.operators import sift
+from chartwise.operators.clean import clean
+from chartwise.operators.quality import GateError
 from chartwise.plans.questions import chart_longevity, cross_market_hits, yearly_leader
 from chartwise.plans.series import series_cross_market, series_longevity, series_yearly
 from chartwise.plans.stages import Stages, fingerprint, input_listing
 from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, IngestConfig
 from chartwise.sources.catalog import read_charts, register_table, write_charts
-from chartwise.sources.csv import BAD_RECORD, drop_helpers, is_good, read_raw_csv, write_split_csv
-from chartwise.sources.results import read_result_tsv, write_result_tsv
+from chartwise.sources.csv import BAD_RECORD, is_good, read_raw_csv, write_split_csv
+from chartwise.sources.results import read_result_tsv, result_facts, write_result_tsv
 
 RESULT_SCHEMAS = {"q1": Q1_SCHEMA, "q2": Q2_SCHEMA, "q3": Q3_SCHEMA}
 
 
 @dataclass
 class RunResult:
-    """``approximate`` names the metrics that were counted while rows flowed
-    through a stage: a task that runs again after a lost executor adds its
-    rows again. All other metrics are counts of written output."""
+    """``metrics`` are counts of written files. ``rejects`` are the raw rows
+    in scope that were of no use, each with its reason. ``approximate`` would
+    name counts that a lost task can change: there are none."""
 
     charts: DataFrame
     answers: dict[str, DataFrame]
     reloaded: dict[str, DataFrame]
     series: dict[str, DataFrame]
+    rejects: DataFrame
     metrics: dict[str, int] = field(default_factory=dict)
     approximate: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
 
 
 def answers_of(charts: DataFrame, cfg: IngestConfig, min_markets: int = 3, k_hits: int = 30, k_longevity: int = 5) -> dict[str, DataFrame]:
+    """The three answers. Q1 has a shorter way if no other market than those
+    of ``cfg`` is there; charts partitioned by market show that by their folders."""
+    codes = [m.code for m in cfg.markets]
+    listed = charts.filter(F.col("region").isNotNull() & ~F.col("region").isin(codes)).isEmpty()
     return {
-        "q1": cross_market_hits(charts, min_markets, k_hits, known_markets=[m.code for m in cfg.markets]),
+        "q1": cross_market_hits(charts, min_markets, k_hits, known_markets=codes if listed else None),
         "q2": chart_longevity(charts, k_longevity),
         "q3": yearly_leader(charts, cfg.leader_region),
     }
@@ -68,13 +77,13 @@ def good_records(raw: DataFrame) -> DataFrame:
     return raw.filter(is_good(next(c for c in raw.columns if c != BAD_RECORD))).drop(BAD_RECORD)
 
 
-def _seen(obs: Observation | None) -> dict[str, int]:
-    """What an observation has counted; nothing, if its node was optimised
-    away (as below an empty relation)."""
-    try:
-        return {k: int(v or 0) for k, v in obs.get.items()} if obs is not None else {}
-    except Exception:  # noqa: BLE001 - Spark raises Java errors of several kinds here
+def _side_by_side(spark: SparkSession, tasks: dict[str, Callable]) -> dict:
+    """Run independent Spark jobs at once; the first error is raised."""
+    if not tasks:
         return {}
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(f)) for name, f in tasks.items()}
+        return {name: r.result() for name, r in running.items()}
 
 
 def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
@@ -84,97 +93,100 @@ def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
     """``raw`` is a CSV path (file, folder or glob pattern) or a DataFrame of
     raw text rows. Stops at the first failed gate.
 
-    Ingest and clean are one job straight to Parquet. ``split_files=True`` also
-    exports the kept rows as CSV files per (market, month): they are then
-    written as Parquet first, and both the export and clean read that.
-    Quoted fields may hold line breaks unless ``multi_line`` is off. Bad records are left out
-    and counted, or with ``bad_records="fail"`` end the run."""
+    The raw rows are read once and written with what becomes of each
+    (``operators.sift``); all counts come from there. ``split_files=True`` also
+    exports the rows in scope as CSV files per (market, month). Quoted fields
+    may hold line breaks unless ``multi_line`` is off. Bad records are left out
+    and counted, or with ``bad_records="fail"`` end the run.
+
+    Clean charts go to a folder of their own for each run that writes any, and
+    the table moves there when they are complete: what a killed run leaves
+    behind harms nothing, and the last finished version stays readable."""
     base = workdir.rstrip("/")
-    kept_dir, split_dir, clean_dir = f"{base}/ingested", f"{base}/split", f"{base}/clean"
+    sifted_dir, split_dir = f"{base}/sifted", f"{base}/split"
     stages = Stages(spark, base)
-    metrics: dict[str, int] = {}
-    approximate: dict[str, int] = {}
     if bad_records not in ("drop", "fail"):
         raise ValueError("bad_records must be drop or fail")
 
-    def raw_rows() -> DataFrame:
-        if not isinstance(raw, str):
-            return raw
-        return read_raw_csv(spark, raw, multi_line=multi_line, bad_records="keep" if bad_records == "drop" else "fail")
-
     # a DataFrame has no listing to compare: its first stage always runs
     given = input_listing(spark, raw) if isinstance(raw, str) else uuid.uuid4().hex
-    mark_in = fingerprint(chart=cfg.chart, years=(cfg.year_from, cfg.year_to), markets=cfg.markets, multi_line=multi_line, bad=bad_records, given=given)
-    raw_obs = None
-
-    # 1. ingest, when its rows are wanted as files
-    if split_files:
-        if not stages.done("ingest", kept_dir, mark_in):
-            stages.starting("ingest")
-            counted, raw_obs = observe_raw_counts(raw_rows(), cfg)
-            ingest(good_records(counted), cfg).write.mode("overwrite").parquet(kept_dir)
-            kept = spark.read.parquet(kept_dir)
-            metrics["ingested_rows"] = kept.count()
-            if not metrics["ingested_rows"]:
-                raise GateError("ingest: no rows matched chart kind, years and markets")
-            write_split_csv(kept, split_dir)
-            stages.finished("ingest", mark_in)
-
-    # 2. clean -> Parquet
-    mark_clean = fingerprint(before=mark_in, max_rank=cfg.max_rank, split=split_files)
-    if not stages.done("clean", clean_dir, mark_clean):
-        stages.starting("clean")
-        obs_in, obs_complete = None, Observation("complete")
+    mark_in = fingerprint(chart=cfg.chart, years=(cfg.year_from, cfg.year_to), markets=cfg.markets, max_rank=cfg.max_rank,
+                          multi_line=multi_line, bad=bad_records, split=split_files, given=given)
+
+    # 1. ingest: every raw row with its reason
+    if not stages.done("ingest", split_dir if split_files else sifted_dir, mark_in):
+        stages.starting("ingest")
+        rows = raw
+        if isinstance(raw, str):
+            rows = read_raw_csv(spark, raw, multi_line=multi_line, bad_records="keep" if bad_records == "drop" else "fail")
+        sift.write_sifted(rows, cfg, sifted_dir)
+        sifted = sift.read_sifted(spark, sifted_dir)
+        counts = {r.reason: r.rows for r in sift.reason_counts(sifted).collect()}  # a row per reason
+        if not sift.funnel_of(counts)["ingested_rows"]:
+            raise GateError("ingest: no rows matched chart kind, years and markets")
         if split_files:
-            kept = spark.read.parquet(kept_dir)
-        else:
-            counted, raw_obs = observe_raw_counts(raw_rows(), cfg)
-            kept, obs_in = observe_rows(ingest(good_records(counted), cfg), "ingest")
-        write_charts(clean(drop_helpers(kept, "country_code", "month_str"), cfg.markets, cfg.max_rank, complete_observation=obs_complete), clean_dir)
-        metrics["clean_rows"] = read_charts(spark, clean_dir).count()
+            write_split_csv(sift.ingested(sifted), split_dir)
+        stages.finished("ingest", mark_in, counts)
+    sifted = sift.read_sifted(spark, sifted_dir)
+    counts = stages.counts("ingest")
+    metrics = sift.funnel_of(counts) | {f"rejected: {r}": counts.get(r, 0) for r in (*sift.DEFECTS, *sift.OUT_OF_SCOPE)}
+
+    # 2. clean -> Parquet, in a folder of its own
+    mark_clean = fingerprint(before=mark_in, max_rank=cfg.max_rank)
+    clean_dir = stages.output("clean") or ""
+    if not stages.done("clean", clean_dir, mark_clean):
         if not metrics["clean_rows"]:
-            if not split_files and ingest(good_records(raw_rows()), cfg).isEmpty():
-                raise GateError("ingest: no rows matched chart kind, years and markets")
             raise GateError("clean: no row was complete and in range")
-        approximate |= {"ingested_rows": n for n in _seen(obs_in).values()} | {"complete_rows": n for n in _seen(obs_complete).values()}
-        stages.finished("clean", mark_clean)
-    elif not split_files:
-        stages.skipped.append("ingest")
-    approximate |= _seen(raw_obs)
-
-    # 3. table (fails when empty)
+        before, clean_dir = clean_dir, f"{base}/clean/{uuid.uuid4().hex[:12]}"
+        write_charts(clean(sift.kept(sifted), cfg.markets, cfg.max_rank), clean_dir)
+        written = read_charts(spark, clean_dir).count()
+        if written != metrics["clean_rows"]:
+            raise GateError(f"clean: {written} rows were written of {metrics['clean_rows']}")
+        stages.finished("clean", mark_clean, output=clean_dir)
+    else:
+        before = clean_dir
+
+    # 3. table (fails when empty); then the version before the last can go
     charts = register_table(spark, clean_dir, db, table)
+    if before and before != clean_dir:
+        stages.keep_versions("clean", f"{base}/clean", (before, clean_dir))
 
     # 4. answers -> result files (each answer is bounded: top-k or per year)
     answers = answers_of(charts, cfg, min_markets, k_hits, k_longevity)
     settings = {"q1": (min_markets, k_hits), "q2": (k_longevity,), "q3": (cfg.leader_region,)}
-    reloaded: dict[str, DataFrame] = {}
-    marks: dict[str, str] = {}
-    for name, df in answers.items():
-        path, marks[name] = f"{base}/results/{name}", fingerprint(before=mark_clean, question=name, settings=settings[name])
-        if not stages.done(name, path, marks[name]):
-            stages.starting(name)
-            write_result_tsv(df, path, single_file=True)
-            metrics[f"{name}_rows"] = read_result_tsv(spark, path, RESULT_SCHEMAS[name]).count()
-            if not metrics[f"{name}_rows"]:
-                raise GateError(f"{name}: query returned 0 rows")
-            stages.finished(name, marks[name])
-        reloaded[name] = read_result_tsv(spark, path, RESULT_SCHEMAS[name])
-
-    # 5. gate the result files as read back
-    assert_report(quality_report({f"result_{n}": df for n, df in reloaded.items()}))
+    marks = {n: fingerprint(before=mark_clean, question=n, settings=settings[n]) for n in answers}
+    paths = {n: f"{base}/results/{n}" for n in answers}
+    fresh = [n for n in answers if not stages.done(n, paths[n], marks[n])]
+    for n in fresh:
+        stages.starting(n)
+    made = _side_by_side(spark, {n: lambda n=n: write_result_tsv(answers[n], paths[n], single_file=True) for n in fresh})
+    reloaded = {n: read_result_tsv(spark, paths[n], RESULT_SCHEMAS[n]) for n in answers}
+
+    # 5. gate the result files as read back: rows, and the very rows that were written
+    found = {r.result: (r.rows, r.checksum) for r in result_facts(reloaded).collect()}  # a row per result
+    for n in answers:
+        rows, checksum = found[n]
+        if not rows:
+            raise GateError(f"{n}: query returned 0 rows")
+        known = made[n] if n in made else stages.counts(n)
+        if (rows, checksum) != (known["rows"], known["checksum"]):
+            raise GateError(f"{n}: the result file holds {rows} rows, {known['rows']} were written, or other ones")
+        metrics[f"{n}_rows"] = rows
+    for n in fresh:
+        stages.finished(n, marks[n], made[n])
 
     # 6. chart series from the result files
-    series = {}
+    series, todo = {}, {}
     for name, df in series_of(reloaded, cfg, k_longevity).items():
         path, mark = f"{base}/series/{name}", fingerprint(before=marks, series=name, markets=cfg.markets)
         if not stages.done(f"series_{name}", path, mark):
             stages.starting(f"series_{name}")
-            write_result_tsv(df, path, single_file=True)
-            stages.finished(f"series_{name}", mark)
-        series[name] = read_result_tsv(spark, path, df.schema)
-    return RunResult(charts=charts, answers=answers, reloaded=reloaded, series=series, metrics=approximate | metrics,
-                     approximate=sorted(approximate.keys() - metrics.keys()), skipped=stages.skipped)
+            todo[name] = (df, path, mark)
+        series[name] = (path, df.schema)
+    for name, facts in _side_by_side(spark, {n: lambda d=df, p=path: write_result_tsv(d, p, single_file=True) for n, (df, path, _) in todo.items()}).items():
+        stages.finished(f"series_{name}", todo[name][2], facts)
+    return RunResult(charts=charts, answers=answers, reloaded=reloaded, series={n: read_result_tsv(spark, p, s) for n, (p, s) in series.items()},
+                     rejects=sift.defects(sifted), metrics=metrics, skipped=stages.skipped)
 
 
 def market_counts(charts: DataFrame) -> list[tuple[str, int]]:

@@ -19,11 +19,12 @@ from chartwise.functions.markets import display_name, market_code
 from chartwise.functions.text import ascii_safe, label
 from chartwise.operators import clean as C
 from chartwise.operators import ingest as I
+from chartwise.operators import sift
 from chartwise.operators import summaries as U
 from chartwise.operators.quality import quality_report
 from chartwise.plans import questions as Q
 from chartwise.plans import series as S
-from chartwise.plans.runner import run_job
+from chartwise.plans.runner import answers_of, run_job
 from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, RAW_COLUMNS
 from chartwise.session import scratch_path
 from chartwise.sources import catalog, csv, results
@@ -233,6 +234,46 @@ def quality_gates(spark, sf):
     return quality_report({"ingest": ingested, "table": charts, **reloaded})
 
 
+def reject_reasons(spark, sf):
+    """Rows of each reason in the files of a sifted run, with bad records and
+    empty regions among them."""
+    raw = _raw(spark, sf)
+    bad = F.when(F.col("artist").endswith("1") & F.col("rank").endswith("3"), F.lit("x,y"))
+    raw = raw.withColumn("region", F.when(F.col("rank").endswith("4"), F.lit("")).otherwise(F.col("region"))).withColumn(csv.BAD_RECORD, bad)
+    path = scratch_path(spark, "sifted")
+    sift.write_sifted(raw, CFG, path)
+    return sift.reason_counts(sift.read_sifted(spark, path))
+
+
+def defect_rows(spark, sf):
+    """Rows in scope and of no use, with all their text."""
+    path = scratch_path(spark, "sifted")
+    sift.write_sifted(_raw(spark, sf), CFG, path)
+    return sift.defects(sift.read_sifted(spark, path)).select("reason", *RAW_COLUMNS, "country_code", "month_str")
+
+
+def empty_region(spark, sf):
+    """Regions blanked out are no regions: their rows are incomplete, and what
+    is written reads back the same."""
+    raw = _raw(spark, sf)
+    raw = raw.withColumn("region", F.when(F.col("rank").endswith("4"), F.lit("")).otherwise(F.col("region")))
+    path = scratch_path(spark, "charts-empty-region")
+    catalog.write_charts(C.clean(raw, CFG.markets, CFG.max_rank), path)
+    return catalog.read_charts(spark, path)
+
+
+def q1_unlisted_markets(spark, sf):
+    """Q1 as a run asks it, over charts with regions that no market names."""
+    return answers_of(C.clean(_raw(spark, sf), CFG.markets, CFG.max_rank), CFG)["q1"]
+
+
+def parquet_codec(spark, sf):
+    """Codec and rows of the written column chunks, from the files' footers."""
+    path = scratch_path(spark, "charts-codec")
+    catalog.write_charts(_charts(spark, sf), path)
+    return catalog.read_codecs(spark, path).groupBy("codec").agg(F.sum("rows").cast("bigint").alias("rows"))
+
+
 # --- projections, filters, lookups, scalar functions ---------------------
 
 def normalize_columns(spark, sf):
@@ -304,6 +345,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bad_csv_records": bad_csv_records,
         "misframed_csv": misframed_csv,
         "rerun_changed_params": rerun_changed_params,
+        "reject_reasons": reject_reasons,
+        "defect_rows": defect_rows,
+        "empty_region": empty_region,
+        "q1_unlisted_markets": q1_unlisted_markets,
+        "parquet_codec": parquet_codec,
         "split_counts": split_counts,
         "parquet_roundtrip": parquet_roundtrip,
         "table_roundtrip": table_roundtrip,

@@ -109,3 +109,72 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def done_marker(spark: SparkSession, path: str) -> bool:
     """True when a Spark job committed output at ``path`` (its _SUCCESS file)."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(jvm, Path, FileSystem) of a path, or None without a JVM handle."""
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return None
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, jpath, jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Put ``text`` at ``path`` in one step: written beside it, then renamed
+    onto it, so a reader finds the old text or the new one, never a part.
+    Without a JVM handle Spark's text writer makes a folder of one file."""
+    found = _hadoop(spark, path)
+    if found is None:
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return
+    jvm, final, fs = found
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    replace_path(spark, beside.toString(), path)
+
+
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file onto another, which goes in the same step."""
+    jvm, src, fs = _hadoop(spark, source)
+    dst = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(target))
+    src = fs.makeQualified(src)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    kinds = spark.sparkContext._gateway.new_array(rename, 1)
+    kinds[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(src.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(src, dst, kinds)
+
+
+def read_small_file(spark: SparkSession, path: str) -> str | None:
+    """The text at ``path``, or None if nothing is there."""
+    found = _hadoop(spark, path)
+    if found is None:
+        return "\n".join(r.value for r in spark.read.text(path).collect()) if path_exists(spark, path) else None
+    jvm, jpath, fs = found
+    if not fs.exists(jpath) or fs.getFileStatus(jpath).isDirectory():
+        return None
+    stream = fs.open(jpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly in ``path``; none without a JVM handle."""
+    found = _hadoop(spark, path)
+    if found is None or not found[2].exists(found[1]):
+        return []
+    return [f.getPath().toString() for f in found[2].listStatus(found[1]) if f.isDirectory()]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    found = _hadoop(spark, path)
+    if found is not None:
+        found[2].delete(found[1], True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,24 @@ def read_charts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHARTS_SCHEMA).parquet(path).select(*CHART_COLUMNS)
 
 
+def read_codecs(spark: SparkSession, path: str) -> DataFrame:
+    """(file, codec, rows): each Parquet file below ``path`` with the codec of
+    its first column, from its footer; files are looked at in parallel."""
+    import io
+
+    import pyarrow.parquet as pq
+
+    def footers(batches):
+        for batch in batches:
+            for file, content in zip(batch.column(0), batch.column(1), strict=True):
+                meta = pq.ParquetFile(io.BytesIO(content.as_py())).metadata
+                codecs = {meta.row_group(g).column(0).compression for g in range(meta.num_row_groups)}
+                yield pa.RecordBatch.from_arrays([pa.array([file.as_py()]), pa.array([",".join(sorted(codecs))]), pa.array([meta.num_rows], pa.int64())], names=["file", "codec", "rows"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "content").mapInArrow(footers, "file string, codec string, rows long")
+
+
 def _ddl_columns(partition_by: Sequence[str]) -> str:
     fields = [f for f in CHARTS_SCHEMA.fields if f.name not in partition_by] + \
              [f for f in CHARTS_SCHEMA.fields if f.name in partition_by]

@@ -16,9 +16,10 @@ Readers:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,11 +46,32 @@ TSV_OPTIONS = {
 }
 
 
-def write_result_tsv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+def _checksum(df: DataFrame):
+    """A number that depends on all rows and on no order; NULL and ``''`` count
+    alike, as they are written alike."""
+    values = [F.when(F.col(f"`{f.name}`") != "", F.col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.coalesce(F.sum(F.xxhash64(*values).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string")
+
+
+def write_result_tsv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> dict:
     """Write a result set. ``single_file`` is only for result sets of bounded
-    size (top-k answers, per-year rows); others keep their partitions."""
+    size (top-k answers, per-year rows); others keep their partitions. Returns
+    the manifest, ``rows`` and ``checksum`` of what was written: they are
+    observed in the tasks that write, each of which counts once."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).options(**TSV_OPTIONS).csv(path)
+    seen = Observation()
+    out.observe(seen, F.count(F.lit(1)).alias("rows"), _checksum(df).alias("checksum")).write.mode(mode).options(**TSV_OPTIONS).csv(path)
+    try:
+        return {"rows": seen.get["rows"], "checksum": seen.get["checksum"]}
+    except Exception:  # noqa: BLE001 - an empty result whose plan was folded away has nothing to observe
+        return {"rows": 0, "checksum": "0"}
+
+
+def result_facts(results: Mapping[str, DataFrame]) -> DataFrame:
+    """(result, rows, checksum) of results as read back, to hold against their
+    manifests: a truncated or altered file shows."""
+    facts = [df.agg(F.lit(n).alias("result"), F.count(F.lit(1)).alias("rows"), _checksum(df).alias("checksum")) for n, df in results.items()]
+    return reduce(DataFrame.unionAll, facts)
 
 
 def read_result_tsv(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False,
