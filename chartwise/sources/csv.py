@@ -174,7 +174,7 @@ def audit_raw_csv(spark: SparkSession, path: str, first: str | None = None) -> A
     """What the lines below ``path`` are; see ``sources.framing.audit``."""
     first = first or first_data_file(spark, path)
     if first is None:
-        return Audit(0, 0, 0, 0, 0, ())
+        return Audit(0, 0, 0, 0, 0, True, ("",))
     line = spark.read.option("lineSep", "\n").text(first).first()
     return audit(spark, path, (line.value or "").removesuffix("\r") if line else "")
 

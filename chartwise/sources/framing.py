@@ -57,7 +57,7 @@ def leads_to(start: int, value="value", sep: str = ","):
     """Where a line that begins ``OUTSIDE`` or ``INSIDE`` a quoted field ends:
     ``OUTSIDE``, ``INSIDE`` or ``MISFIT``. The line is cut at its quotes; each
     part says what the quote behind it does."""
-    text = F.regexp_replace(F.col(value), "\r$", "")
+    text = bare(value)
     parts = F.split(text, '"', -1)
     state = lambda s: F.lit(s)
 
@@ -90,33 +90,43 @@ class Audit:
     lines: int
     open_lines: int  # that end inside a quoted field
     misfits: int  # that are no record by themselves, these included
-    header_lines: int  # equal to the header of their file
-    headers: tuple[str, ...]  # the different headers
+    header_lines: int  # equal to the given header
+    uniform: bool  # whether every file has that header once
+    headers: tuple[str, ...]  # the headers that files begin with, if not uniform
 
     @property
     def clean(self) -> bool:
         """Whether a reader that takes each line for a record, and skips one
         header per file, is exact."""
-        return not self.misfits and len(self.headers) <= 1 and self.header_lines <= self.files
+        return self.uniform and not self.misfits
+
+
+def bare(value="value"):
+    """A line without the carriage return of its end."""
+    return F.rtrim(F.col(value), F.lit("\r"))
 
 
 def file_headers(lines: DataFrame) -> DataFrame:
     """(file, header): the first line of each file."""
-    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    return first.select("file", F.regexp_replace("header", "\r$", "").alias("header"))
+    return lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by(bare(), "at").alias("header"))
 
 
 def audit(spark: SparkSession, path: str, header: str) -> Audit:
-    """One scan; shuffled are a row per task and a row per file. ``header`` is
-    that of any file: lines equal to it are counted on the way."""
+    """One scan, and one row per file and task shuffled. ``header`` is that of
+    any file; only if another file does not have it, or has it twice, a second
+    scan collects the different headers."""
     lines = scan_lines(spark, path)
-    text, end = F.regexp_replace("value", "\r$", ""), F.col("end")
-    followed = lines.select(text.alias("text"), leads_to(OUTSIDE).alias("end"))
-    found = followed.agg(F.count(F.lit(1)), F.count_if(end == INSIDE), F.count_if(end != OUTSIDE), F.count_if(F.col("text") == F.lit(header))).first()
-    firsts = file_headers(lines).groupBy("header").agg(F.count(F.lit(1)).alias("n")).limit(MAX_HEADERS + 1).collect()
+    followed = lines.select("file", bare().alias("text"), leads_to(OUTSIDE).alias("end"))
+    end = F.col("end")
+    files = followed.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count_if(end == INSIDE).alias("open"), F.count_if(end != OUTSIDE).alias("odd"),
+                                         F.count_if(F.col("text") == F.lit(header)).alias("heads"))
+    found = files.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "open", "odd", "heads")], F.coalesce(F.bool_and(F.col("heads") == 1), F.lit(True))).first()
+    if found[-1]:
+        return Audit(*found, (header,))
+    firsts = [r.header for r in file_headers(lines).select("header").distinct().limit(MAX_HEADERS + 1).collect()]
     if len(firsts) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} different headers below {path}")
-    return Audit(sum(r.n for r in firsts), *found, tuple(sorted(r.header for r in firsts)))
+    return Audit(*found, tuple(sorted(firsts)))
 
 
 def _marks(lines: DataFrame) -> DataFrame:
@@ -164,7 +174,7 @@ def framed_records(spark: SparkSession, path: str, folder_keys: Sequence[str] =
     ``path``, good and bad, headers included, blank lines left out.
     ``any_open=False`` says that an audit found no line that opens a record."""
     lines = scan_lines(spark, path, folder_keys)
-    alone = [F.regexp_replace("value", "\r$", "").alias("record"), (leads_to(OUTSIDE) == OUTSIDE).alias("fits"), *folder_keys]
+    alone = [bare().alias("record"), (leads_to(OUTSIDE) == OUTSIDE).alias("fits"), *folder_keys]
     if not any_open:
         return lines.filter(~is_blank()).select("file", *alone)
     marks = _marks(lines)
@@ -176,6 +186,6 @@ def framed_records(spark: SparkSession, path: str, folder_keys: Sequence[str] =
     placed = placed.withColumn("inside", F.coalesce(F.when(F.col("turn") == 1, F.col("own")).otherwise(F.col("after")), F.lit(False)))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"]), "\n")
     whole = placed.filter("inside").groupBy("file", "rec_block", "rec_k", *folder_keys).agg(text.alias("value")) \
-        .select("file", F.regexp_replace("value", "\r$", "").alias("record"), F.lit(True).alias("fits"), *folder_keys)
+        .select("file", bare().alias("record"), F.lit(True).alias("fits"), *folder_keys)
     rest = plain.select("file", "value", *folder_keys).unionByName(placed.filter(~F.col("inside")).select("file", "value", *folder_keys))
     return rest.filter(~is_blank()).select("file", *alone).unionByName(whole)

@@ -91,7 +91,7 @@ def test_a_quote_never_closed_takes_no_other_record(spark, tmp_dir):
     lines[0] = ROW.format(k=1, url='"http')
     path = put(tmp_dir, "r.csv", "\n".join([HEADER, *lines, ""]))
     found = audit_raw_csv(spark, path)
-    assert (found.files, found.lines, found.open_lines, found.misfits, found.header_lines) == (1, 8, 1, 1, 1)
+    assert (found.files, found.lines, found.open_lines, found.misfits, found.header_lines, found.uniform) == (1, 8, 1, 1, 1, True)
     for multi_line in (True, False):
         kept = read_raw_csv(spark, path, multi_line=multi_line, bad_records="keep").collect()
         assert sorted(r.title for r in kept if r[BAD_RECORD] is None) == [f"t{k}" for k in range(2, 8)]
