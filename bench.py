@@ -95,7 +95,7 @@ def stages(spark, raw_csv: str, times: dict) -> int:
     db = "bench_" + work.rsplit("-", 1)[-1]
     charts = timed("register_table", lambda: register_table(spark, clean_dir, db, "charts"))
     answers = {"q1_cross_market": (cross_market_hits(charts, known_markets=[m.code for m in CFG.markets]), Q1_SCHEMA),
-               "q2_longevity": (chart_longevity(charts), Q2_SCHEMA),
+               "q2_longevity": (chart_longevity(charts, known_years=(CFG.year_from, CFG.year_to)), Q2_SCHEMA),
                "q3_yearly_leader": (yearly_leader(charts, CFG.leader_region), Q3_SCHEMA)}
     result_dirs = {}
     for name, (df, _) in answers.items():  # compute each answer and write its result file

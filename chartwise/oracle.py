@@ -173,6 +173,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{g}' AS gate, CAST(COUNT(*) AS BIGINT) AS rows FROM {src}"
         for g, src in (("ingest", "ingested"), ("table", "charts"), ("result_q1", "q1"), ("result_q2", "q2"),
                        ("result_q3", "q3")))
+    grown = "grown AS (SELECT * FROM charts WHERE day(date) % 2 = 1 OR month(date) % 2 = 0)"
     all_typed = (*BASE, typed("all_typed", "raw_charts"), complete("all_complete", "all_typed"),
                  valid("all_valid", "all_complete"))
     return {
@@ -199,6 +200,13 @@ FROM documents""",
         "empty_region": with_(*all_typed) + "SELECT * FROM all_valid WHERE rank % 10 <> 4",
         "q1_unlisted_markets": with_(*all_typed, Q1.replace("FROM charts", "FROM all_valid")) + "SELECT * FROM q1",
         "parquet_codec": with_(*CH) + "SELECT 'SNAPPY' AS codec, count(*)::BIGINT AS rows FROM charts",
+        "summary_rows": with_(*CH) + """SELECT region, title, artist, strftime(date, '%Y-%m') AS month, count(*)::BIGINT AS appearances,
+  sum(DISTINCT 1::BIGINT << day(date))::BIGINT AS days, min(rank)::INTEGER AS best_rank, sum(streams)::BIGINT AS streams
+FROM charts WHERE day(date) % 2 = 1 OR month(date) % 2 = 0 GROUP BY ALL""",
+        "summary_q1": with_(*CH, grown, Q1.replace("FROM charts", "FROM grown")) + "SELECT * FROM q1",
+        "summary_q2": with_(*CH, grown, Q2.replace("FROM charts", "FROM grown")) + "SELECT * FROM q2",
+        "summary_q3": with_(*CH, grown, SONG_YEAR.replace("FROM charts", "FROM grown"), Q3) + "SELECT * FROM q3",
+        "q2_day_sets": with_(*CH, Q2) + "SELECT * FROM q2",
         "rerun_changed_params": with_(*CH, Q2) + "SELECT * FROM q2",
         "q1_open_markets": with_(*CH, Q1) + "SELECT * FROM q1",
         "result_roundtrip": with_(*CH, Q1) + """SELECT CASE WHEN total_appearances % 5 <> 0 THEN title END AS title,

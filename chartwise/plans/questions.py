@@ -8,9 +8,11 @@ Scale notes
   * All aggregates are algebraic, so each shuffle carries partial results
     (one row per key per task), never raw rows: a song or market holding a
     third of the input costs no more shuffle than any other key.
-  * Distinct counts are two-level group-bys (key+value, then key), the
-    shape Spark uses for a single distinct aggregate, written out so that
-    both levels carry their other aggregates along.
+  * Distinct counts are sets of bits where the values are known beforehand
+    (markets, days of known years), merged in one exchange; otherwise two-level
+    group-bys (key+value, then key), the shape Spark uses for a single
+    distinct aggregate, written out so that both levels carry their other
+    aggregates along.
   * Per-group top-k is a WindowGroupLimit (k rows per task and group before
     the shuffle); global top-k is TakeOrderedAndProject.
 """
@@ -18,8 +20,9 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartwise.operators.topk import top_k, top_k_per_group
@@ -53,10 +56,44 @@ def cross_market_hits(charts: DataFrame, min_markets: int = 3, k: int = 30,
     return top_k(hits, [F.desc("num_countries"), F.desc("total_appearances"), *[F.asc(c) for c in song]], k)
 
 
+#: Days of a year that one BIGINT holds as bits, and years up to which a song's days are kept so.
+DAYS_A_WORD, MOST_YEARS = 61, 20
+
+
+def day_words(years: tuple[int, int], date: str = "date") -> dict[str, Column]:
+    """The set of days of a group of rows as aggregates: for each year six
+    BIGINTs of up to 61 days each. Such sets merge by OR, and being of fixed size
+    they do so in the tasks that read the rows."""
+    day, bit = F.dayofyear(date) - 1, F.lit(1).cast("bigint")
+    word = F.floor(day / DAYS_A_WORD).cast("int")
+    mask = F.when(F.col(date).isNotNull(), F.call_function("shiftleft", bit, (day % DAYS_A_WORD).cast("int")))
+    return {f"days_{y}_{w}": F.bit_or(F.when((F.year(date) == y) & (word == w), mask).otherwise(F.lit(0).cast("bigint")))
+            for y in range(years[0], years[1] + 1) for w in range(-(-366 // DAYS_A_WORD))}
+
+
+def _all_days_known(known_years: tuple[int, int] | None) -> bool:
+    return known_years is not None and known_years[1] - known_years[0] < MOST_YEARS
+
+
 def chart_longevity(charts: DataFrame, k: int = 5, market: str = "region",
-                    song: Sequence[str] = SONG) -> DataFrame:
+                    song: Sequence[str] = SONG, known_years: tuple[int, int] | None = None) -> DataFrame:
     """Per market, the ``k`` songs with the most distinct chart days, with
-    their best (lowest) rank."""
+    their best (lowest) rank.
+
+    If all dates are known to lie in ``known_years`` (inclusive, at most
+    ``MOST_YEARS``), a song's days are bits of a few numbers, and one exchange of
+    a row per song and task does: nearly every day of a song is a row of its
+    own, so an exchange by song and day would move the whole table. Other dates
+    end the query. Without known years days are counted in two steps."""
+    if _all_days_known(known_years):
+        words = day_words(known_years)
+        outside = F.max(F.when(F.col("date").isNotNull() & ~F.year("date").between(*known_years),
+                               F.raise_error(F.concat(F.lit("date out of the known years: "), F.col("date").cast("string"))).cast("int")))
+        sets = charts.groupBy(market, *song).agg(*[e.alias(n) for n, e in words.items()], F.min("rank").alias("best_rank"), outside.alias("outside"))
+        days = reduce(lambda a, b: a + b, [F.bit_count(n) for n in words]).cast("bigint")
+        songs = sets.filter(F.col("outside").isNull()).select(market, *song, days.alias("days_on_chart"), "best_rank")
+        top = top_k_per_group(songs, [market], [F.desc("days_on_chart"), *[F.asc(c) for c in song]], k)
+        return top.orderBy(market, F.desc("days_on_chart"), *song)
     per_day = charts.groupBy(market, *song, "date").agg(F.min("rank").alias("day_best"))
     songs = per_day.groupBy(market, *song).agg(
         F.count("date").alias("days_on_chart"),  # non-NULL dates = COUNT(DISTINCT date)

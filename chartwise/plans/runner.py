@@ -51,13 +51,15 @@ class RunResult:
 
 
 def answers_of(charts: DataFrame, cfg: IngestConfig, min_markets: int = 3, k_hits: int = 30, k_longevity: int = 5) -> dict[str, DataFrame]:
-    """The three answers. Q1 has a shorter way if no other market than those
-    of ``cfg`` is there; charts partitioned by market show that by their folders."""
-    codes = [m.code for m in cfg.markets]
+    """The three answers. Q1 and Q2 have shorter ways if no other markets and
+    years than those of ``cfg`` are there; charts partitioned by market and year
+    show that by their folders, without a look into files."""
+    codes, years = [m.code for m in cfg.markets], (cfg.year_from, cfg.year_to)
     listed = charts.filter(F.col("region").isNotNull() & ~F.col("region").isin(codes)).isEmpty()
+    dated = charts.filter(~F.coalesce(F.col("year").between(*years), F.lit(False))).isEmpty()
     return {
         "q1": cross_market_hits(charts, min_markets, k_hits, known_markets=codes if listed else None),
-        "q2": chart_longevity(charts, k_longevity),
+        "q2": chart_longevity(charts, k_longevity, known_years=years if dated else None),
         "q3": yearly_leader(charts, cfg.leader_region),
     }
 

@@ -24,6 +24,7 @@ from chartwise.operators import summaries as U
 from chartwise.operators.quality import quality_report
 from chartwise.plans import questions as Q
 from chartwise.plans import series as S
+from chartwise.plans import summary
 from chartwise.plans.runner import answers_of, run_job
 from chartwise.schema import Q1_SCHEMA, Q2_SCHEMA, Q3_SCHEMA, RAW_COLUMNS
 from chartwise.session import scratch_path
@@ -65,6 +66,10 @@ def _q2(spark, sf):
     return Q.chart_longevity(_charts(spark, sf), 5)
 
 
+def _q2_days(spark, sf):
+    return Q.chart_longevity(_charts(spark, sf), 5, known_years=(CFG.year_from, CFG.year_to))
+
+
 def _q3(spark, sf):
     return Q.yearly_leader(_charts(spark, sf), CFG.leader_region)
 
@@ -267,6 +272,22 @@ def q1_unlisted_markets(spark, sf):
     return answers_of(C.clean(_raw(spark, sf), CFG.markets, CFG.max_rank), CFG)["q1"]
 
 
+def _kept_up(spark, sf):
+    """Partials made from the rows of odd days, then brought up to date for
+    the months that the other rows, of even months alone, are in; odd months
+    keep what they had, so their even days never come."""
+    charts = _charts(spark, sf)
+    even_month, even_day = F.month("date") % 2 == 0, F.dayofmonth("date") % 2 == 0
+    at, first = scratch_path(spark, "charts-growing"), charts.filter(~even_day)
+    catalog.write_charts(first, at)
+    path = scratch_path(spark, "summary")
+    summary.update(catalog.read_charts(spark, at), path)
+    new = charts.filter(even_day & even_month)
+    catalog.write_charts(new, at, mode="append")
+    summary.update(catalog.read_charts(spark, at), path, summary.months_in(new))
+    return summary.read_summary(spark, path)
+
+
 def parquet_codec(spark, sf):
     """Codec and rows of the written column chunks, from the files' footers."""
     path = scratch_path(spark, "charts-codec")
@@ -350,6 +371,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "empty_region": empty_region,
         "q1_unlisted_markets": q1_unlisted_markets,
         "parquet_codec": parquet_codec,
+        "summary_rows": _kept_up,
+        "summary_q1": lambda s, sf: summary.cross_market_hits(_kept_up(s, sf), 3, 30),
+        "summary_q2": lambda s, sf: summary.chart_longevity(_kept_up(s, sf), 5),
+        "summary_q3": lambda s, sf: summary.yearly_leader(_kept_up(s, sf), CFG.leader_region),
         "split_counts": split_counts,
         "parquet_roundtrip": parquet_roundtrip,
         "table_roundtrip": table_roundtrip,
@@ -384,6 +409,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "yearly_totals": lambda s, sf: Q.yearly_totals(_charts(s, sf), CFG.leader_region),
         "q1_cross_market": _q1,
         "q2_longevity": _q2,
+        "q2_day_sets": _q2_days,
         "q3_yearly_leader": _q3,
         "q3_yearly_leader_join": lambda s, sf: Q.yearly_leader_join(_charts(s, sf), CFG.leader_region),
         "q1_open_markets": lambda s, sf: Q.cross_market_hits(_charts(s, sf), 3, 30),
