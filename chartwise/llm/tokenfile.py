@@ -42,6 +42,13 @@ NO_ID = np.iinfo(np.int64).min
 _CACHED_CHARS = 64
 
 
+class Short(Recent):
+    """A cache that keeps only what short texts give."""
+
+    def __missing__(self, key: str):
+        return super().__missing__(key) if len(key) <= _CACHED_CHARS else self.make(key)
+
+
 def chunk_encoder(spec: str, dtype: str):
     """The function text -> ids as bytes, for a byte-level BPE tokenizer file
     with the usual pattern and no normaliser."""
@@ -72,14 +79,37 @@ def chunk_encoder(spec: str, dtype: str):
             return piece(text) if len(parts) == 1 else b"".join([known[p] for p in parts])
         return np.array(whole.encode(text, add_special_tokens=False).ids, dtype).tobytes()
 
-    cache = Recent(chunk, 300_000)
+    space = to_char[0x20]
+
+    def letters_only(word: str, front: str) -> bytes | None:
+        """Most words: one piece, whose letters stand for themselves."""
+        if word.isascii() and word.isalpha() and len(word) <= _CACHED_CHARS:
+            return np.array([t.id for t in model.tokenize(front + word)], dtype).tobytes()
+        return None
+
+    cache = Short(lambda text: letters_only(text, "") or chunk(text), 100_000)
+    spaced = Short(lambda word: letters_only(word, space) or chunk(f" {word}"), 600_000)
     safe = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}]+")
+    other_white = re.compile("[" + "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c) and c not in " \n") + "\x1c-\x1f]")
     added = [t["content"] for t in parsed["added_tokens"]]
 
+    def uneven(text: str) -> bool:
+        """White space other than single spaces, or up to two line feeds, between words."""
+        return any(x in text for x in ("  ", " \n", "\n ", "\n\n\n")) or not text or text[0] in " \n" or text[-1] in " \n" or bool(other_white.search(text))
+
+    feed = cache["\n"]
+
     def encode(text: str) -> bytes:
         if any(a in text for a in added):  # the library cuts these out first
             return np.array(whole.encode(text, add_special_tokens=False).ids, dtype).tobytes()
-        return b"".join([cache[c] if len(c) <= _CACHED_CHARS else chunk(c) for c in safe.findall(text)])
+        if uneven(text):
+            return b"".join([cache[c] for c in safe.findall(text)])
+        # every line is a word and words behind a space each
+        lines = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            lines.append(cache[words[0]] + b"".join(map(spaced.__getitem__, words[1:])) if line else b"")
+        return feed.join(lines)
 
     return encode
 
@@ -125,7 +155,8 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, id_col: str
                 f.write(np.array(values, kind).tobytes())
         return to_batches([(part, name, len(ids), offsets[-1])], schema)
 
-    placed = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id are parted by how their texts begin
+    placed = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     files = materialise(placed.mapInArrow(run, "part int, file string, n_docs long, n_ids long"), "token-manifest")
     # a row for each file: small at any input size
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
