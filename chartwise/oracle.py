@@ -206,6 +206,8 @@ FROM charts WHERE day(date) % 2 = 1 OR month(date) % 2 = 0 GROUP BY ALL""",
         "summary_q1": with_(*CH, grown, Q1.replace("FROM charts", "FROM grown")) + "SELECT * FROM q1",
         "summary_q2": with_(*CH, grown, Q2.replace("FROM charts", "FROM grown")) + "SELECT * FROM q2",
         "summary_q3": with_(*CH, grown, SONG_YEAR.replace("FROM charts", "FROM grown"), Q3) + "SELECT * FROM q3",
+        "stream_segments": with_(*CH) + "SELECT * FROM charts",
+        "stream_ledger": with_(*BASE) + reasons("SELECT *, false AS bad FROM raw_charts") + "SELECT reason, count(*)::BIGINT AS rows FROM judged GROUP BY reason",
         "q2_day_sets": with_(*CH, Q2) + "SELECT * FROM q2",
         "rerun_changed_params": with_(*CH, Q2) + "SELECT * FROM q2",
         "q1_open_markets": with_(*CH, Q1) + "SELECT * FROM q1",

@@ -31,6 +31,9 @@ from chartwise.sources.catalog import read_charts, register_table, write_charts
 from chartwise.sources.csv import BAD_RECORD, is_good, read_raw_csv, write_split_csv
 from chartwise.sources.results import read_result_tsv, result_facts, write_result_tsv
 
+#: Rows of a (market, year) beyond which several tasks write it.
+CUT_ROWS = 2_000_000
+
 RESULT_SCHEMAS = {"q1": Q1_SCHEMA, "q2": Q2_SCHEMA, "q3": Q3_SCHEMA}
 
 
@@ -140,7 +143,8 @@ def run_job(spark: SparkSession, raw, workdir: str, cfg: IngestConfig,
         if not metrics["clean_rows"]:
             raise GateError("clean: no row was complete and in range")
         before, clean_dir = clean_dir, f"{base}/clean/{uuid.uuid4().hex[:12]}"
-        write_charts(clean(sift.kept(sifted), cfg.markets, cfg.max_rank), clean_dir)
+        # only where there are rows enough for a hot folder
+        write_charts(clean(sift.kept(sifted), cfg.markets, cfg.max_rank), clean_dir, cut_rows=CUT_ROWS if metrics["clean_rows"] > CUT_ROWS else None)
         written = read_charts(spark, clean_dir).count()
         if written != metrics["clean_rows"]:
             raise GateError(f"clean: {written} rows were written of {metrics['clean_rows']}")

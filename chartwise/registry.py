@@ -32,6 +32,7 @@ from chartwise.sources import catalog, csv, results
 from chartwise.sources.fixtures import FIXTURE_CONFIG as CFG
 from chartwise.sources.fixtures import raw_charts, table
 from chartwise.streaming.incremental import run_clean_stream, run_ingest_clean_streams
+from chartwise.streaming.segments import clean_charts, run_segment_stream
 
 # Series parameters sized for fixture totals (thousands of streams per year)
 # so that both sides of the bar-height rule are exercised.
@@ -220,6 +221,22 @@ def stream_ingest_clean(spark, sf):
     return catalog.read_charts(spark, out)
 
 
+def _segments(spark, sf):
+    """Raw CSV in eight files or more, taken in by batches of two."""
+    landing = scratch_path(spark, "segment-raw")
+    csv.write_raw_csv(_raw(spark, sf).repartition(8, "url"), landing)
+    return run_segment_stream(spark, landing, scratch_path(spark, "segments"), scratch_path(spark, "segment-ckpt"), CFG, max_files_per_batch=2, fan=2)
+
+
+def stream_segments(spark, sf):
+    return clean_charts(_segments(spark, sf), CFG)
+
+
+def stream_ledger(spark, sf):
+    """The ledger of a stream's batches as rows: a bounded few."""
+    return spark.createDataFrame(sorted(_segments(spark, sf).counts().items()), "reason string, rows long")
+
+
 def quality_gates(spark, sf):
     """Gates over one materialised run: the ingest output and the clean table
     are written once to the shared folder; the three answers are computed
@@ -382,6 +399,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "noise_lines": noise_lines,
         "stream_clean": stream_clean,
         "stream_ingest_clean": stream_ingest_clean,
+        "stream_segments": stream_segments,
+        "stream_ledger": stream_ledger,
         # projections and scalar functions
         "normalize_columns": normalize_columns,
         "preview": preview,

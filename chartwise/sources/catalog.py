@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartwise.schema import CHART_COLUMNS, CHART_COMMENTS, CHARTS_SCHEMA
@@ -13,9 +14,39 @@ from chartwise.schema import CHART_COLUMNS, CHART_COMMENTS, CHARTS_SCHEMA
 DEFAULT_PARTITIONS = ("region", "year")
 
 
+#: Equal shares that a sketch cuts a hot folder's rows into, and the most folders that are cut.
+SHARES, MOST_HOT = 64, 10_000
+
+
+def hot_folders(df: DataFrame, partition_by: Sequence[str], cut_rows: int) -> DataFrame:
+    """(keys, pieces, cuts): the folders that will hold more than ``cut_rows``
+    rows, into how many pieces of about so many they go, and the places (by date
+    and rank) that cut their rows into ``SHARES`` equal shares, by a quantile
+    sketch. At most ``MOST_HOT`` folders: if need be ``cut_rows`` grows."""
+    per = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(_place(), [k / SHARES for k in range(1, SHARES)], 100 * SHARES).alias("cuts"))
+    total = Window.partitionBy(F.lit(1))  # over one row per folder
+    least = F.greatest(F.lit(cut_rows), F.floor(F.sum("n").over(total) / MOST_HOT))
+    return per.withColumn("least", least).filter(F.col("n") > F.col("least")) \
+        .select(*partition_by, F.least(F.ceil(F.col("n") / F.col("least")), F.lit(SHARES)).cast("int").alias("pieces"), "cuts")
+
+
+def _place():
+    return F.coalesce(F.unix_date("date"), F.lit(0)).cast("bigint") * 100_000 + F.coalesce("rank", F.lit(0))
+
+
+def _pieces(df: DataFrame, partition_by: Sequence[str], cut_rows: int) -> DataFrame:
+    """``df`` with the piece of its folder that each row goes to: 0, or by its
+    place among the cuts of a hot folder."""
+    hot = hot_folders(df, partition_by, cut_rows).withColumnsRenamed({k: f"_hot_{k}" for k in partition_by})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in partition_by])
+    share = F.size(F.filter("cuts", lambda c: c < _place()))
+    piece = F.coalesce(F.floor(share * F.col("pieces") / SHARES).cast("int"), F.lit(0))
+    return df.join(F.broadcast(hot), same, "left").select(*df.columns, piece.alias("_piece"))  # hot: at most MOST_HOT rows
+
+
 def write_charts(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT_PARTITIONS,
                  mode: str = "overwrite", compression: str = "snappy",
-                 observation: Observation | None = None) -> None:
+                 observation: Observation | None = None, cut_rows: int | None = None) -> None:
     """Write clean charts as Parquet, partitioned by market and year.
 
     Partition folders let a one-market question read one market only.
@@ -27,9 +58,16 @@ def write_charts(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
     ordered by date, which tightens Parquet min/max statistics for date
     predicates, and the sort already satisfies the writer's own ordering on
     the partition keys. ``observation`` counts written rows once.
+
+    AQE can split such a partition only between the outputs of map tasks: an
+    input read by a few tasks (compressed files) leaves a hot folder to as few.
+    ``cut_rows`` cuts folders of more rows by date into pieces of about so many,
+    each a key of its own, for one more scan of the folder keys, date and rank.
     """
     out = df
-    if partition_by:
+    if partition_by and cut_rows:
+        out = _pieces(df, partition_by, cut_rows).hint("rebalance", *partition_by, "_piece").sortWithinPartitions(*partition_by, "date", "rank").drop("_piece")
+    elif partition_by:
         out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, "date", "rank")
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))

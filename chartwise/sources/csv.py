@@ -70,12 +70,14 @@ def _names(columns):
     return reduce(lambda x, y: x & y, [c.isNull() | (F.length(c) >= 0) for c in text])
 
 
-def first_data_file(spark: SparkSession, path: str) -> str | None:
+def first_data_file(spark: SparkSession, path: str | list[str]) -> str | None:
     """The first data file under ``path`` (a file, a folder or a glob pattern;
     hidden and ``_``-prefixed entries skipped), found with a lazy Hadoop listing that stops at the first hit
     instead of listing the whole tree. Without JVM access (Spark Connect)
     the folder itself is returned and Spark reads the header from its
     first file."""
+    if not isinstance(path, str):
+        return path[0] if path else None
     try:
         jvm = spark.sparkContext._jvm
     except Exception:  # noqa: BLE001 - no driver JVM handle in this client
@@ -105,9 +107,10 @@ def raw_header(spark: SparkSession, data_file: str) -> list[str]:
     return spark.read.options(header="true", sep=",", quote='"', escape='"').csv(data_file).columns
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: bool = False,
+def read_raw_csv(spark: SparkSession, path: str | list[str], schema=RAW_SCHEMA, streaming: bool = False,
                  multi_line: bool | None = None, by_name: bool = True, bad_records: str = "drop", audited: bool = True, **options) -> DataFrame:
-    """A file or a directory of raw chart CSVs (partition folders included).
+    """A file, a list of files or a directory of raw chart CSVs (partition
+    folders included).
 
     Columns are matched by header name (after the column-name rule: strip,
     lower-case, blanks to underscores), so files listing the same columns in
@@ -170,7 +173,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA, streaming: b
     return judged(df, [F.col("`" + by_norm[c].replace("`", "``") + "`").alias(c) for c in wanted])
 
 
-def audit_raw_csv(spark: SparkSession, path: str, first: str | None = None) -> Audit:
+def audit_raw_csv(spark: SparkSession, path: str | list[str], first: str | None = None) -> Audit:
     """What the lines below ``path`` are; see ``sources.framing.audit``."""
     first = first or first_data_file(spark, path)
     if first is None:
@@ -179,7 +182,7 @@ def audit_raw_csv(spark: SparkSession, path: str, first: str | None = None) -> A
     return audit(spark, path, (line.value or "").removesuffix("\r") if line else "")
 
 
-def _framed(spark: SparkSession, path: str, schema, found: Audit, first: str, bad_records: str, multi_line: bool) -> DataFrame:
+def _framed(spark: SparkSession, path: str | list[str], schema, found: Audit, first: str, bad_records: str, multi_line: bool) -> DataFrame:
     """The records that ``framing`` finds, each parsed by its file's header."""
     wanted = [f.name for f in schema.fields]
     headers = {h: [normalize_name(x) for x in next(csv.reader([h]), [])] for h in found.headers}

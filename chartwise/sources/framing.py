@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 MAX_HEADERS = 1000
 
 
-def scan_lines(spark: SparkSession, path: str, folder_keys: Sequence[str] = ()) -> DataFrame:
+def scan_lines(spark: SparkSession, path: str | list[str], folder_keys: Sequence[str] = ()) -> DataFrame:
     """(file, block, at, value, folder keys): every line with the split it
     lies in and a number that grows within the split. A carriage return before
     the line feed stays."""
@@ -111,7 +111,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by(bare(), "at").alias("header"))
 
 
-def audit(spark: SparkSession, path: str, header: str) -> Audit:
+def audit(spark: SparkSession, path: str | list[str], header: str) -> Audit:
     """One scan, and one row per file and task shuffled. ``header`` is that of
     any file; only if another file does not have it, or has it twice, a second
     scan collects the different headers."""
@@ -169,7 +169,7 @@ def _marks(lines: DataFrame) -> DataFrame:
     return marks.drop("before").unionByName(carried)
 
 
-def framed_records(spark: SparkSession, path: str, folder_keys: Sequence[str] = (), any_open: bool = True) -> DataFrame:
+def framed_records(spark: SparkSession, path: str | list[str], folder_keys: Sequence[str] = (), any_open: bool = True) -> DataFrame:
     """(file, record, fits, folder keys): the text of every record below
     ``path``, good and bad, headers included, blank lines left out.
     ``any_open=False`` says that an audit found no line that opens a record."""

@@ -37,3 +37,31 @@ def test_hot_market_is_split_across_tasks(spark):
     files = [f for f in os.listdir(hot_dir) if f.startswith("part-")]
     assert len(files) > 2  # the hot folder was written by several tasks
     assert read_charts(spark, path).count() == skewed.count()
+
+
+def test_a_hot_market_from_one_map_task_is_cut(spark, tmp_dir, monkeypatch):
+    """A gzip file is one task; its hot market is written by several all the same."""
+    import gzip
+
+    from chartwise.plans import runner
+    from chartwise.schema import IngestConfig
+    raw = os.path.join(tmp_dir, "raw.csv.gz")
+    with gzip.open(raw, "wt") as f:
+        f.write("date,region,chart,trend,rank,title,artist,streams,url\n")
+        for k in range(20_000):
+            market = "Japan" if k % 10 else "Taiwan"
+            f.write(f"2018-{k % 12 + 1:02d}-{k % 28 + 1:02d},{market},top200,x,{k % 200 + 1},song {k * 7919 % 10007},artist {k * 104729 % 9973},{k + 1},https://example.com/{k * 15485863 % 99991}\n")
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    monkeypatch.setattr(runner, "CUT_ROWS", 3000)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        res = runner.run_job(spark, raw, scratch_path(spark, "gz"), IngestConfig(), db="t_gz", min_markets=1)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert res.metrics["clean_rows"] == 20_000 == res.charts.count()
+    files = res.charts.filter("region = 'JP'").select(F.input_file_name().alias("f"), "date").groupBy("f").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).orderBy("lo").collect()
+    assert len(files) >= 4
+    assert sum(a.hi > b.lo for a, b in zip(files[:-1], files[1:], strict=True)) <= 1  # cut by date
