@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from chartwise.llm.common import Recent, batch_rows, id_and_text, to_batches
 
 SAMPLES = 64
+#: Text of a bucket of neighbouring ids, if the shuffle has fewer partitions than that takes.
+BUCKET_BYTES = 32 << 20
 _BITS = 16
 _SLICE = 512
 
@@ -61,19 +63,33 @@ def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x
 
 
-def weighted_terms(text: str | None, hashes: dict[str, int], pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def weighted(words: np.ndarray, pairs: bool) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of the terms, words and with ``pairs`` neighbouring ones too, in
-    rising order, their counts)."""
-    words = np.array([hashes[w] for w in (text or "").lower().split()], np.uint64)
-    terms = np.concatenate([words, _pair_hashes(words[:-1], words[1:])]) if pairs else words
-    return np.unique(terms, return_counts=True)
+    rising order, their counts), from the words' hashes."""
+    return np.unique(np.concatenate([words, _pair_hashes(words[:-1], words[1:])]) if pairs else words, return_counts=True)
+
+
+def _parted(a: tuple, b: tuple) -> list[tuple]:
+    """Weighted terms that two sets share, weights included, those of the
+    first alone, and those of the second alone."""
+    if not len(a[0]) or not len(b[0]):
+        return [tuple(x[:0] for x in a), a, b]
+    at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+    same = (a[0][at] == b[0]) & (a[1][at] == b[1])
+    left = np.ones(len(a[0]), bool)
+    left[at[same]] = False
+    return [tuple(x[same] for x in b), tuple(x[left] for x in a), tuple(x[~same] for x in b)]
 
 
 def sampler(samples: int | None = None, pairs: bool | None = None) -> Callable[..., tuple[np.ndarray | None, ...]]:
     """The function (text, ...) -> for each text its samples as 16-bit integers
     (None: no terms). Terms are words, with ``pairs`` neighbouring ones too; without
-    arguments it is the operator's own, ``SAMPLES`` samples of both. What a term draws is worked out once for all texts of a
-    call, so a text and its edited version cost little more than one."""
+    arguments it is the operator's own, ``SAMPLES`` samples of both. Two texts
+    are sampled together: what they share is drawn and searched once, so a text
+    and its edited version cost little more than one.
+
+    Its attribute ``hashed`` gives the hashes of a text's words, and ``of_words``
+    the samples of one or two texts from such hashes."""
     pairs = samples is None if pairs is None else pairs
     samples = samples or SAMPLES
     g = gamma_quantiles()
@@ -110,45 +126,59 @@ def sampler(samples: int | None = None, pairs: bool | None = None) -> Callable[.
         b *= np.float32(2.0 ** -32)
         return r, c, b
 
-    def smallest(terms, counts, r, c, b):
-        """Smallest ln a, its term's hash and its t, for each sample."""
-        a = spare[-1][:samples * len(terms)].reshape(samples, -1)
-        np.subtract(b, np.float32(1), out=a)  # for a weight of 1, t is 0
-        more = np.flatnonzero(counts > 1)
-        t = np.floor(np.log(counts[more]).astype(np.float32) / r[:, more] + b[:, more])
-        a[:, more] -= t
-        a *= r
-        a += c  # ln c - r (t - b + 1)
-        a[:, counts == 0] = np.inf
-        at = a.argmin(axis=1)
-        t_at = np.zeros(samples, np.int64)
-        if len(more):
-            where = np.minimum(np.searchsorted(more, at), len(more) - 1)
-            repeated = more[where] == at
-            t_at[repeated] = t[every[repeated], where[repeated]]
-        return a[every, at], terms[at], t_at
-
-    def sample(*texts: str | None) -> tuple[np.ndarray | None, ...]:
-        own = [weighted_terms(t, hashes, pairs) for t in texts]
-        union = own[0][0] if len(own) == 1 else np.unique(np.concatenate([o[0] for o in own]))
-        counts = np.zeros((len(own), len(union)), np.int64)
-        for k, (terms, n) in enumerate(own):
-            counts[k, np.searchsorted(union, terms)] = n
-        best: list = [None] * len(own)
-        for at in range(0, len(union), _SLICE):
-            terms = union[at:at + _SLICE]
-            drawn = draws(terms)
-            for k in range(len(own)):
-                some = counts[k, at:at + _SLICE]
-                if not some.any():
+    def smallest(groups: list[tuple]) -> list[tuple | None]:
+        """Of each group of (terms, counts), for each sample: the smallest ln a,
+        its term's hash and its t. Equal ones go by term."""
+        terms, counts = (np.concatenate(x) for x in zip(*groups, strict=True))
+        edges = np.cumsum([0, *(len(x[0]) for x in groups)]).tolist()
+        best: list = [None] * len(groups)
+        for at in range(0, len(terms), _SLICE):
+            some, weights = terms[at:at + _SLICE], counts[at:at + _SLICE]
+            r, c, b = draws(some)
+            a = spare[-1][:samples * len(some)].reshape(samples, -1)
+            np.subtract(b, np.float32(1), out=a)  # for a weight of 1, t is 0
+            more = np.flatnonzero(weights > 1)
+            place = np.full(len(some), -1)
+            place[more] = np.arange(len(more))
+            t = np.floor(np.log(weights[more]).astype(np.float32) / r[:, more] + b[:, more])
+            a[:, more] -= t
+            a *= r
+            a += c  # ln c - r (t - b + 1)
+            for k in range(len(groups)):
+                lo, hi = max(edges[k] - at, 0), min(edges[k + 1] - at, len(some))
+                if lo >= hi:
                     continue
-                got = smallest(terms, some, *drawn)
-                if best[k] is not None:
-                    less = got[0] < best[k][0]
-                    got = tuple(np.where(less, n, o) for n, o in zip(got, best[k], strict=True))
-                best[k] = got
+                found = a[:, lo:hi].argmin(axis=1) + lo
+                t_found = np.zeros(samples, np.int64)
+                if len(more):
+                    where = place[found]
+                    t_found = np.where(where >= 0, t[every, where], 0).astype(np.int64)
+                best[k] = lesser(best[k], (a[every, found], some[found], t_found))
+        return best
+
+    def lesser(one: tuple | None, other: tuple | None) -> tuple | None:
+        if one is None or other is None:
+            return other if one is None else one
+        less = (other[0] < one[0]) | ((other[0] == one[0]) & (other[1] < one[1]))
+        return tuple(np.where(less, n, o) for n, o in zip(other, one, strict=True))
+
+    def hashed(text: str | None) -> np.ndarray:
+        words = (text or "").lower().split()
+        return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+    def of_words(*words: np.ndarray) -> tuple[np.ndarray | None, ...]:
+        own = [weighted(w, pairs) for w in words]
+        if len(own) == 2:
+            both, *alone = smallest(_parted(*own))
+            best = [lesser(both, x) for x in alone]
+        else:
+            best = [smallest([x])[0] for x in own]
         return tuple(_digest(*b[1:]) if b else None for b in best)
 
+    def sample(*texts: str | None) -> tuple[np.ndarray | None, ...]:
+        return of_words(*map(hashed, texts))
+
+    sample.hashed, sample.of_words = hashed, of_words
     return sample
 
 
@@ -187,6 +217,19 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+def edited_words(text: str, own: np.ndarray, following: str, after: np.ndarray, hashed: Callable[[str], np.ndarray]) -> np.ndarray:
+    """Hashes of the words of ``edited(text, following)``, from those of both:
+    only words at the ends of the two parts are other ones."""
+    n = len(text) // 3
+    front, back = text[:len(text) - n], following[:n]
+    p, q = front.split(), back.split()
+    if not p or not q:
+        return np.concatenate([own[:max(0, len(p) - 1)], hashed(" ".join(p[-1:])), after[:max(0, len(q) - 1)], hashed(" ".join(q[-1:]))])
+    if front[-1].isspace() or back[0].isspace():
+        return np.concatenate([own[:len(p) - 1], hashed(p[-1]), after[:len(q) - 1], hashed(q[-1])])
+    return np.concatenate([own[:len(p) - 1], hashed(p[-1] + q[0]), after[1:len(q) - 1], hashed(q[-1]) if len(q) > 1 else after[:0]])
+
+
 def _follow(docs: DataFrame) -> DataFrame:
     """(bucket, doc_id, text, own): documents in buckets of neighbouring ids,
     each bucket also holding (own = false) the first document of the next
@@ -194,7 +237,8 @@ def _follow(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.withColumn("rank_id", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
     ids = docs.select("rank_id")  # column pruning: no text is read for this
-    n = 4 * max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(4 * max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-size // BUCKET_BYTES))
     found = ids.agg(F.percentile_approx("rank_id", [k / n for k in range(1, n)], 100 * n)).first()[0]
     cuts = np.unique(np.array(found or [], np.int64))
 
@@ -233,9 +277,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         sample = sampler(samples, pairs=True)
 
         def result(one: tuple, following: tuple):
-            _, doc, text = one
+            _, doc, text, words = one
             new = edited(text, following[2])
-            own, changed = sample(text, new)
+            own, changed = sample.of_words(words, edited_words(text, words, following[2], following[3], sample.hashed))
             return own, (doc, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), to_text(own), to_text(changed),
                     likeness(own, changed))
 
@@ -247,14 +291,14 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             for bucket, own, doc, text in batch_rows(batches):
                 if bucket == done:
                     continue  # further rows of the lookahead's id
-                now = (bucket, doc, text or "")
+                now = (bucket, doc, text or "", sample.hashed(text))
                 if before and before[0] == bucket:
                     print_of, row = result(before, now)
                     if waiting:
                         yield (*waiting[1], likeness(waiting[0], print_of))
                     waiting = print_of, row
                     if not own:
-                        yield (*row, likeness(print_of, sample(text)[0]))
+                        yield (*row, likeness(print_of, sample.of_words(now[3])[0]))
                 if own:
                     before = now
                 else:
