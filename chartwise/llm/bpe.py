@@ -93,6 +93,10 @@ def compatible(a: list, b: list, ranks: dict) -> bool:
             j += 1
 
 
+#: Fixed value: how the usual tokenizer file cuts words; of another file's pattern the library takes care.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 def load(path: str) -> dict:
     """Tables of a word-end BPE tokenizer file, as plain containers."""
     with open(path, encoding="utf-8") as f:
@@ -136,7 +140,10 @@ def load(path: str) -> dict:
     front = {k: spec[k] for k in ("version", "normalizer", "pre_tokenizer")}
     front |= {"added_tokens": [], "truncation": None, "padding": None, "post_processor": None, "decoder": None,
               "model": {"type": "BPE", "vocab": {}, "merges": []}}
-    return {"ranks": ranks, "right": right, "left": left, "usable": usable, "shorter": shorter, "added": added,
+    split = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    steps = ((spec["normalizer"] or {}).get("normalizers") or [])
+    usual = [x.get("type") for x in steps] == ["NFC", "Replace", "Lowercase"] and (split[0].get("pattern") or {}).get("Regex") == WORD_PATTERN
+    return {"usual": usual, "ranks": ranks, "right": right, "left": left, "usable": usable, "shorter": shorter, "added": added,
             "front": json.dumps(front), "names": names}
 
 
@@ -181,6 +188,10 @@ def encoder(tables: dict):
         return path
 
     front = Tokenizer.from_str(tables["front"])
+    if not tables["usual"]:  # white space need not part words there
+        def slow(text: str) -> bytes:
+            return b"".join(np.array(word(w), "<u4").tobytes() for w, _ in front.pre_tokenizer.pre_tokenize_str(
+                front.normalizer.normalize_str(text) if front.normalizer else text))
     # characters that composing leaves alone and lower() maps one to one
     plain = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     # must equal the tokenizer file's pattern on such characters
@@ -189,7 +200,7 @@ def encoder(tables: dict):
     known = Recent(lambda w: np.array(word(w), "<u4").tobytes())
 
     def chunk(text: str) -> bytes:
-        if plain.fullmatch(text):
+        if tables["usual"] and plain.fullmatch(text):
             words = [w.encode().decode("latin-1").translate(to_char) for w in simple.findall(text.lower())]
         else:
             words = [w for w, _ in front.pre_tokenizer.pre_tokenize_str(front.normalizer.normalize_str(text))]
@@ -201,6 +212,8 @@ def encoder(tables: dict):
     separators = re.compile("[\x1c-\x1f]")
 
     def plain_text(text: str) -> bytes:
+        if not tables["usual"]:
+            return slow(text)
         chunks = [c for c in white.split(text) if c] if separators.search(text) else text.split()
         return b"".join([cache[c] if len(c) <= _CACHED_CHARS else chunk(c) for c in chunks])
 

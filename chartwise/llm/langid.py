@@ -149,7 +149,7 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> dict | None:
     if not n:
         return None
     idf = np.log((1 + n) / (1 + df)) + 1
-    chosen = bounded_rows(learn.select("doc_id", "lang"), "lang", "doc_id", max_rows).select("doc_id").distinct()
+    chosen = bounded_rows(learn.select("doc_id", "lang").distinct(), "lang", "doc_id", max_rows).select("doc_id").distinct()
     feature_schema = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("at", pa.binary()), ("n", pa.binary())])
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +160,9 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> dict | None:
                     yield key, lang, at.astype("<u2").tobytes(), np.log1p(c[at]).astype("<f4").tobytes()
         return to_batches(rows(), feature_schema, lambda r: 2 * len(r[2]))
 
-    # at most max_rows ids: a broadcast of proven size
+    # at most max_rows ids: a broadcast of proven size; and of each id one row, so as many rows
     sample = learn.join(F.broadcast(chosen), learn["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi") \
-        .select(F.xxhash64("doc_id", F.crc32(F.encode("text", "UTF-8"))).alias("key"), "lang", "text")
+        .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("doc_id", F.crc32(F.encode("text", "UTF-8"))).alias("key"), "lang", "text")).alias("row")).select("row.*")
     got = sorted(sample.mapInArrow(features, "key long, lang string, at binary, n binary").toLocalIterator(), key=lambda r: (r.key, r.lang))
     langs = sorted({r.lang for r in got})
     if not got:

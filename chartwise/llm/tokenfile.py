@@ -56,7 +56,8 @@ def chunk_encoder(spec: str, dtype: str):
 
     whole = Tokenizer.from_str(spec)
     parsed = json.loads(spec)
-    if parsed["normalizer"] or parsed["pre_tokenizer"]["type"] != "ByteLevel" or parsed["pre_tokenizer"]["add_prefix_space"]:
+    front = parsed["pre_tokenizer"] or {}
+    if parsed["normalizer"] or front.get("type") != "ByteLevel" or front.get("add_prefix_space") or not front.get("use_regex", True):
         def slow(text: str) -> bytes:
             return np.array(whole.encode(text, add_special_tokens=False).ids, dtype).tobytes()
         return slow

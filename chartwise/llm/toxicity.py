@@ -177,8 +177,9 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, max
     one_each = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id", folds, fold)) \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = bounded_rows(one_each, "toxic", "doc_id", max_rows)
-    # at most max_rows ids: a broadcast of proven size
-    rows = docs.join(F.broadcast(chosen), "doc_id") \
+    # at most max_rows ids: a broadcast of proven size; and of each id one text, so as many rows
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "of_class") \
+        .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")).select("doc_id", "toxic", "of_class", "row.text") \
         .withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(20)))
     first = rows.filter(F.col("part") < 10)
     schema = pa.schema([("entry", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])

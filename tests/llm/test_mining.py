@@ -212,7 +212,7 @@ def plain_phrases(docs, least, most, cover, top):
 def test_phrases_in_any_batches(spark, least, most, batch_bytes, range_bytes, top):
     rng = random.Random(least)
     docs = [(d[2], d[1]) for d in DOCS if len(d[1] or "") < 9000]
-    docs += [(rng.choice(["en", None, "und", "x\ty\nz"]), f"Fixed phrase of words{rng.choice(['.', ' ', chr(9), chr(13), '; '])}here and THERE\x00 \x1cand\x85 {sentence(rng, 'en', 6)}!") for _ in range(60)]
+    docs += [(rng.choice(["en", None, "und", "x\ty\nz"]), f"Fixed phrase of words{rng.choice(['.', ' ', chr(9), chr(13), '; '])}here and THERE\x00 \x1cand\x85 {sentence(rng, 'en', 6)}!") for _ in range(200)]
     got = phrases.collocations(frame(spark, docs, "lang string, text string").repartition(4), least, most, 80, top, batch_bytes=batch_bytes, range_bytes=range_bytes)
     wanted = plain_phrases(docs, least, most, 80, top)
     assert len(wanted) > 5 and by_text(map(tuple, got.collect())) == by_text(wanted)
@@ -235,3 +235,46 @@ def test_quicksort_counts_prefixes():
 def test_digest_of_kept_words(spark, folder):
     got = {r.doc_id: r.kept_sha256 for r in queries.op11_substrings(spark, folder).collect() if r.doc_id in (100, 101)}
     assert got[101] == sha(b"") and got[100] == sha(" ".join(DOCS[60][1].split()).encode())
+
+
+def test_learning_rows_are_bounded_whatever_ids_repeat(spark):
+    """Rows of one id speak once, so no more rows are fetched than chosen."""
+    from chartwise.llm import langid, toxicity
+    rng = random.Random(9)
+    rows = [(k % 40 if k % 50 else None, sentence(rng, ("en", "de")[k % 2], 12), ("en", "de")[k % 2]) for k in range(4000)]
+    docs = frame(spark, rows, "doc_id long, text string, lang string")
+    seen = []
+    fit = langid.fit
+    langid.fit = lambda data, n: (seen.append(len(data)), fit(data, n))[1]
+    try:
+        assert langid.train(docs, max_rows=30)["langs"] == ["de", "en"]
+    finally:
+        langid.fit = fit
+    assert 0 < seen[0] <= 30
+    labels = frame(spark, [(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    assert toxicity.train(docs.select("doc_id", "text"), labels, max_rows=30)["prior"] > 0
+
+
+def test_other_tokenizer_files_take_the_librarys_way(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    from chartwise.llm import bpe, tokenfile
+    from chartwise.llm.queries import tokenizer_path
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}']+|[^\s\p{L}\p{N}]+"
+    path = str(tmp_path / "words.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    texts = ["Don't stop 12 34a!", "two  words", "", "x1y2 it's"]
+    one, lib = bpe.encoder(bpe.load(path)), Tokenizer.from_file(path)
+    assert [np.frombuffer(one(t), "<u4").tolist() for t in texts] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    for front in (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}):
+        text = json.dumps(spec | {"pre_tokenizer": front})
+        lib = Tokenizer.from_str(text)
+        got = [np.frombuffer(tokenfile.chunk_encoder(text, "<u4")(t), "<u4").tolist() for t in texts]
+        assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
