@@ -9,7 +9,6 @@ from cases import documents, groups, levenshtein, plain_fingerprint, sentence, w
 from pyspark.sql import functions as F
 
 from chartwise.llm import bpe, decontaminate, fingerprint, langid, lines, lm, sharding, simhash, tokenfile, toxicity
-from chartwise.llm.common import Recent
 from chartwise.llm.graph import components
 from chartwise.llm.queries import tokenizer_path
 
@@ -255,8 +254,7 @@ def test_line_dedup(spark, list_rows):
             if n := lines.normalised(line):
                 kind.setdefault(n, (i, k))
     names = list(kind)
-    prints = [int(lines.line_simhashes([n.encode().split()], Recent(lines.word_hash))[0]) % (1 << 64) for n in names]
-    root = groups(len(names), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3 and lines.similar(names[i], names[j]))
+    root = groups(len(names), lambda i, j: lines.similar(names[i], names[j]))
     order = lambda o: (-1 if o[0] is None else o[0], o[1])
     keep = {n: min((kind[names[j]] for j in range(len(names)) if root[j] == root[k]), key=order) for k, n in enumerate(names)}
     wanted = []
