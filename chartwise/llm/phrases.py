@@ -53,14 +53,13 @@ from chartwise.llm.substrings import (
     messages,
     open_batch,
     pack_ints,
-    pack_sorted,
     parts_of,
     unpack_ints,
-    unpack_sorted,
 )
 from chartwise.llm.words import Alphabet, Words, mixed, words_of
 
-RANGE_BYTES = 16 << 20
+#: Text for each hash range of keys, and such ranges for one of suffixes: the fewer, the less often words are spelt out.
+RANGE_BYTES, SUFFIX_RANGES = 16 << 20, 2
 UNKNOWN = "und"
 #: Words lie between spaces and tabs, pieces between marks and line breaks.
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -117,7 +116,7 @@ def _frequent(least: int):
         distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(of, np.concatenate([unpack_ints(unsqueezed(x.as_py()), np.int64) for x in got.column("checks")]))
         known = distinct[total >= least]
-        return answers(got, [(pack_sorted(v[member(v, known)]), b"") for v in keys])
+        return answers(got, [(pack_keys(v[found]) if (found := member(v, known)).any() else b"", b"") for v in keys])
 
     return run
 
@@ -129,7 +128,7 @@ def _suffix_messages(ranges: int, most: int, cut: np.uint64):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(x) for x in heard(batch, "known", i))]))
+                known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_keys(x) for x in heard(batch, "known", i))]))
                 docs = open_batch(batch.column("payload")[i])
                 yield from _suffixes(docs, known, ranges, most, cut)
 
@@ -288,7 +287,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, most: int = 4, lang_col:
     with batch_table(inner, batch_bytes, buckets) as packed:
         told = packed.select("b", "payload").mapInArrow(_count_messages(ranges, least, cut), MESSAGE_DDL)
         known = materialise(told.groupBy("q").applyInArrow(_frequent(least), "b long, keys binary, checks binary"), "frequent-pairs")
-        sent = answered(packed, buckets, ("known", known)).mapInArrow(_suffix_messages(ranges, most, cut), "q int, words binary, symbols binary, counts binary")
+        sent = answered(packed, buckets, ("known", known)).mapInArrow(_suffix_messages(-(-ranges // SUFFIX_RANGES), most, cut), "q int, words binary, symbols binary, counts binary")
         parts = sent.groupBy("q").applyInArrow(_sort(least, most), "lang string, phrase string, words int, a long")
         return materialise(parts.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter((F.col("a") >= least) | (F.col("words") == 0)), "phrases")
 
