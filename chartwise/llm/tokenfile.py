@@ -46,7 +46,16 @@ class Short(Recent):
     """A cache that keeps only what short texts give."""
 
     def __missing__(self, key: str):
-        return super().__missing__(key) if len(key) <= _CACHED_CHARS else self.make(key)
+        if len(key) > _CACHED_CHARS:
+            return self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 def chunk_encoder(spec: str, dtype: str):
@@ -82,15 +91,23 @@ def chunk_encoder(spec: str, dtype: str):
 
     space = to_char[0x20]
 
-    def letters_only(word: str, front: str) -> bytes | None:
-        """Most words: one piece, whose letters stand for themselves."""
-        if word.isascii() and word.isalpha() and len(word) <= _CACHED_CHARS:
+    marks = {c: piece(c) for c in ".,;:!?"}
+
+    def simple(word: str, front: str) -> bytes | None:
+        """Most words: one piece, whose letters stand for themselves, and
+        perhaps a mark behind it, which is another."""
+        if not word.isascii() or len(word) > _CACHED_CHARS:
+            return None
+        if word.isalpha():
             return np.array([t.id for t in model.tokenize(front + word)], dtype).tobytes()
+        if word[:-1].isalpha() and (mark := marks.get(word[-1])) is not None:
+            return (spaced if front else cache)[word[:-1]] + mark
         return None
 
-    cache = Short(lambda text: letters_only(text, "") or chunk(text), 100_000)
-    spaced = Short(lambda word: letters_only(word, space) or chunk(f" {word}"), 600_000)
+    cache = Short(lambda text: simple(text, "") or chunk(text), 100_000)
+    spaced = Short(lambda word: simple(word, space) or chunk(f" {word}"), 600_000)
     safe = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}]+")
+    # white space other than the two kinds that part words of most texts
     other_white = re.compile("[" + "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c) and c not in " \n") + "\x1c-\x1f]")
     added = [t["content"] for t in parsed["added_tokens"]]
 
