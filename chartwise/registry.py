@@ -39,6 +39,9 @@ from chartwise.streaming.segments import clean_charts, run_segment_stream
 FIXTURE_SCALE = 1e4
 FIXTURE_MIN_BAR = 0.45
 
+# Rows of a landing file of the segment stream, about.
+LANDING_ROWS = 250_000
+
 MESSY_NAMES = ("  Date", "REGION ", "Chart", "Trend", "Rank", "Title", "Artist", "Streams", "Track URL")
 
 
@@ -222,10 +225,12 @@ def stream_ingest_clean(spark, sf):
 
 
 def _segments(spark, sf):
-    """Raw CSV in eight files or more, taken in by batches of two."""
+    """Raw CSV in eight files, or more with more rows, each written by a task of
+    bounded size; taken in by four batches or five."""
     landing = scratch_path(spark, "segment-raw")
-    csv.write_raw_csv(_raw(spark, sf).repartition(8, "url"), landing)
-    return run_segment_stream(spark, landing, scratch_path(spark, "segments"), scratch_path(spark, "segment-ckpt"), CFG, max_files_per_batch=2, fan=2)
+    files = max(8, -(-table(spark, sf, "lineitem").count() // LANDING_ROWS))
+    csv.write_raw_csv(_raw(spark, sf).repartition(files, *RAW_COLUMNS), landing)  # by whole rows: no value fills one task
+    return run_segment_stream(spark, landing, scratch_path(spark, "segments"), scratch_path(spark, "segment-ckpt"), CFG, max_files_per_batch=files // 4, fan=2)
 
 
 def stream_segments(spark, sf):

@@ -97,3 +97,20 @@ def test_a_merge_that_dies_changes_nothing(spark, monkeypatch):
     assert got.compact() and got.rows().count() == 2 and reader.count() == 2  # a reader that began before
     assert json.load(open(f"{got.base}/snapshot.json"))["segments"][0]["counts"] == {"kept": 2}
     assert S.Segments(spark, scratch_path(spark, "none")).rows() is None
+
+
+@pytest.mark.parametrize("rows, files, batch", [(1000, 8, 2), (300, 20, 5)])
+def test_landing_files_of_the_queries_grow_in_number_with_the_rows(spark, monkeypatch, rows, files, batch):
+    from chartwise import registry
+
+    sf001, seen, real = "/root/testdata/sf0.001", {}, registry.run_segment_stream
+
+    def watched(spark, landing, *args, **kw):
+        seen.update(files=len(glob.glob(f"{landing}/*.csv")), batch=kw["max_files_per_batch"])
+        return real(spark, landing, *args, **kw)
+
+    monkeypatch.setattr(registry, "LANDING_ROWS", rows)
+    monkeypatch.setattr(registry, "run_segment_stream", watched)
+    assert registry.table(spark, sf001, "lineitem").count() == 6000
+    got = registry.stream_ledger(spark, sf001)
+    assert seen == {"files": files, "batch": batch} and got.agg({"rows": "sum"}).first()[0] == registry._raw(spark, sf001).count()
