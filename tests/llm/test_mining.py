@@ -278,3 +278,28 @@ def test_other_tokenizer_files_take_the_librarys_way(tmp_path):
         lib = Tokenizer.from_str(text)
         got = [np.frombuffer(tokenfile.chunk_encoder(text, "<u4")(t), "<u4").tolist() for t in texts]
         assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_of_a_batch_share_their_look_ups(monkeypatch):
+    """Ids as the library gives them, and a part that stands in many texts is looked up once."""
+    from tokenizers import Tokenizer
+
+    from chartwise.llm import tokenfile
+    from chartwise.llm.queries import tokenizer_path
+    asked = Counter()
+
+    class Counted(tokenfile.Short):
+        def __getitem__(self, key):
+            asked[key] += 1
+            return super().__getitem__(key)
+
+    monkeypatch.setattr(tokenfile, "Short", Counted)
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    lib = Tokenizer.from_str(spec)
+    many = tokenfile.encoders(spec, "<u2")[1]
+    texts = ["Word other, word's 12 a12b.", "Word other,%% Ünï× é.é\n\nother other", "a other"] * 20
+    odd = ["", " ", "\n", " a", "a ", "a\n b", "a\n\n\nb", "a  b", "a\tb", "a\xa0b\x1cc", "it's 'so", "fooā.x", "a<|endoftext|>b", "x" * 99 + ".", "é. —."]
+    got = [np.frombuffer(raw, "<u2").tolist() for raw in many(texts + odd)]
+    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts + odd]
+    assert asked[" other"] == 1
